@@ -6,13 +6,14 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of an Arrow batch are cut so that one slice holds at most this many text bytes (or one row).
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +42,18 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500):
+    """Arrow batches of few rows for what is executed inside, where rows carry whole sets or texts twice."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def byte_rows(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column, null as None."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import byte_rows, materialise, slices
+from .common import byte_rows, materialise, slices, small_batches
 
 K, TAU_NUM, TAU_DEN = 4, 85, 100
 #: A region with more pairs across components is cut again; ids up to BROADCAST are sent to all tasks.
@@ -56,7 +56,7 @@ def mix(x: np.ndarray, seed: int) -> np.ndarray:
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -174,7 +174,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame, k: int) -
 
     two = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     few = ids.count() <= BROADCAST  # 8 bytes each
-    return two.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInArrow(run, "id long, s binary").dropDuplicates(["id"])
+    return two.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInArrow(run, "id long, s binary")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -221,6 +221,11 @@ def _cross_pairs(rows: DataFrame, key: str) -> DataFrame:
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, num: int = TAU_NUM, den: int = TAU_DEN, cross: int = CROSS) -> DataFrame:
     """id_col, n_shingles and component_id (the smallest id reachable by links) of every row."""
+    with small_batches(docs.sparkSession):
+        return _join(docs, id_col, text_col, k, num, den, cross)
+
+
+def _join(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int, cross: int) -> DataFrame:
     scanned = materialise(_scan(docs, id_col, text_col, k, num, den), "scan")
     firsts = scanned.where("first = id")
     # equal sets of different tasks
@@ -239,8 +244,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     labels = components(links)
 
     # regions that still hold several components
-    member = firsts.join(ids, "id", "left_semi").select("id", "n", F.explode(F.concat("fresh", "met")).alias("sig"))
-    member = member.join(labels, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    named = ids.join(labels, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    member = firsts.join(named, "id").select("id", "n", "root", F.explode(F.concat("fresh", "met")).alias("sig"))
     mixed = member.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("id").alias("p")).where("r0 < r1").select("sig", "p")
     known = measured.select(F.col("a").alias("x"), F.col("b").alias("p"), "d")
     rows = materialise(member.join(mixed, "sig"), "mixed")
