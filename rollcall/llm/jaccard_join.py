@@ -14,8 +14,11 @@ symmetric difference are metrics, and the triangle inequality is used in both:
 3. *Recursion.* In each region the smallest id is the pivot: every member is compared with it, and components of the
    links found so far are labelled. Members of one component need no comparison any more. A region that still holds
    several components is joined across these, within the windows |d(x, p) - d(y, p)| <= 1 - TAU of its pivot. A region
-   with more than CROSS such pairs is cut again, by the shingles of its members in order of rarity among them: a pair
-   must share one of the first |x| - ceil(TAU |x|) + 1.
+   with more than CROSS such pairs is cut again, around its pivot p, by what its members differ in from p: let
+   x' = x ^ p, so x ^ y = x' ^ y'. With c = (1 - TAU) / (1 + TAU), linked sets have |x ^ y| <= c (|x| + |y|), and as
+   |x| <= |p| + |x'|, they share at least ((1 - c) |x'| + |y'| - c (|y| + |p|)) / 2 of their differences from p. The
+   second part is above 0 unless y is linked with p, and two members linked with p are of one component. So a pair
+   shares one of the rarest differences of either side (counted in the region); the rest of its members never meets.
 
 All candidates are verified on whole sets. Sets are compared by 64-bit hashes of shingles; equal sets by 128 bits.
 Shuffled are hashes and ids, and the sets of candidates only; texts are not. A hash that holds many documents is
@@ -41,7 +44,7 @@ from .common import byte_rows, materialise, slices, small_batches
 
 K, TAU_NUM, TAU_DEN = 4, 85, 100
 #: A region with more pairs across components is cut again; ids up to BROADCAST are sent to all tasks.
-CROSS, BROADCAST, SEEDS = 20_000, 1_000_000, 6
+CROSS, BROADCAST, SEEDS = 300, 1_000_000, 6
 LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 U = np.uint64
 
@@ -213,12 +216,6 @@ def components(links: DataFrame, rounds: int = 100) -> DataFrame:
     raise RuntimeError(f"components not found in {rounds} rounds")
 
 
-def _cross_pairs(rows: DataFrame, key: str) -> DataFrame:
-    """Pairs of one key and different roots, each once; rows: key, id, root, n."""
-    other = rows.select(key, F.col("id").alias("b"), F.col("root").alias("root_b"))
-    return rows.join(other, key).where("root <> root_b and id < b").select(F.col("id").alias("a"), "b").distinct()
-
-
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, num: int = TAU_NUM, den: int = TAU_DEN, cross: int = CROSS) -> DataFrame:
     """id_col, n_shingles and component_id (the smallest id reachable by links) of every row."""
     with small_batches(docs.sparkSession):
@@ -238,6 +235,9 @@ def _join(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: in
     met = firsts.select(F.col("id").alias("a"), F.explode("near").alias("b"))
     pairs = materialise(stars.union(met).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().join(copies, ["a", "b"], "left_anti"), "pairs")
     ids = materialise(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
+    # of the pairs, those whose sizes can link
+    n_a, n_b = (firsts.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
+    pairs = materialise(pairs.join(n_a, "a").join(n_b, "b").where(den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")).select("a", "b"), "close")
     sets = materialise(_sets(docs, id_col, text_col, ids, k), "sets")
     measured = materialise(_verify(pairs, sets, num, den), "measured")
     links = materialise(measured.where("linked").select("a", "b").union(copies), "found")
@@ -258,32 +258,55 @@ def _join(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: in
     window = F.coalesce(F.abs(F.col("d") - F.col("d_b")) <= (den - num) / den + 1e-9, F.lit(True))
     close = den * F.least("n", "n_b") >= num * F.greatest("n", "n_b")
     narrow = own.join(other, "sig").where("root <> root_b and id < b").where(window & close).select(F.col("id").alias("a"), "b").distinct()
-    again = _rare(split.where("wide").select("id", "root").distinct(), sets, num, den)
+    around = materialise(split.where("wide").select("p", "id").distinct(), "around")
+    # links with the pivots come first: members linked with one are then of one component
+    fresh_pairs = around.where("p <> id").select(F.greatest("p", "id").alias("a"), F.least("p", "id").alias("b")).distinct()
+    linked = materialise(_verify(fresh_pairs, sets, num, den).where("linked").select("a", "b"), "linked")
+    if not linked.isEmpty():
+        links = materialise(links.union(linked).distinct(), "found")
+        labels = components(links)
+    again = _differences(around.join(labels, "id", "left").select("p", "id", F.coalesce("root", "id").alias("root")), sets, num, den)
     more = narrow.union(again).distinct().join(measured.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+    more = materialise(more, "more")
     late = materialise(_verify(more, sets, num, den).where("linked").select("a", "b"), "late")
     if not late.isEmpty():
         labels = components(materialise(links.union(late), "found"))
     return _finish(scanned, labels, id_col)
 
 
-def _rare(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidates among the members across roots: those that share one of their rarest shingles, by prefix length."""
-    whole = materialise(members, "again")
+def _differences(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidates across roots among the members of each pivot p, by prefixes of their differences from p."""
+    whole = materialise(members, "wide")
     if whole.isEmpty():
         return whole.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+    c = (den - num) / (den + num)
 
     def run(batches):
         for batch in batches:
-            for i, r, s in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-                x = signed(np.frombuffer(s, U))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), i)), pa.array(np.full(len(x), r)), pa.array(x), pa.array(np.full(len(x), len(x)))], ["id", "root", "sig", "n"])
-
-    each = materialise(whole.join(sets, "id").select("id", "root", "s").mapInArrow(run, "id long, root long, sig long, n long"), "each")
-    counts = each.groupBy("sig").agg(F.count(F.lit(1)).alias("df"))
-    order = Window.partitionBy("id").orderBy("df", "sig")
-    prefix = F.col("n") - F.ceil(F.col("n") * num / den) + 1
-    first = each.join(counts, "sig").withColumn("k", F.row_number().over(order)).where((F.col("k") <= prefix) & (F.col("df") > 1))
-    return _cross_pairs(first.select("sig", "id", "root"), "sig")
+            for p, i, root, x, y in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                x, y = np.frombuffer(x, U), np.frombuffer(y, U)
+                apart = signed(np.setxor1d(x, y, True))
+                m = len(apart)
+                over = m - c * (len(x) + len(y))  # above 0: not linked with p
+                share = max(1, np.ceil((1 - c) * m / 2 - 1e-6))  # with a partner that is not linked with p
+                if over > -1e-6:  # or with one that is, which then differs from p by enough itself
+                    share = min(share, max(1, np.ceil(over / (1 + c) - 1e-6)))
+                prefix = int(m - share + 1)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, v, np.int64)) for v in (p, i, root, len(x), m, prefix)] + [pa.array(apart)], ["p", "id", "root", "n", "m", "prefix", "part"])
+
+    pivots = sets.select(F.col("id").alias("p"), F.col("s").alias("y"))
+    with_sets = whole.join(sets.select("id", F.col("s").alias("x")), "id").join(pivots, "p").select("p", "id", "root", "x", "y")
+    each = materialise(with_sets.mapInArrow(run, "p long, id long, root long, n long, m long, prefix long, part long"), "each")
+    counts = each.groupBy("p", "part").agg(F.count(F.lit(1)).alias("df"))
+    order = Window.partitionBy("p", "id").orderBy("df", "part")
+    ranked = each.join(counts, ["p", "part"]).withColumn("k", F.row_number().over(order)).where((F.col("k") <= F.col("prefix")) & (F.col("df") > 1))
+    first = materialise(ranked.select("p", "part", "id", "root", "n", "m", "k"), "prefix")
+    other = first.select("p", "part", *[F.col(x).alias(f"{x}_2") for x in ("id", "root", "n", "m", "k")])
+    # what this pair must share, and what it can still share from the first part in common on
+    shared = F.ceil((F.col("m") + F.col("m_2") - c * (F.col("n") + F.col("n_2"))) / 2 - 1e-6)
+    reach = F.least(F.col("m") - F.col("k"), F.col("m_2") - F.col("k_2")) + 1
+    meets = (F.col("k") <= F.col("m") - shared + 1) & (F.col("k_2") <= F.col("m_2") - shared + 1) & (reach + F.least("k", "k_2") - 1 >= shared)
+    return first.join(other, ["p", "part"]).where("root <> root_2 and id < id_2").where(meets).select(F.col("id").alias("a"), F.col("id_2").alias("b")).distinct()
 
 
 def _finish(scanned: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
