@@ -18,7 +18,9 @@ symmetric difference are metrics, and the triangle inequality is used in both:
    x' = x ^ p, so x ^ y = x' ^ y'. With c = (1 - TAU) / (1 + TAU), linked sets have |x ^ y| <= c (|x| + |y|), and as
    |x| <= |p| + |x'|, they share at least ((1 - c) |x'| + |y'| - c (|y| + |p|)) / 2 of their differences from p. The
    second part is above 0 unless y is linked with p, and two members linked with p are of one component. So a pair
-   shares one of the rarest differences of either side (counted in the region); the rest of its members never meets.
+   shares one of the first differences of either side, what p lacks before what it has, and what is left behind the
+   first one in common must reach the pair's bound; the rest of the members never meet. Members further than FAR from p are taken by themselves
+   (with x' = x), and those within the triangle's window below FAR both ways.
 
 All candidates are verified on whole sets. Sets are compared by 64-bit hashes of shingles; equal sets by 128 bits.
 Shuffled are hashes and ids, and the sets of candidates only; texts are not. A hash that holds many documents is
@@ -44,7 +46,9 @@ from .common import byte_rows, materialise, slices, small_batches
 
 K, TAU_NUM, TAU_DEN = 4, 85, 100
 #: A region with more pairs across components is cut again; ids up to BROADCAST are sent to all tasks.
-CROSS, BROADCAST, SEEDS = 300, 1_000_000, 6
+CROSS, BROADCAST, SEEDS = 500, 1_000_000, 6
+#: Beyond this distance from a pivot a member stands for itself; those within the window below do both.
+FAR = 0.3
 LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 U = np.uint64
 
@@ -258,7 +262,7 @@ def _join(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: in
     window = F.coalesce(F.abs(F.col("d") - F.col("d_b")) <= (den - num) / den + 1e-9, F.lit(True))
     close = den * F.least("n", "n_b") >= num * F.greatest("n", "n_b")
     narrow = own.join(other, "sig").where("root <> root_b and id < b").where(window & close).select(F.col("id").alias("a"), "b").distinct()
-    around = materialise(split.where("wide").select("p", "id").distinct(), "around")
+    around = materialise(_pivots(split.where("wide").select("sig", "p", "id")), "around")
     # links with the pivots come first: members linked with one are then of one component
     fresh_pairs = around.where("p <> id").select(F.greatest("p", "id").alias("a"), F.least("p", "id").alias("b")).distinct()
     linked = materialise(_verify(fresh_pairs, sets, num, den).where("linked").select("a", "b"), "linked")
@@ -274,6 +278,17 @@ def _join(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: in
     return _finish(scanned, labels, id_col)
 
 
+def _pivots(far: DataFrame) -> DataFrame:
+    """(p, id): one pivot for each region, the one that most of its members choose, each choosing the pivot that most
+    ids have. Any pivot is right; few of them, near their members, keep the differences few and short."""
+    whole = materialise(far, "far")
+    asked = whole.select("p", "id").distinct().groupBy("p").agg(F.count(F.lit(1)).alias("c"))
+    chosen = whole.select("p", "id").distinct().join(asked, "p").groupBy("id").agg(F.max(F.struct("c", -F.col("p"))).alias("best")).select("id", (-F.col("best.col2")).alias("choice"))
+    votes = whole.join(chosen, "id").groupBy("sig", "choice").agg(F.count(F.lit(1)).alias("v"))
+    taken = votes.groupBy("sig").agg(F.max(F.struct("v", -F.col("choice"))).alias("best")).select("sig", (-F.col("best.col2")).alias("p"))
+    return whole.select("sig", "id").join(taken, "sig").select("p", "id").distinct()
+
+
 def _differences(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Candidates across roots among the members of each pivot p, by prefixes of their differences from p."""
     whole = materialise(members, "wide")
@@ -285,28 +300,37 @@ def _differences(members: DataFrame, sets: DataFrame, num: int, den: int) -> Dat
         for batch in batches:
             for p, i, root, x, y in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 x, y = np.frombuffer(x, U), np.frombuffer(y, U)
-                apart = signed(np.setxor1d(x, y, True))
+                lacks = np.setdiff1d(x, y, True)  # what p lacks is rarer
+                apart = np.concatenate((lacks, np.setdiff1d(y, x, True)))
                 m = len(apart)
-                over = m - c * (len(x) + len(y))  # above 0: not linked with p
-                share = max(1, np.ceil((1 - c) * m / 2 - 1e-6))  # with a partner that is not linked with p
-                if over > -1e-6:  # or with one that is, which then differs from p by enough itself
-                    share = min(share, max(1, np.ceil(over / (1 + c) - 1e-6)))
-                prefix = int(m - share + 1)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, v, np.int64)) for v in (p, i, root, len(x), m, prefix)] + [pa.array(apart)], ["p", "id", "root", "n", "m", "prefix", "part"])
+                d = 2 * m / (len(x) + len(y) + m)
+                for own in (False, True):
+                    if d < FAR - (den - num) / den - 1e-9 if own else d > FAR + 1e-9:
+                        continue
+                    if own:
+                        parts = np.concatenate((lacks, np.intersect1d(x, y, True)))
+                        share = np.ceil(num * len(x) / den - 1e-6)
+                    else:
+                        parts = apart
+                        over = m - c * (len(x) + len(y))  # above 0: not linked with p
+                        share = max(1, np.ceil((1 - c) * m / 2 - 1e-6))  # with a partner that is not linked with p
+                        if over > -1e-6:  # or with one that is, which then differs from p by enough itself
+                            share = min(share, max(1, np.ceil(over / (1 + c) - 1e-6)))
+                    k = int(len(parts) - share + 1)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array(np.full(k, v, np.int64)) for v in (p, i, root)), *(pa.array(np.full(k, v, np.int32)) for v in (len(x), len(parts))), pa.array(np.arange(1, k + 1, dtype=np.int32)), pa.array(np.full(k, own)), pa.array(signed(parts[:k]))],
+                        ["p", "id", "root", "n", "m", "k", "own", "part"],
+                    )
 
     pivots = sets.select(F.col("id").alias("p"), F.col("s").alias("y"))
     with_sets = whole.join(sets.select("id", F.col("s").alias("x")), "id").join(pivots, "p").select("p", "id", "root", "x", "y")
-    each = materialise(with_sets.mapInArrow(run, "p long, id long, root long, n long, m long, prefix long, part long"), "each")
-    counts = each.groupBy("p", "part").agg(F.count(F.lit(1)).alias("df"))
-    order = Window.partitionBy("p", "id").orderBy("df", "part")
-    ranked = each.join(counts, ["p", "part"]).withColumn("k", F.row_number().over(order)).where((F.col("k") <= F.col("prefix")) & (F.col("df") > 1))
-    first = materialise(ranked.select("p", "part", "id", "root", "n", "m", "k"), "prefix")
-    other = first.select("p", "part", *[F.col(x).alias(f"{x}_2") for x in ("id", "root", "n", "m", "k")])
+    first = materialise(with_sets.mapInArrow(run, "p long, id long, root long, n int, m int, k int, own boolean, part long"), "prefix")
+    other = first.select("p", "own", "part", *[F.col(x).alias(f"{x}_2") for x in ("id", "root", "n", "m", "k")])
     # what this pair must share, and what it can still share from the first part in common on
     shared = F.ceil((F.col("m") + F.col("m_2") - c * (F.col("n") + F.col("n_2"))) / 2 - 1e-6)
     reach = F.least(F.col("m") - F.col("k"), F.col("m_2") - F.col("k_2")) + 1
     meets = (F.col("k") <= F.col("m") - shared + 1) & (F.col("k_2") <= F.col("m_2") - shared + 1) & (reach + F.least("k", "k_2") - 1 >= shared)
-    return first.join(other, ["p", "part"]).where("root <> root_2 and id < id_2").where(meets).select(F.col("id").alias("a"), F.col("id_2").alias("b")).distinct()
+    return first.join(other, ["p", "own", "part"]).where("root <> root_2 and id < id_2").where(meets).select(F.col("id").alias("a"), F.col("id_2").alias("b")).distinct()
 
 
 def _finish(scanned: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
