@@ -76,5 +76,5 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
 def list_array(rows: list, kind: pa.DataType) -> pa.Array:
     """A list column of numbers from sequences, without a Python object for each number."""
     ends = np.cumsum([0, *map(len, rows)])
-    values = np.concatenate([np.asarray(x) for x in rows]) if rows else np.zeros(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind, safe=False) if values.dtype.kind in "iu" else pa.array([], kind))
+    values = np.concatenate([np.asarray(x, np.int64) for x in rows]) if rows else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind, safe=False))

@@ -220,8 +220,8 @@ def sample_of(docs: DataFrame, id_col: str, text_col: str, lang_col: str, allowe
     rate = F.lit(0)
     for r in counts:
         rate = F.when(F.col(lang_col) == r.l, int(1_000_000 * min(1.0, per_lang / r.n)) + 1).otherwise(rate)
-    picked = some.where(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < rate).select(F.col(id_col).alias("i"), F.col(lang_col).alias("l"), F.col(text_col).alias("t"))
-    return [(r.l, r.t.encode()) for r in sorted(picked.collect(), key=lambda r: (r.l, r.i, r.t))]
+    picked = some.where(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < rate).select(F.col(lang_col).alias("l"), F.col(text_col).alias("t"))
+    return [(r.l, r.t.encode()) for r in sorted(picked.collect(), key=lambda r: (r.l, r.t))]
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
