@@ -46,9 +46,9 @@ from .common import byte_rows, materialise, slices, small_batches
 
 K, TAU_NUM, TAU_DEN = 4, 85, 100
 #: A region with more pairs across components is cut again; ids up to BROADCAST are sent to all tasks.
-CROSS, BROADCAST, SEEDS = 500, 1_000_000, 6
+CROSS, BROADCAST, SEEDS = 1_000, 1_000_000, 6
 #: Beyond this distance from a pivot a member stands for itself; those within the window below do both.
-FAR = 0.3
+FAR = 0.45
 LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 U = np.uint64
 
@@ -248,8 +248,8 @@ def _join(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: in
     labels = components(links)
 
     # regions that still hold several components
-    named = ids.join(labels, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    member = firsts.join(named, "id").select("id", "n", "root", F.explode(F.concat("fresh", "met")).alias("sig"))
+    named = materialise(ids.join(labels, "id", "left").withColumn("root", F.coalesce("root", "id")), "named")
+    member = firsts.join(F.broadcast(named) if named.count() <= BROADCAST else named, "id").select("id", "n", "root", F.explode(F.concat("fresh", "met")).alias("sig"))
     mixed = member.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("id").alias("p")).where("r0 < r1").select("sig", "p")
     known = measured.select(F.col("a").alias("x"), F.col("b").alias("p"), "d")
     rows = materialise(member.join(mixed, "sig"), "mixed")
