@@ -22,7 +22,8 @@ symmetric difference are metrics, and the triangle inequality is used in both:
    first one in common must reach the pair's bound; the rest of the members never meet. Members further than FAR from p are taken by themselves
    (with x' = x), and those within the triangle's window below FAR both ways.
 
-All candidates are verified on whole sets. Sets are compared by 64-bit hashes of shingles; equal sets by 128 bits.
+Candidates are first compared by profiles, the numbers of their hashes in PROFILE parts of the shingle space: these
+lie at most as far apart as the sets do. All that are left are verified on whole sets. Sets are compared by 64-bit hashes of shingles; equal sets by 128 bits.
 Shuffled are hashes and ids, and the sets of candidates only; texts are not. A hash that holds many documents is
 reduced to one row a slice of input before the shuffle, so no region's size meets one task.
 
@@ -47,6 +48,8 @@ from .common import byte_rows, materialise, slices, small_batches
 K, TAU_NUM, TAU_DEN = 4, 85, 100
 #: A region with more pairs across components is cut again; ids up to BROADCAST are sent to all tasks.
 CROSS, BROADCAST, SEEDS = 1_000, 1_000_000, 6
+#: Parts of the profile by which candidates are first compared.
+PROFILE = 256
 #: Beyond this distance from a pivot a member stands for itself; those within the window below do both.
 FAR = 0.45
 LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
@@ -171,21 +174,42 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: in
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame, k: int) -> DataFrame:
-    """(id, s): the sets of the named documents as bytes."""
+    """(id, s, c): the sets of the named documents as bytes, and how many of their hashes fall into each of PROFILE parts."""
 
     def run(batches):
         shingle = Shingler(k)
         with np.errstate(over="ignore"):
             for batch in slices(batches):
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle(t).tobytes() for t in byte_rows(batch.column(1))], pa.binary())], ["id", "s"])
+                found = [shingle(t) for t in byte_rows(batch.column(1))]
+                profiles = [np.minimum(np.bincount((x >> U(56)).astype(np.int64), minlength=PROFILE), 255).astype(np.uint8).tobytes() for x in found]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in found], pa.binary()), pa.array(profiles, pa.binary())], ["id", "s", "c"])
 
     two = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     few = ids.count() <= BROADCAST  # 8 bytes each
-    return two.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInArrow(run, "id long, s binary")
+    return two.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInArrow(run, "id long, s binary, c binary")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b, shared, sizes, linked) of each pair."""
+def _near(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs that can link by their profiles: these lie no further apart than the sets, counted part by part."""
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, PROFILE).astype(np.int16) for k in (2, 3))
+                total = batch.column(4).to_numpy()
+                # no link if the symmetric difference is over (1 - TAU) / (1 + TAU) of both sizes
+                keep = np.abs(x - y).sum(1, dtype=np.int64) * (den + num) <= total * (den - num)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
+
+    few = F.broadcast(pairs) if pairs.count() <= BROADCAST else pairs  # 16 bytes each
+    side = lambda i, c, m: sets.select(F.col("id").alias(i), F.col("c").alias(c), (F.length("s") / 8).cast("long").alias(m))
+    both = side("a", "x", "m").join(few, "a").join(side("b", "y", "k"), "b").where(den * F.least("m", "k") >= num * F.greatest("m", "k"))
+    return materialise(both.select("a", "b", "x", "y", (F.col("m") + F.col("k")).alias("total")).mapInArrow(run, "a long, b long"), "near")
+
+
+def _verify(all_pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b, d, linked) of each pair that their profiles leave."""
+    pairs = _near(all_pairs, sets, num, den)
 
     def run(batches):
         for batch in batches:
@@ -200,9 +224,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([a, b, pa.array(1 - inter / np.maximum(union, 1)), pa.array(den * inter >= num * union)], ["a", "b", "d", "linked"])
 
     left, right = sets.select(F.col("id").alias("a"), F.col("s").alias("x")), sets.select(F.col("id").alias("b"), F.col("s").alias("y"))
-    # equal lengths of sets within the threshold: the ring's bound on a pair, before any set is read
-    close = den * F.least(F.length("x"), F.length("y")) >= num * F.greatest(F.length("x"), F.length("y"))
-    return pairs.join(left, "a").join(right, "b").where(close).select("a", "b", "x", "y").mapInArrow(run, "a long, b long, d double, linked boolean")
+    few = F.broadcast(pairs) if pairs.count() <= BROADCAST else pairs  # 16 bytes each
+    return left.join(few, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, d double, linked boolean")
 
 
 def components(links: DataFrame, rounds: int = 100) -> DataFrame:
@@ -265,6 +288,7 @@ def _join(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: in
     around = materialise(_pivots(split.where("wide").select("sig", "p", "id")), "around")
     # links with the pivots come first: members linked with one are then of one component
     fresh_pairs = around.where("p <> id").select(F.greatest("p", "id").alias("a"), F.least("p", "id").alias("b")).distinct()
+    fresh_pairs = materialise(fresh_pairs, "spokes")
     linked = materialise(_verify(fresh_pairs, sets, num, den).where("linked").select("a", "b"), "linked")
     if not linked.isEmpty():
         links = materialise(links.union(linked).distinct(), "found")
