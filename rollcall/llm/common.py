@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -42,6 +43,12 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Has the driver collect its garbage: Spark then removes the shuffle files that no live plan refers to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 500):
     """Arrow batches of few rows for what is executed inside, where rows carry whole sets or texts twice."""

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import byte_rows, materialise, slices, small_batches
+from .common import byte_rows, materialise, release, slices, small_batches
 
 K, TAU_NUM, TAU_DEN = 4, 85, 100
 #: A region with more pairs across components is cut again; ids up to BROADCAST are sent to all tasks.
@@ -111,70 +111,87 @@ class Rings:
                     out.append((i, k, k + 1 + k // 16))
         return out
 
-    def signatures(self, s: np.ndarray) -> np.ndarray:
-        out = []
+    def signatures(self, s: np.ndarray) -> tuple[np.ndarray, int]:
+        """The set's signatures, and the most empty parts that it has in one of its rings by the first hash."""
+        out, most = [], 0
         for ring, k, parts in self.of(len(s)):
             for seed in range(SEEDS):
-                part = (mix(s, 10 + seed) >> U(11)) % U(parts)
+                part = ((mix(s, 10 + seed) >> U(11)) % U(parts)).astype(np.int64)
                 held, total = np.zeros(parts, bool), np.zeros(parts, U)
                 held[part] = True
                 np.add.at(total, part, mix(s, 50 + seed))
-                enough = parts - int(held.sum()) <= parts - k - 1
+                empty = parts - int(held.sum())
+                most = most if seed else max(most, empty)
+                enough = empty <= parts - k - 1
                 if not enough and seed == SEEDS - 1:
                     held[:] = True  # the last way out: empty parts are regions too
                 where = np.flatnonzero(held)
                 out.append(mix(total[where] + mix(where.astype(U) + U((ring * SEEDS + seed) << 32), 7), 8))
                 if enough:
                     break
-        return np.concatenate(out) if out else np.zeros(0, U)
+        return np.concatenate(out) if out else np.zeros(0, U), most
+
+    @lru_cache(maxsize=100_000)  # noqa: B019  one object a task
+    def shared(self, n: int, m: int, empty: int) -> int:
+        """How many regions linked sets of these sizes share at least, if one of them has no more empty parts than this.
+        Of a ring's parts they differ in as many as their sizes allow, and are alike by being empty in some."""
+        differ = (n + m) * (self.den - self.num) // (self.den + self.num)
+        both = set(self.of(n)) & set(self.of(m))
+        return max(1, sum(max(0, parts - differ - empty) for _, _, parts in both))
 
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.astype(U).view(np.int64)
 
 
-def _scan(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int) -> DataFrame:
-    """For each row: id, n, first (the first row of its task with the same set), digest and, where it is the first,
-    signatures: new ones of its slice, those met before in the slice, and the ids these were met at."""
+def _regions(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int) -> DataFrame:
+    """(sig, id, b, more), of three kinds: a signature that is new in its slice of input and is held by other slices
+    too, with the region's smallest id b (more is null); one met before in the slice (more is the id it was met at);
+    and each input row (more is n, first, d1, d2, empty). first is the first row of the task with the same set; only
+    first rows have signatures. All kinds come from one scan and pass one shuffle; what no one else holds ends there."""
 
     def run(batches):
-        shingle, rings, firsts = Shingler(k), Rings(num, den), {}
+        shingle, rings, firsts, spread = Shingler(k), Rings(num, den), {}, 0
         with np.errstate(over="ignore"):
             for batch in slices(batches):
-                ids = batch.column(0).to_pylist()
-                n, first, d1, d2, owner, sigs = [], [], [], [], [], []
+                ids, rows, whose, sigs = batch.column(0).to_pylist(), [], [], []
                 for i, text in zip(ids, byte_rows(batch.column(1)), strict=True):
                     s = shingle(text)
-                    n.append(len(s))
                     if not len(s) or i is None:
-                        first.append(None), d1.append(None), d2.append(None), owner.append(0)
-                        sigs.append(np.zeros(0, U))
+                        rows.append([len(s), None, None, None, 0])
                         continue
-                    a, b = (int(x) for x in signed(np.array([mix(s, 3).sum(), mix(s, 4).sum()], U)))
-                    f = firsts.setdefault((a, b), i)
-                    first.append(f), d1.append(a), d2.append(b), owner.append(i)
-                    sigs.append(rings.signatures(s) if f == i else np.zeros(0, U))
-                counts = [len(x) for x in sigs]
+                    d = tuple(int(x) for x in signed(np.array([mix(s, 3).sum(), mix(s, 4).sum()], U)))
+                    f, empty = firsts.setdefault(d, i), 0
+                    if f == i:
+                        found, empty = rings.signatures(s)
+                        sigs.append(found), whose.append(np.full(len(found), i, np.int64))
+                    rows.append([len(s), f, *d, empty])
                 every = np.concatenate(sigs) if sigs else np.zeros(0, U)
-                whose = np.repeat(np.array(owner, np.int64), counts)
+                owner = np.concatenate(whose) if whose else np.zeros(0, np.int64)
                 _, at, back = np.unique(every, return_index=True, return_inverse=True)
-                pivot = whose[at[back]]
-                new = at[back] == np.arange(len(every))
-                fresh, met, near, begin = [], [], [], 0
-                values = signed(every)
-                for c in counts:
-                    own = slice(begin, begin + c)
-                    fresh.append(values[own][new[own]]), met.append(values[own][~new[own]]), near.append(np.unique(pivot[own][~new[own]]))
-                    begin += c
-                lists = (pa.array(x, pa.list_(pa.int64())) for x in (fresh, met, near))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(first, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), *lists], ["id", "n", "first", "d1", "d2", "fresh", "met", "near"])
+                pivot, old = owner[at[back]], at[back] != np.arange(len(every))
+                old &= pivot != owner
+                new = np.zeros(len(every), bool)
+                new[at] = True
+                spot = signed(mix(np.arange(spread, spread + len(ids), dtype=U), 5))  # input rows go anywhere
+                spread += len(ids)
+                more = pa.array(rows, pa.list_(pa.int64()))
+                for sig, salt, own, what in (
+                    (signed(every[new]), np.zeros(int(new.sum()), np.int64), pa.array(owner[new]), pa.nulls(int(new.sum()), more.type)),
+                    (signed(every[old]), owner[old], pa.array(owner[old]), pa.ListArray.from_arrays(pa.array(np.arange(old.sum() + 1), pa.int32()), pa.array(pivot[old]))),
+                    (spot, spot, batch.column(0), more),
+                ):
+                    yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(salt), own, what], ["sig", "salt", "id", "more"])
 
     two = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return two.mapInArrow(run, "id long, n long, first long, d1 long, d2 long, fresh array<long>, met array<long>, near array<long>")
+    region = Window.partitionBy("sig", "salt")  # the salt keeps rows met before out of their region's task
+    rows = two.mapInArrow(run, "sig long, salt long, id long, more array<long>")
+    held = rows.select("sig", "id", "more", F.min("id").over(region).alias("b"), F.count(F.lit(1)).over(region).alias("c"))
+    return materialise(held.where("more is not null or c > 1").drop("c"), "regions")
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame, k: int) -> DataFrame:
-    """(id, s, c): the sets of the named documents as bytes, and how many of their hashes fall into each of PROFILE parts."""
+    """(id, s, c, m): the sets of the named documents as bytes, how many of their hashes fall into each of PROFILE parts, and all."""
 
     def run(batches):
         shingle = Shingler(k)
@@ -182,11 +199,11 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame, k: int) -
             for batch in slices(batches):
                 found = [shingle(t) for t in byte_rows(batch.column(1))]
                 profiles = [np.minimum(np.bincount((x >> U(56)).astype(np.int64), minlength=PROFILE), 255).astype(np.uint8).tobytes() for x in found]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in found], pa.binary()), pa.array(profiles, pa.binary())], ["id", "s", "c"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in found], pa.binary()), pa.array(profiles, pa.binary()), pa.array([len(x) for x in found], pa.int64())], ["id", "s", "c", "m"])
 
     two = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     few = ids.count() <= BROADCAST  # 8 bytes each
-    return two.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInArrow(run, "id long, s binary, c binary")
+    return two.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInArrow(run, "id long, s binary, c binary, m long")
 
 
 def _near(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -202,7 +219,7 @@ def _near(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
 
     few = F.broadcast(pairs) if pairs.count() <= BROADCAST else pairs  # 16 bytes each
-    side = lambda i, c, m: sets.select(F.col("id").alias(i), F.col("c").alias(c), (F.length("s") / 8).cast("long").alias(m))
+    side = lambda i, c, m: sets.select(F.col("id").alias(i), F.col("c").alias(c), F.col("m").alias(m))
     both = side("a", "x", "m").join(few, "a").join(side("b", "y", "k"), "b").where(den * F.least("m", "k") >= num * F.greatest("m", "k"))
     return materialise(both.select("a", "b", "x", "y", (F.col("m") + F.col("k")).alias("total")).mapInArrow(run, "a long, b long"), "near")
 
@@ -224,7 +241,10 @@ def _verify(all_pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFr
             yield pa.RecordBatch.from_arrays([a, b, pa.array(1 - inter / np.maximum(union, 1)), pa.array(den * inter >= num * union)], ["a", "b", "d", "linked"])
 
     left, right = sets.select(F.col("id").alias("a"), F.col("s").alias("x")), sets.select(F.col("id").alias("b"), F.col("s").alias("y"))
-    few = F.broadcast(pairs) if pairs.count() <= BROADCAST else pairs  # 16 bytes each
+    few, asked = pairs, pairs.select("b").distinct()
+    if pairs.count() <= BROADCAST:  # 16 bytes each
+        few, asked = F.broadcast(few), F.broadcast(asked)
+    right = right.join(asked, "b", "left_semi")
     return left.join(few, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, d double, linked boolean")
 
 
@@ -250,16 +270,17 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
 
 
 def _join(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int, cross: int) -> DataFrame:
-    scanned = materialise(_scan(docs, id_col, text_col, k, num, den), "scan")
+    regions = _regions(docs, id_col, text_col, k, num, den)
+    release(docs.sparkSession)
+    scanned = regions.where("size(more) = 5").select("id", *[F.col("more")[i].alias(x) for i, x in enumerate(("n", "first", "d1", "d2", "empty"))])
     firsts = scanned.where("first = id")
     # equal sets of different tasks
     least = materialise(firsts.groupBy("d1", "d2").agg(F.min("id").alias("b"), F.max("id").alias("top")).where("b < top").select("d1", "d2", "b"), "equal")
     copies = firsts.select("id", "d1", "d2").join(least, ["d1", "d2"]).where("id <> b").select(F.col("id").alias("a"), "b")
     # the pivot of a region is its smallest id
-    region = Window.partitionBy("sig")
-    fresh = firsts.select("id", F.explode("fresh").alias("sig"))
-    stars = fresh.withColumn("b", F.min("id").over(region)).where("id <> b").select(F.col("id").alias("a"), "b")
-    met = firsts.select(F.col("id").alias("a"), F.explode("near").alias("b"))
+    stars = regions.where("more is null and id <> b").select(F.col("id").alias("a"), "b")
+    early = regions.where("size(more) = 1").select("sig", "id", F.col("more")[0].alias("b"))
+    met = early.select(F.col("id").alias("a"), "b")
     pairs = materialise(stars.union(met).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().join(copies, ["a", "b"], "left_anti"), "pairs")
     ids = materialise(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
     # of the pairs, those whose sizes can link
@@ -272,7 +293,9 @@ def _join(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: in
 
     # regions that still hold several components
     named = materialise(ids.join(labels, "id", "left").withColumn("root", F.coalesce("root", "id")), "named")
-    member = firsts.join(F.broadcast(named) if named.count() <= BROADCAST else named, "id").select("id", "n", "root", F.explode(F.concat("fresh", "met")).alias("sig"))
+    several = regions.where("more is null").select("sig", "id").union(early.select("sig", "id")).union(early.select("sig", F.col("b").alias("id"))).distinct()
+    whose = materialise(named.join(firsts, "id").select("id", "n", "empty", "root"), "whose")
+    member = several.join(F.broadcast(whose) if whose.count() <= BROADCAST else whose, "id")
     mixed = member.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("id").alias("p")).where("r0 < r1").select("sig", "p")
     known = measured.select(F.col("a").alias("x"), F.col("b").alias("p"), "d")
     rows = materialise(member.join(mixed, "sig"), "mixed")
@@ -280,11 +303,12 @@ def _join(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: in
     wide = materialise(sizes.select("sig", ((F.col("t") * F.col("t") - F.col("q")) / 2 > cross).alias("wide")), "wide")
     split = rows.join(wide, "sig")
     # windows of the pivot: both distances are known where the pair with the pivot was measured
-    own = split.where("not wide").join(known, (F.col("id") == F.col("x")) & (split.p == known.p), "left").select("sig", "id", "root", "n", F.when(F.col("id") == split.p, F.lit(0.0)).otherwise(F.col("d")).alias("d"))
-    other = own.select("sig", F.col("id").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"), F.col("d").alias("d_b"))
+    own = split.where("not wide").join(known, (F.col("id") == F.col("x")) & (split.p == known.p), "left").select("sig", "id", "root", "n", "empty", F.when(F.col("id") == split.p, F.lit(0.0)).otherwise(F.col("d")).alias("d"))
+    other = own.select("sig", F.col("id").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"), F.col("empty").alias("empty_b"), F.col("d").alias("d_b"))
     window = F.coalesce(F.abs(F.col("d") - F.col("d_b")) <= (den - num) / den + 1e-9, F.lit(True))
     close = den * F.least("n", "n_b") >= num * F.greatest("n", "n_b")
-    narrow = own.join(other, "sig").where("root <> root_b and id < b").where(window & close).select(F.col("id").alias("a"), "b").distinct()
+    narrow = own.join(other, "sig").where("root <> root_b and id < b").where(window & close)
+    narrow = _sharing(narrow.groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("n_b").alias("m"), F.first(F.least("empty", "empty_b")).alias("empty")), num, den)
     around = materialise(_pivots(split.where("wide").select("sig", "p", "id")), "around")
     # links with the pivots come first: members linked with one are then of one component
     fresh_pairs = around.where("p <> id").select(F.greatest("p", "id").alias("a"), F.least("p", "id").alias("b")).distinct()
@@ -302,6 +326,20 @@ def _join(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: in
     return _finish(scanned, labels, id_col)
 
 
+def _sharing(pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs that share as many regions as linked sets do. Pairs that also share a region that is cut again need
+    not be among them: such a region finds its links by itself."""
+
+    def run(batches):
+        rings = Rings(num, den)
+        for batch in batches:
+            a, b, c, *sizes = batch.columns
+            keep = [have >= rings.shared(*x) for have, *x in zip(c.to_pylist(), *(x.to_pylist() for x in sizes), strict=True)]
+            yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select("a", "b", "c", "n", "m", "empty").mapInArrow(run, "a long, b long")
+
+
 def _pivots(far: DataFrame) -> DataFrame:
     """(p, id): one pivot for each region, the one that most of its members choose, each choosing the pivot that most
     ids have. Any pivot is right; few of them, near their members, keep the differences few and short."""
