@@ -129,6 +129,24 @@ def test_jaccard_equals_all_pairs(spark, seed, cross):
     assert rows_of(jaccard_join.join(df, k=5, num=80, den=100, cross=cross)) == sorted(jaccard_join.brute_force(rows, 5, 80, 100), key=repr)
 
 
+@pytest.mark.parametrize(("num", "den"), [(85, 100), (80, 100)])
+def test_linked_sets_share_enough_regions(num, den):
+    rng, rings = np.random.default_rng(7), jaccard_join.Rings(num, den)
+    linked = 0
+    with np.errstate(over="ignore"):
+        for _ in range(400):
+            x = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 400)), dtype=np.uint64))
+            out, extra = (int(len(x) * rng.uniform(0, (den - num) / den)) for _ in range(2))
+            y = np.unique(np.concatenate((x[out:], rng.integers(0, 2**63, extra, dtype=np.uint64))))
+            inter = len(np.intersect1d(x, y))
+            if den * inter < num * (len(x) + len(y) - inter):
+                continue
+            linked += 1
+            (a, e), (b, f) = rings.signatures(x), rings.signatures(y)
+            assert len(np.intersect1d(a, b)) >= rings.shared(len(x), len(y), min(e, f)) or np.array_equal(x, y)
+    assert linked > 100
+
+
 def test_jaccard_dense_group(spark):
     """One text edited in many places, so that links are near the threshold and chains form."""
     r = random.Random(5)
