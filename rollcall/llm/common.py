@@ -44,7 +44,8 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Has the driver collect its garbage: Spark then removes the shuffle files that no live plan refers to."""
+    """Has the driver collect its garbage: Spark then removes the shuffle files that no live plan refers to.
+    A plan counts as live until the action after its own has run."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 

@@ -22,10 +22,14 @@ symmetric difference are metrics, and the triangle inequality is used in both:
    first one in common must reach the pair's bound; the rest of the members never meet. Members further than FAR from p are taken by themselves
    (with x' = x), and those within the triangle's window below FAR both ways.
 
-Candidates are first compared by profiles, the numbers of their hashes in PROFILE parts of the shingle space: these
+A pair from regions that are not cut must share as many of them as linked sets of its sizes do: a ring's parts, less
+the most that linked sets can differ in, less those in which both may be empty. Pairs are counted before the shuffle.
+
+Candidates are then compared by profiles, the numbers of their hashes in PROFILE parts of the shingle space: these
 lie at most as far apart as the sets do. All that are left are verified on whole sets. Sets are compared by 64-bit hashes of shingles; equal sets by 128 bits.
 Shuffled are hashes and ids, and the sets of candidates only; texts are not. A hash that holds many documents is
-reduced to one row a slice of input before the shuffle, so no region's size meets one task.
+reduced to one row a slice of input before the shuffle of signatures, and what only one slice holds ends there. A
+region's members meet in one task only where they form at most CROSS pairs across components.
 
 Defined results: a document without words has an empty set and is linked with nothing; with fewer words than a
 shingle, its whole sequence is its one shingle; equal documents link; rows without an id keep a null component; ids
@@ -242,7 +246,9 @@ def _verify(all_pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFr
 
     left, right = sets.select(F.col("id").alias("a"), F.col("s").alias("x")), sets.select(F.col("id").alias("b"), F.col("s").alias("y"))
     few, asked = pairs, pairs.select("b").distinct()
-    if pairs.count() <= BROADCAST:  # 16 bytes each
+    small = pairs.count() <= BROADCAST  # 16 bytes each
+    release(pairs.sparkSession)
+    if small:
         few, asked = F.broadcast(few), F.broadcast(asked)
     right = right.join(asked, "b", "left_semi")
     return left.join(few, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, d double, linked boolean")
@@ -271,11 +277,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
 
 def _join(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int, cross: int) -> DataFrame:
     regions = _regions(docs, id_col, text_col, k, num, den)
-    release(docs.sparkSession)
     scanned = regions.where("size(more) = 5").select("id", *[F.col("more")[i].alias(x) for i, x in enumerate(("n", "first", "d1", "d2", "empty"))])
     firsts = scanned.where("first = id")
     # equal sets of different tasks
     least = materialise(firsts.groupBy("d1", "d2").agg(F.min("id").alias("b"), F.max("id").alias("top")).where("b < top").select("d1", "d2", "b"), "equal")
+    release(docs.sparkSession)
     copies = firsts.select("id", "d1", "d2").join(least, ["d1", "d2"]).where("id <> b").select(F.col("id").alias("a"), "b")
     # the pivot of a region is its smallest id
     stars = regions.where("more is null and id <> b").select(F.col("id").alias("a"), "b")
@@ -288,7 +294,6 @@ def _join(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: in
     pairs = materialise(pairs.join(n_a, "a").join(n_b, "b").where(den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")).select("a", "b"), "close")
     sets = materialise(_sets(docs, id_col, text_col, ids, k), "sets")
     measured = materialise(_verify(pairs, sets, num, den), "measured")
-    release(docs.sparkSession)
     links = materialise(measured.where("linked").select("a", "b").union(copies), "found")
     labels = components(links)
 
@@ -300,7 +305,6 @@ def _join(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: in
     mixed = member.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("id").alias("p")).where("r0 < r1").select("sig", "p")
     known = measured.select(F.col("a").alias("x"), F.col("b").alias("p"), "d")
     rows = materialise(member.join(mixed, "sig"), "mixed")
-    release(docs.sparkSession)
     sizes = rows.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("sig").agg(F.sum("c").alias("t"), F.sum(F.col("c") * F.col("c")).alias("q"))
     wide = materialise(sizes.select("sig", ((F.col("t") * F.col("t") - F.col("q")) / 2 > cross).alias("wide")), "wide")
     split = rows.join(wide, "sig")
@@ -311,19 +315,18 @@ def _join(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: in
     close = den * F.least("n", "n_b") >= num * F.greatest("n", "n_b")
     narrow = own.join(other, "sig").where("root <> root_b and id < b").where(window & close)
     narrow = _sharing(narrow.groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("n_b").alias("m"), F.first(F.least("empty", "empty_b")).alias("empty")), num, den)
+    release(docs.sparkSession)
     around = materialise(_pivots(split.where("wide").select("sig", "p", "id")), "around")
     # links with the pivots come first: members linked with one are then of one component
     fresh_pairs = around.where("p <> id").select(F.greatest("p", "id").alias("a"), F.least("p", "id").alias("b")).distinct()
     fresh_pairs = materialise(fresh_pairs, "spokes")
     linked = materialise(_verify(fresh_pairs, sets, num, den).where("linked").select("a", "b"), "linked")
-    release(docs.sparkSession)
     if not linked.isEmpty():
         links = materialise(links.union(linked).distinct(), "found")
         labels = components(links)
     again = _differences(around.join(labels, "id", "left").select("p", "id", F.coalesce("root", "id").alias("root")), sets, num, den)
     more = narrow.union(again).distinct().join(measured.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
     more = materialise(more, "more")
-    release(docs.sparkSession)
     late = materialise(_verify(more, sets, num, den).where("linked").select("a", "b"), "late")
     if not late.isEmpty():
         labels = components(materialise(links.union(late), "found"))
@@ -390,6 +393,7 @@ def _differences(members: DataFrame, sets: DataFrame, num: int, den: int) -> Dat
 
     pivots = sets.select(F.col("id").alias("p"), F.col("s").alias("y"))
     with_sets = whole.join(sets.select("id", F.col("s").alias("x")), "id").join(pivots, "p").select("p", "id", "root", "x", "y")
+    release(whole.sparkSession)
     first = materialise(with_sets.mapInArrow(run, "p long, id long, root long, n int, m int, k int, own boolean, part long"), "prefix")
     other = first.select("p", "own", "part", *[F.col(x).alias(f"{x}_2") for x in ("id", "root", "n", "m", "k")])
     # what this pair must share, and what it can still share from the first part in common on
