@@ -1,5 +1,8 @@
 """The pipeline against its stages applied by plain code."""
 
+import public_tokenizers
+import sentencepiece
+
 import corpus_pipeline
 from rollcall.llm import decontaminate, jaccard_join, quality_rules
 from rollcall.llm.common import table
@@ -27,7 +30,10 @@ def test_stages(spark):
     clean = stages["benchmark decontamination"](spark, near, SF)
     hit = {r[0] for r in decontaminate.brute_force([x for x in rows if x[0] in set(want)], items) if r[-1]}
     assert sorted(r.doc_id for r in clean.collect()) == sorted(set(want) - hit)
-    assert sorted(r.doc_id for r in corpus_pipeline.run(spark, SF).collect()) == sorted(set(want) - hit)
+    texts = dict(rows)
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    got = {r.doc_id: (list(r.ids), r.n_tokens) for r in corpus_pipeline.run(spark, SF).collect()}
+    assert got == {i: (ids, len(ids)) for i in set(want) - hit for ids in [library.encode(texts[i])]}
 
 
 def test_odd_rows(spark):
