@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -268,6 +269,34 @@ def test_lm_scores(spark):
     assert np.isclose(lm_scores.losses(counts, words, pairs), -np.log(p).mean())
 
 
+def test_lm_scores_count_every_word_and_pair_for_itself(spark):
+    rng = random.Random(5)
+    docs = [(k, " ".join(f"W{int(rng.paretovariate(0.1)) % 10**6}" for _ in range(400))) for k in range(300)] + [(None, "w1 w1 w2"), (None, "w1 w1 w2"), (7, "w1"), (8, None)]
+    labels = [(k, 1, 0) for k in range(0, 60, 2)]
+    counts = [(Counter(), Counter()), (Counter(), Counter())]
+    for k, text in docs:
+        words = (text or "").lower().split()
+        for c, use in zip(counts, (True, k in range(0, 60, 2)), strict=True):
+            if use:
+                c[0].update(words)
+                c[1].update(zip(words, words[1:]))
+    assert len(counts[0][0]) > lm_scores.WORD_SLOTS / 2  # so that many words would share a hashed slot
+    size, wanted = counts[0][0].total(), counts[1][0].total()
+    want = []
+    for k, text in docs:
+        words, both = (text or "").lower().split(), []
+        for (single, pair), scale in ((counts[1], 1), (counts[0], wanted / size)):
+            p = [(single[w] * scale + 1) / (wanted + len(counts[0][0])) for w in words]
+            p[1:] = [0.7 * (pair[v, w] / single[v] if single[v] else 0) + 0.3 * x for v, w, x in zip(words, words[1:], p[1:])]
+            both.append(float(-np.log(p).mean()) if p else 0.0)
+        want.append((str(k), len(words), *both, both[0] - both[1]))
+    for size in (1 << 24, 100_000):
+        got = lm_scores.report(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), slice_bytes=size).collect()
+        got = sorted((str(r.doc_id), *tuple(r)[1:]) for r in got)
+        assert [g[:2] for g in got] == [w[:2] for w in sorted(want)]
+        assert np.allclose([g[2:] for g in got], [w[2:] for w in sorted(want)], atol=1e-9)
+
+
 PAGE = "<html><head><title>T{0}</title><style>p{{}}</style><script>var a='</p>';</script></head><body><nav><ul><li>Menu</li></ul></nav><div class='ad'>Buy {0}</div><article><h1>Head {0}</h1><p>Some <b>bold</b>\n  text {0} &amp; more<br><p>Second &eacute; {0}</article><div class='comments'><p>First! {0}</p></div><form>Name <input></form><aside>Side</aside><footer>&copy; Site</footer></body></html>"
 
 
