@@ -317,6 +317,18 @@ def test_html_table(spark):
     assert html_text.report(pages.limit(0)).collect() == []
 
 
+def test_html_copies_are_no_template(spark):
+    plain = "<body><div>Welcome to Site</div><div><p>Body {0} text</p></div></body>"
+    table = "<body><div>Welcome to Site</div><table><tr><td>Cell text</td></tr></table></body>"
+    pages = [plain.format(k) for k in range(30)] + [table] * 2
+    want = [f"Body {k} text" for k in range(30)] + ["Cell text"] * 2
+    assert html_text.extract(pages) == want
+    assert html_text.extract([table] * 40 + pages[:30]) == ["Cell text"] * 40 + want[:30]
+    rows = [(k, f"http://h.org/{k}", p) for k, p in enumerate([table] * 40 + pages[:30])]
+    got = html_text.report(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert [r.text for r in sorted(got, key=lambda r: r.page_id)] == ["Cell text"] * 40 + want[:30]
+
+
 def test_token_counts(spark):
     e = token_counts.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     got = {r.doc_id: r for r in queries.token_counts.token_counts(clashing(odd(spark)), "doc_id", "text", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).collect()}
