@@ -329,6 +329,16 @@ def test_html_copies_are_no_template(spark):
     assert [r.text for r in sorted(got, key=lambda r: r.page_id)] == ["Cell text"] * 40 + want[:30]
 
 
+def test_html_wrapper_decides_in_marked_pages():
+    page = "<body><article><h1>Head {0}</h1><div><p>All rights <b>reserved</b></p></div><section>Body {0}</section></article></body>"
+    assert html_text.extract([page.format(k) for k in range(4)]) == [f"Head {k}\n\nBody {k}" for k in range(4)]
+    line = "<body><article><p>Text {0} <b><i>bold</i></b> words</p></article></body>"
+    assert html_text.extract([line.format(k) for k in range(4)]) == [f"Text {k} bold words" for k in range(4)]
+    assert html_text.extract([f"<body><article>Same</article><div>Other {k}</div></body>" for k in range(4)]) == ["Same"] * 4
+    assert html_text.extract(["<body><main><p>Own text</p><article>Story</article></main></body>"]) == ["Own text\n\nStory"]
+    assert html_text.extract(["<body><main><nav>Menu</nav><article>Story</article></main></body>"]) == ["Story"]
+
+
 def test_token_counts(spark):
     e = token_counts.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     got = {r.doc_id: r for r in queries.token_counts.token_counts(clashing(odd(spark)), "doc_id", "text", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).collect()}
