@@ -50,6 +50,34 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+class Scratch:
+    """Tables of one operator in the shared folder, deleted once no later step reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def write(self, df: DataFrame, what: str) -> DataFrame:
+        path = fresh_path(self.spark, what)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths.append((out, path))
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table, path in [x for x in self.paths if any(x[0] is t for t in tables)]:
+            delete(self.spark, path)
+            self.paths = [x for x in self.paths if x[0] is not table]
+
+    def drop_all_but(self, *tables: DataFrame) -> None:
+        self.drop(*[table for table, _ in self.paths if not any(table is t for t in tables)])
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this library wrote, wherever Spark's paths lead."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 500):
     """Arrow batches of few rows for what is executed inside, where rows carry whole sets or texts twice."""

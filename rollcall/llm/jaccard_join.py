@@ -1,57 +1,57 @@
 """Operator 3: exact Jaccard join of word-shingle sets in a metric space, with the components of its links.
 
-Sets x and y link when TAU_DEN * |x & y| >= TAU_NUM * |x | y|. Both the Jaccard distance and the size of the
-symmetric difference are metrics, and the triangle inequality is used in both:
-
-1. *Rings.* The empty set is the first pivot; its distance to x is |x|. Rings around it hold sizes [r, 1.5 r). Linked
-   sets differ in size by a factor of TAU at most, so a set near the inner edge is also replicated to the ring inside.
-2. *Voronoi regions.* Drawn documents do not serve as pivots here: nearly every document is at distance 1 from each of
-   them, so every window would hold every document. Instead the shingle space of a ring is cut by hash into m parts,
-   m over the greatest symmetric difference K that linked sets of the ring can have. In some part linked sets are
-   at distance 0, so in each part each distinct projection is a pivot, and its region is what projects onto it.
-   Empty projections are no regions: m has some slack over K + 1, and a set with more empty parts than the slack is
-   also cut by a second hash (and so on), which finds its links to others of that kind.
-3. *Recursion.* In each region the smallest id is the pivot: every member is compared with it, and components of the
-   links found so far are labelled. Members of one component need no comparison any more. A region that still holds
-   several components is joined across these, within the windows |d(x, p) - d(y, p)| <= 1 - TAU of its pivot. A region
-   with more than CROSS such pairs is cut again, around its pivot p, by what its members differ in from p: let
-   x' = x ^ p, so x ^ y = x' ^ y'. With c = (1 - TAU) / (1 + TAU), linked sets have |x ^ y| <= c (|x| + |y|), and as
-   |x| <= |p| + |x'|, they share at least ((1 - c) |x'| + |y'| - c (|y| + |p|)) / 2 of their differences from p. The
-   second part is above 0 unless y is linked with p, and two members linked with p are of one component. So a pair
-   shares one of the first differences of either side, what p lacks before what it has, and what is left behind the
-   first one in common must reach the pair's bound; the rest of the members never meet. Members further than FAR from p are taken by themselves
-   (with x' = x), and those within the triangle's window below FAR both ways.
-
-A pair from regions that are not cut must share as many of them as linked sets of its sizes do: a ring's parts, less
-the most that linked sets can differ in, less those in which both may be empty. Pairs are counted before the shuffle.
+Sets x and y link when TAU_DEN * |x & y| >= TAU_NUM * |x | y|.
+
+1. *First level.* Nearly every document is at Jaccard distance 1 from every other, so drawn documents cannot part the
+   corpus: each triangle window would hold all of it. The pivots of this level are the single shingles. A set is at
+   distance 1 - 1/|x| from each shingle that it holds and at 1 from all others; the tie goes to the rarest, whose
+   Voronoi cell it is in. A linked set may lie in another cell, yet not in any: the two differ by few shingles, so the
+   window of a set spans its |x| - ceil(TAU |x|) + 1 rarest shingles, and that of the smaller of two linked sets its
+   |x| - ceil(2 TAU / (1 + TAU) |x|) + 1 rarest. A set is replicated to the regions of its window; linked sets meet in
+   the region of the first shingle, in the common order, that they have in common. This is a signature join, no more.
+   "Rarest" is read from a sketch of all shingles (SLOTS counters, log scale), ties by hash: whatever the sketch says,
+   the order is one for all and the result exact; a good sketch keeps shared passages out of the windows.
+2. *Regions.* A document is the pivot of each region, every member that can link with it there is compared with it,
+   and components of the links found are labelled. Members of one component need no comparison any more. A region
+   that still holds several components is joined across these, within the triangle windows
+   |d(x, p) - d(y, p)| <= 1 - TAU of its pivot and where the places of the shingle in both sets let them link.
+3. *Recursion.* A region with more than CROSS pairs left is cut again, around a pivot p that most members choose, by
+   what its members differ in from p: let x' = x ^ p, so x ^ y = x' ^ y'. With c = (1 - TAU) / (1 + TAU), linked sets
+   have |x ^ y| <= c (|x| + |y|), and as |x| <= |p| + |x'|, they share at least
+   ((1 - c) |x'| + |y'| - c (|y| + |p|)) / 2 of their differences from p. The second part is above 0 unless y is
+   linked with p, and two members linked with p are of one component. So a pair shares one of the first differences
+   of either side, what p lacks before what it has, and what is left behind the first one in common must reach the
+   pair's bound; the rest of the members never meet. Members further than FAR from p are taken by themselves (with
+   x' = x), and those within the triangle's window below FAR both ways.
 
 Candidates are then compared by profiles, the numbers of their hashes in PROFILE parts of the shingle space: these
-lie at most as far apart as the sets do. All that are left are verified on whole sets. Sets are compared by 64-bit hashes of shingles; equal sets by 128 bits.
-Shuffled are hashes and ids, and the sets of candidates only; texts are not. A hash that holds many documents is
-reduced to one row a slice of input before the shuffle of signatures, and what only one slice holds ends there. A
-region's members meet in one task only where they form at most CROSS pairs across components.
+lie at most as far apart as the sets do. All that are left are verified on whole sets. Sets are compared by 64-bit
+hashes of shingles; equal sets by 128 bits. Shuffled are hashes and ids, and the sets of candidates only; texts are
+not. A shingle that holds many documents is reduced to one row a slice of input before the shuffle of windows, and
+what only one slice holds ends there.
 
 Defined results: a document without words has an empty set and is linked with nothing; with fewer words than a
 shingle, its whole sequence is its one shingle; equal documents link; rows without an id keep a null component; ids
-are expected to be unique, rows that repeat an id share its component. Extra columns are ignored.
+are expected to be unique, rows that repeat an id share its component. Very long texts are whole sets like all others.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import byte_rows, materialise, release, slices, small_batches
+from .common import Scratch, byte_rows, slices, small_batches
 
 K, TAU_NUM, TAU_DEN = 4, 85, 100
 #: A region with more pairs across components is cut again; ids up to BROADCAST are sent to all tasks.
-CROSS, BROADCAST, SEEDS = 1_000, 1_000_000, 6
+CROSS, BROADCAST = 1_000, 1_000_000
+#: Counters of the sketch (a power of two) and counters in one row of it.
+SLOTS, BLOCK = 1 << 21, 1 << 15
 #: Parts of the profile by which candidates are first compared.
 PROFILE = 256
 #: Beyond this distance from a pivot a member stands for itself; those within the window below do both.
@@ -95,103 +95,146 @@ class Shingler:
         return np.unique(mix(s, 1))
 
 
-class Rings:
-    """Which signatures a set has in which rings."""
-
-    def __init__(self, num: int, den: int):
-        self.num, self.den, self.edges = num, den, [1]
-
-    @lru_cache(maxsize=None)  # noqa: B019  one object a task
-    def of(self, n: int) -> list[tuple[int, int, int]]:
-        """(ring, K, parts) of each ring that a set of size n is in."""
-        while self.edges[-1] <= n:
-            self.edges.append(max(self.edges[-1] + 1, self.edges[-1] * 3 // 2))
-        out = []
-        for i, (low, high) in enumerate(zip(self.edges, self.edges[1:], strict=False)):
-            widest = (high - 1) * self.den // self.num  # the largest partner of a set in this ring
-            if low <= n <= widest:
-                k = (high - 1 + widest) * (self.den - self.num) // (self.den + self.num)
-                if k:
-                    out.append((i, k, k + 1 + k // 16))
-        return out
-
-    def signatures(self, s: np.ndarray) -> tuple[np.ndarray, int]:
-        """The set's signatures, and the most empty parts that it has in one of its rings by the first hash."""
-        out, most = [], 0
-        for ring, k, parts in self.of(len(s)):
-            for seed in range(SEEDS):
-                part = ((mix(s, 10 + seed) >> U(11)) % U(parts)).astype(np.int64)
-                held, total = np.zeros(parts, bool), np.zeros(parts, U)
-                held[part] = True
-                np.add.at(total, part, mix(s, 50 + seed))
-                empty = parts - int(held.sum())
-                most = most if seed else max(most, empty)
-                enough = empty <= parts - k - 1
-                if not enough and seed == SEEDS - 1:
-                    held[:] = True  # the last way out: empty parts are regions too
-                where = np.flatnonzero(held)
-                out.append(mix(total[where] + mix(where.astype(U) + U((ring * SEEDS + seed) << 32), 7), 8))
-                if enough:
-                    break
-        return np.concatenate(out) if out else np.zeros(0, U), most
-
-    @lru_cache(maxsize=100_000)  # noqa: B019  one object a task
-    def shared(self, n: int, m: int, empty: int) -> int:
-        """How many regions linked sets of these sizes share at least, if one of them has no more empty parts than this.
-        Of a ring's parts they differ in as many as their sizes allow, and are alike by being empty in some."""
-        differ = (n + m) * (self.den - self.num) // (self.den + self.num)
-        both = set(self.of(n)) & set(self.of(m))
-        return max(1, sum(max(0, parts - differ - empty) for _, _, parts in both))
-
-
 def signed(x: np.ndarray) -> np.ndarray:
     return x.astype(U).view(np.int64)
 
 
+def slot(s: np.ndarray) -> np.ndarray:
+    """The sketch's counter of each shingle hash."""
+    return (s >> U(65 - SLOTS.bit_length())).astype(np.int64)
+
+
+def coded(counts: np.ndarray) -> np.ndarray:
+    """Counts as bytes, on a log scale of eight steps a doubling."""
+    return np.minimum(np.rint(8 * np.log2(1.0 + counts)), 255).astype(np.uint8)
+
+
+def frequencies(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
+    """The sketch over all texts: SLOTS coded counts of distinct sets' shingles (equal sets count once a task).
+
+    Each task sends its counters as blocks, which are summed by block; SLOTS bytes reach the driver, whatever the input."""
+
+    def count(batches):
+        shingle, counts, held, size, seen = Shingler(k), np.zeros(SLOTS, np.int64), [], 0, set()
+        with np.errstate(over="ignore"):
+            for batch in slices(batches):
+                for text in byte_rows(batch.column(0)):
+                    s = shingle(text)
+                    d = int(mix(s, 3).sum())
+                    if not len(s) or d in seen:
+                        continue
+                    seen.add(d)
+                    held.append(slot(s))
+                    size += len(s)
+                    if size > 1 << 20:
+                        counts += np.bincount(np.concatenate(held), minlength=SLOTS)
+                        held, size = [], 0
+                if len(seen) > 1_000_000:
+                    seen.clear()
+        if held:
+            counts += np.bincount(np.concatenate(held), minlength=SLOTS)
+        yield from blocks(counts)
+
+    def blocks(counts):
+        parts = [(j, coded(x).tobytes()) for j, x in enumerate(counts.reshape(-1, BLOCK)) if x.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([j for j, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())], ["block", "counts"])
+
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for j, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = np.exp2(np.frombuffer(x, np.uint8) / 8.0) - 1
+                total[j] = total[j] + found if j in total else found
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([coded(x).tobytes() for x in total.values()], pa.binary())], ["block", "counts"])
+
+    kind = "block int, counts binary"
+    parts = docs.select(F.col(text_col).alias("text")).mapInArrow(count, kind).repartition("block").mapInArrow(add, kind)
+    out = np.zeros(SLOTS, np.uint8)
+    for r in parts.collect():
+        out[r.block * BLOCK : (r.block + 1) * BLOCK] = np.frombuffer(r.counts, np.uint8)
+    return out
+
+
+def window(s: np.ndarray, classes: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles whose regions a set is replicated to, rarest first, and where they stand: size, place, and whether
+    the window of the smaller of two linked sets spans the place, packed into one number (see size, place, smaller)."""
+    n = len(s)
+    width = n + 1 - -(-num * n // den)
+    close = n + 1 - -(-2 * num * n // (num + den))
+    order = np.argsort(classes[slot(s)], kind="stable")[:width]  # s is sorted: ties go by hash
+    place = np.arange(width, dtype=np.int64)
+    return s[order], np.int64(n << 32) | place << 1 | (place < close)
+
+
+def size(at: str) -> Column:
+    return F.shiftright(F.col(at), 32)
+
+
+def place(at: str) -> Column:
+    return F.shiftright(F.col(at).bitwiseAND(0xFFFFFFFF), 1)
+
+
+def smaller(at: str) -> Column:
+    return F.col(at).bitwiseAND(1) == 1
+
+
+def can_link(a: str, b: str, num: int, den: int) -> Column:
+    """Whether sets can link whose first shingle in common stands at these places."""
+    both = size(a) + size(b)
+    least = F.ceil((num * both) / F.lit(num + den) - 1e-9)
+    return F.least(size(a) - place(a), size(b) - place(b)) >= least
+
+
 def _regions(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int) -> DataFrame:
-    """(sig, id, b, more), of three kinds: a signature that is new in its slice of input and is held by other slices
-    too, with the region's smallest id b (more is null); one met before in the slice (more is the id it was met at);
-    and each input row (more is n, first, d1, d2, empty). first is the first row of the task with the same set; only
-    first rows have signatures. All kinds come from one scan and pass one shuffle; what no one else holds ends there."""
+    """(sig, id, at, more, p, p_at), of three kinds: a shingle of a window that is new in its slice of input and is held
+    by other slices too, with the region's pivot p (more is null); one met before in the slice (more is the id it was
+    met at and its place there); and each input row (at is its size, more is first, d1, d2). first is the first row of
+    the task with the same set; only first rows have windows. All kinds come from one scan and pass one shuffle; what
+    no one else holds, or only windows of larger sets, ends there."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequencies(docs, text_col, k))
 
     def run(batches):
-        shingle, rings, firsts, spread = Shingler(k), Rings(num, den), {}, 0
+        shingle, classes, firsts, spread = Shingler(k), shared.value, {}, 0
         with np.errstate(over="ignore"):
             for batch in slices(batches):
-                ids, rows, whose, sigs = batch.column(0).to_pylist(), [], [], []
+                ids, rows, sizes, whose, sigs, ats = batch.column(0).to_pylist(), [], [], [], [], []
                 for i, text in zip(ids, byte_rows(batch.column(1)), strict=True):
                     s = shingle(text)
+                    sizes.append(len(s))
                     if not len(s) or i is None:
-                        rows.append([len(s), None, None, None, 0])
+                        rows.append([None, None, None])
                         continue
                     d = tuple(int(x) for x in signed(np.array([mix(s, 3).sum(), mix(s, 4).sum()], U)))
-                    f, empty = firsts.setdefault(d, i), 0
+                    f = firsts.setdefault(d, i)
                     if f == i:
-                        found, empty = rings.signatures(s)
-                        sigs.append(found), whose.append(np.full(len(found), i, np.int64))
-                    rows.append([len(s), f, *d, empty])
-                every = np.concatenate(sigs) if sigs else np.zeros(0, U)
-                owner = np.concatenate(whose) if whose else np.zeros(0, np.int64)
-                _, at, back = np.unique(every, return_index=True, return_inverse=True)
-                pivot, old = owner[at[back]], at[back] != np.arange(len(every))
-                old &= pivot != owner
-                new = np.zeros(len(every), bool)
-                new[at] = True
+                        found, at = window(s, classes, num, den)
+                        sigs.append(found), ats.append(at), whose.append(np.full(len(found), i, np.int64))
+                    rows.append([f, *d])
+                every, owner, at = (np.concatenate(x) if x else np.zeros(0, kind) for x, kind in ((sigs, U), (whose, np.int64), (ats, np.int64)))
+                order = np.lexsort(((at & 1) ^ 1, every))
+                every, owner, at = every[order], owner[order], at[order]
+                new = np.ones(len(every), bool)
+                new[1:] = every[1:] != every[:-1]
+                head = np.maximum.accumulate(np.where(new, np.arange(len(every)), 0))
+                pivot, pivot_at, old = owner[head], at[head], ~new & (owner[head] != owner)
+                new = np.flatnonzero(new)[np.argsort(order[new])]  # by document again: such rows take fewer bytes
                 spot = signed(mix(np.arange(spread, spread + len(ids), dtype=U), 5))  # input rows go anywhere
                 spread += len(ids)
-                more = pa.array(rows, pa.list_(pa.int64()))
-                for sig, salt, own, what in (
-                    (signed(every[new]), np.zeros(int(new.sum()), np.int64), pa.array(owner[new]), pa.nulls(int(new.sum()), more.type)),
-                    (signed(every[old]), owner[old], pa.array(owner[old]), pa.ListArray.from_arrays(pa.array(np.arange(old.sum() + 1), pa.int32()), pa.array(pivot[old]))),
-                    (spot, spot, batch.column(0), more),
+                count = len(new)
+                met = pa.ListArray.from_arrays(np.arange(0, 2 * old.sum() + 1, 2, dtype=np.int32), np.stack((pivot[old], pivot_at[old]), 1).ravel())
+                for columns in (
+                    (signed(every[new]), np.zeros(count, np.int64), owner[new], at[new], pa.nulls(count, met.type)),
+                    (signed(every[old]), owner[old], owner[old], at[old], met),
+                    (spot, spot, batch.column(0), np.array(sizes, np.int64), pa.array(rows, pa.list_(pa.int64()))),
                 ):
-                    yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(salt), own, what], ["sig", "salt", "id", "more"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], ["sig", "salt", "id", "at", "more"])
 
     two = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     region = Window.partitionBy("sig", "salt")  # the salt keeps rows met before out of their region's task
-    rows = two.mapInArrow(run, "sig long, salt long, id long, more array<long>")
-    held = rows.select("sig", "id", "more", F.min("id").over(region).alias("b"), F.count(F.lit(1)).over(region).alias("c"))
-    return materialise(held.where("more is not null or c > 1").drop("c"), "regions")
+    rows = two.mapInArrow(run, "sig long, salt long, id long, at long, more array<long>")
+    pivot, members = F.min(F.when(smaller("at"), F.struct("id", "at"))).over(region), F.count(F.lit(1)).over(region)
+    held = rows.select("sig", "id", "at", "more", pivot.alias("b"), members.alias("c")).where("more is not null or c > 1 and b is not null")
+    return held.select("sig", "id", "at", "more", F.col("b.id").alias("p"), F.col("b.at").alias("p_at"))
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame, k: int) -> DataFrame:
@@ -202,12 +245,25 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame, k: int) -
         with np.errstate(over="ignore"):
             for batch in slices(batches):
                 found = [shingle(t) for t in byte_rows(batch.column(1))]
-                profiles = [np.minimum(np.bincount((x >> U(56)).astype(np.int64), minlength=PROFILE), 255).astype(np.uint8).tobytes() for x in found]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in found], pa.binary()), pa.array(profiles, pa.binary()), pa.array([len(x) for x in found], pa.int64())], ["id", "s", "c", "m"])
+                parts = [np.bincount((x >> U(56)).astype(np.int64), minlength=PROFILE) for x in found]
+                profiles = [np.minimum(x, 255).astype(np.uint8).tobytes() for x in parts]
+                columns = [pa.array([x.tobytes() for x in found], pa.binary()), pa.array(profiles, pa.binary()), pa.array([len(x) for x in found], pa.int64())]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "s", "c", "m"])
 
     two = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    few = ids.count() <= BROADCAST  # 8 bytes each
-    return two.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInArrow(run, "id long, s binary, c binary, m long")
+    return two.join(_small(ids), "id", "left_semi").mapInArrow(run, "id long, s binary, c binary, m long")
+
+
+def _small(written: DataFrame) -> DataFrame:
+    """A written table of numbers, sent to all tasks where it has no more than BROADCAST rows."""
+    return F.broadcast(written) if written.count() <= BROADCAST else written
+
+
+def _named(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """The sets with these ids, a written table's column."""
+    few = ids.count() <= BROADCAST
+    ids = ids.toDF("id").distinct()
+    return sets.join(F.broadcast(ids) if few else ids, "id", "left_semi")
 
 
 def _near(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -222,15 +278,14 @@ def _near(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
                 keep = np.abs(x - y).sum(1, dtype=np.int64) * (den + num) <= total * (den - num)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
 
-    few = F.broadcast(pairs) if pairs.count() <= BROADCAST else pairs  # 16 bytes each
     side = lambda i, c, m: sets.select(F.col("id").alias(i), F.col("c").alias(c), F.col("m").alias(m))
-    both = side("a", "x", "m").join(few, "a").join(side("b", "y", "k"), "b").where(den * F.least("m", "k") >= num * F.greatest("m", "k"))
-    return materialise(both.select("a", "b", "x", "y", (F.col("m") + F.col("k")).alias("total")).mapInArrow(run, "a long, b long"), "near")
+    both = side("a", "x", "m").join(_small(pairs), "a").join(side("b", "y", "k"), "b").where(den * F.least("m", "k") >= num * F.greatest("m", "k"))
+    return both.select("a", "b", "x", "y", (F.col("m") + F.col("k")).alias("total")).mapInArrow(run, "a long, b long")
 
 
-def _verify(all_pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b, d, linked) of each pair that their profiles leave."""
-    pairs = _near(all_pairs, sets, num, den)
+def _verify(all_pairs: DataFrame, sets: DataFrame, num: int, den: int, t: Scratch) -> DataFrame:
+    """(a, b, d, linked) of each pair that their profiles leave; all_pairs is a written table."""
+    pairs = t.write(_near(all_pairs, sets, num, den), "near")
 
     def run(batches):
         for batch in batches:
@@ -242,29 +297,28 @@ def _verify(all_pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFr
                 total.append(len(x) + len(y))
             both, inter = np.array(total, np.int64), np.array(inter, np.int64)
             union = both - inter
-            yield pa.RecordBatch.from_arrays([a, b, pa.array(1 - inter / np.maximum(union, 1)), pa.array(den * inter >= num * union)], ["a", "b", "d", "linked"])
+            columns = [a, b, pa.array(1 - inter / np.maximum(union, 1)), pa.array(den * inter >= num * union)]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "d", "linked"])
 
-    left, right = sets.select(F.col("id").alias("a"), F.col("s").alias("x")), sets.select(F.col("id").alias("b"), F.col("s").alias("y"))
-    few, asked = pairs, pairs.select("b").distinct()
-    small = pairs.count() <= BROADCAST  # 16 bytes each
-    release(pairs.sparkSession)
-    if small:
-        few, asked = F.broadcast(few), F.broadcast(asked)
-    right = right.join(asked, "b", "left_semi")
-    return left.join(few, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, d double, linked boolean")
+    left = sets.select(F.col("id").alias("a"), F.col("s").alias("x"))
+    right = _named(sets, pairs.select("b")).select(F.col("id").alias("b"), F.col("s").alias("y"))
+    return left.join(_small(pairs), "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, d double, linked boolean")
 
 
-def components(links: DataFrame, rounds: int = 100) -> DataFrame:
+def components(links: DataFrame, t: Scratch, rounds: int = 100) -> DataFrame:
     """(id, root) of every id in the links (a, b): smallest labels spread along links, and labels jump to their own."""
-    both = materialise(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = materialise(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("root")), "labels")
+    both = t.write(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
+    first = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("root"))
+    labels = step = t.write(first, "labels")
     for _ in range(rounds):
         spread = both.join(labels, both.b == labels.id).groupBy(F.col("a").alias("id")).agg(F.min("root").alias("m"))
         new = labels.join(spread, "id").select("id", F.least("root", "m").alias("r"), F.col("root").alias("old"))
         jump = labels.select(F.col("id").alias("r"), F.col("root").alias("far"))
-        step = materialise(new.join(jump, "r", "left").select("id", F.least("r", F.coalesce("far", "r")).alias("root"), "old"), "labels")
+        last, step = step, t.write(new.join(jump, "r", "left").select("id", F.least("r", F.coalesce("far", "r")).alias("root"), "old"), "labels")
+        t.drop(last)
         labels = step.select("id", "root")
         if step.where("root <> old").isEmpty():
+            t.drop(both)
             return labels
     raise RuntimeError(f"components not found in {rounds} rounds")
 
@@ -275,94 +329,94 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
         return _join(docs, id_col, text_col, k, num, den, cross)
 
 
+def _ordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    return pairs.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
+
+
 def _join(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int, cross: int) -> DataFrame:
-    regions = _regions(docs, id_col, text_col, k, num, den)
-    scanned = regions.where("size(more) = 5").select("id", *[F.col("more")[i].alias(x) for i, x in enumerate(("n", "first", "d1", "d2", "empty"))])
-    firsts = scanned.where("first = id")
+    t = Scratch(docs.sparkSession)
+    regions = t.write(_regions(docs, id_col, text_col, k, num, den), "regions")
+    scanned = t.write(regions.where("size(more) = 3").select("id", F.col("at").alias("n"), *[F.col("more")[i].alias(x) for i, x in enumerate(("first", "d1", "d2"))]), "scanned")
+    met = regions.where("size(more) = 2").select("sig", "id", "at", F.col("more")[0].alias("p"), F.col("more")[1].alias("p_at"))
+    alone = regions.where("more is null").select("sig", "id", "at", "p", "p_at")
     # equal sets of different tasks
-    least = materialise(firsts.groupBy("d1", "d2").agg(F.min("id").alias("b"), F.max("id").alias("top")).where("b < top").select("d1", "d2", "b"), "equal")
-    release(docs.sparkSession)
-    copies = firsts.select("id", "d1", "d2").join(least, ["d1", "d2"]).where("id <> b").select(F.col("id").alias("a"), "b")
-    # the pivot of a region is its smallest id
-    stars = regions.where("more is null and id <> b").select(F.col("id").alias("a"), "b")
-    early = regions.where("size(more) = 1").select("sig", "id", F.col("more")[0].alias("b"))
-    met = early.select(F.col("id").alias("a"), "b")
-    pairs = materialise(stars.union(met).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().join(copies, ["a", "b"], "left_anti"), "pairs")
-    ids = materialise(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
-    # of the pairs, those whose sizes can link
-    n_a, n_b = (firsts.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
-    pairs = materialise(pairs.join(n_a, "a").join(n_b, "b").where(den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")).select("a", "b"), "close")
-    sets = materialise(_sets(docs, id_col, text_col, ids, k), "sets")
-    measured = materialise(_verify(pairs, sets, num, den), "measured")
-    links = materialise(measured.where("linked").select("a", "b").union(copies), "found")
-    labels = components(links)
+    firsts = scanned.where("first = id")
+    least = t.write(firsts.groupBy("d1", "d2").agg(F.min("id").alias("b"), F.max("id").alias("top")).where("b < top").select("d1", "d2", "b"), "equal")
+    copies = t.write(firsts.select("id", "d1", "d2").join(least, ["d1", "d2"]).where("id <> b").select(F.col("id").alias("a"), "b"), "copies")
+    t.drop(least)
+    # members with the pivots of their regions
+    stars = alone.union(met).where("id <> p").where(can_link("at", "p_at", num, den))
+    pairs = t.write(_ordered(stars, "id", "p").join(copies, ["a", "b"], "left_anti"), "pairs")
+    ids = t.write(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
+    sets = t.write(_sets(docs, id_col, text_col, ids, k), "sets")
+    measured = t.write(_verify(pairs, sets, num, den, t), "measured")
+    links = measured.where("linked").select("a", "b").union(copies)
+    labels = components(links, t)
 
     # regions that still hold several components
-    named = materialise(ids.join(labels, "id", "left").withColumn("root", F.coalesce("root", "id")), "named")
-    several = regions.where("more is null").select("sig", "id").union(early.select("sig", "id")).union(early.select("sig", F.col("b").alias("id"))).distinct()
-    whose = materialise(named.join(firsts, "id").select("id", "n", "empty", "root"), "whose")
-    member = several.join(F.broadcast(whose) if whose.count() <= BROADCAST else whose, "id")
-    mixed = member.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("id").alias("p")).where("r0 < r1").select("sig", "p")
-    known = measured.select(F.col("a").alias("x"), F.col("b").alias("p"), "d")
-    rows = materialise(member.join(mixed, "sig"), "mixed")
-    sizes = rows.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("sig").agg(F.sum("c").alias("t"), F.sum(F.col("c") * F.col("c")).alias("q"))
-    wide = materialise(sizes.select("sig", ((F.col("t") * F.col("t") - F.col("q")) / 2 > cross).alias("wide")), "wide")
-    split = rows.join(wide, "sig")
+    member = alone.select("sig", "id", "at").union(met.select("sig", "id", "at")).union(met.select("sig", "p", "p_at")).distinct()
+    member = member.join(_small(labels), "id", "left").select("sig", "id", "at", F.coalesce("root", "id").alias("root"))
+    rows = member.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min(F.when(smaller("at"), F.col("id"))).alias("p"))
+    rows = t.write(member.join(rows.where("r0 < r1 and p is not null").select("sig", "p"), "sig"), "mixed")
+    t.drop(regions)
+    few = F.sum(smaller("at").cast("long"))
+    sizes = rows.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("c"), few.alias("s")).groupBy("sig")
+    sizes = sizes.agg((F.sum("c") * F.sum("s") - F.sum(F.col("c") * F.col("s"))).alias("pairs"))
+    split = rows.join(sizes.where("pairs > 0").select("sig", (F.col("pairs") > cross).alias("wide")), "sig")
+    split = t.write(split, "split")
+    t.drop(rows)
+    if not split.isEmpty():
+        labels = _across(docs, id_col, text_col, k, num, den, t, split, measured, ids, sets, links, labels)
+    result = t.write(_finish(scanned, labels, id_col), "result")
+    t.drop_all_but(result)
+    return result
+
+
+def _across(docs, id_col, text_col, k, num, den, t, split, measured, ids, sets, links, labels) -> DataFrame:
+    """The labels after joining the regions of split, (sig, id, at, root, p, wide), across their components."""
     # windows of the pivot: both distances are known where the pair with the pivot was measured
-    own = split.where("not wide").join(known, (F.col("id") == F.col("x")) & (split.p == known.p), "left").select("sig", "id", "root", "n", "empty", F.when(F.col("id") == split.p, F.lit(0.0)).otherwise(F.col("d")).alias("d"))
-    other = own.select("sig", F.col("id").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"), F.col("empty").alias("empty_b"), F.col("d").alias("d_b"))
-    window = F.coalesce(F.abs(F.col("d") - F.col("d_b")) <= (den - num) / den + 1e-9, F.lit(True))
-    close = den * F.least("n", "n_b") >= num * F.greatest("n", "n_b")
-    narrow = own.join(other, "sig").where("root <> root_b and id < b").where(window & close)
-    narrow = _sharing(narrow.groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("n_b").alias("m"), F.first(F.least("empty", "empty_b")).alias("empty")), num, den)
-    release(docs.sparkSession)
-    around = materialise(_pivots(split.where("wide").select("sig", "p", "id")), "around")
-    # links with the pivots come first: members linked with one are then of one component
-    fresh_pairs = around.where("p <> id").select(F.greatest("p", "id").alias("a"), F.least("p", "id").alias("b")).distinct()
-    fresh_pairs = materialise(fresh_pairs, "spokes")
-    linked = materialise(_verify(fresh_pairs, sets, num, den).where("linked").select("a", "b"), "linked")
-    if not linked.isEmpty():
-        links = materialise(links.union(linked).distinct(), "found")
-        labels = components(links)
-    again = _differences(around.join(labels, "id", "left").select("p", "id", F.coalesce("root", "id").alias("root")), sets, num, den)
-    more = narrow.union(again).distinct().join(measured.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    more = materialise(more, "more")
-    late = materialise(_verify(more, sets, num, den).where("linked").select("a", "b"), "late")
-    if not late.isEmpty():
-        labels = components(materialise(links.union(late), "found"))
-    return _finish(scanned, labels, id_col)
-
-
-def _sharing(pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs that share as many regions as linked sets do. Pairs that also share a region that is cut again need
-    not be among them: such a region finds its links by itself."""
-
-    def run(batches):
-        rings = Rings(num, den)
-        for batch in batches:
-            a, b, c, *sizes = batch.columns
-            keep = [have >= rings.shared(*x) for have, *x in zip(c.to_pylist(), *(x.to_pylist() for x in sizes), strict=True)]
-            yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.select("a", "b", "c", "n", "m", "empty").mapInArrow(run, "a long, b long")
-
-
-def _pivots(far: DataFrame) -> DataFrame:
+    known = measured.select(F.col("a").alias("id"), F.col("b").alias("p"), "d").union(measured.select("b", "a", "d"))
+    known = known.union(split.select(F.col("p").alias("id"), "p", F.lit(0.0).alias("d")).distinct())
+    own = split.where("not wide").join(known, ["id", "p"], "left").select("sig", "id", "at", "root", "d")
+    other = own.select("sig", F.col("id").alias("id_b"), F.col("at").alias("at_b"), F.col("root").alias("root_b"), F.col("d").alias("d_b"))
+    near = F.coalesce(F.abs(F.col("d") - F.col("d_b")) <= (den - num) / den + 1e-9, F.lit(True))
+    narrow = own.where(smaller("at")).join(other, "sig").where("root <> root_b and id <> id_b").where(size("at") <= size("at_b"))
+    more = t.write(_ordered(narrow.where(near & can_link("at", "at_b", num, den)), "id", "id_b"), "narrow")
+    around = None
+    if not split.where("wide").isEmpty():
+        around = t.write(_pivots(split.where("wide").select("sig", "p", "id"), t), "around")
+    missing = more.select(F.col("a").alias("id")).union(more.select("b"))
+    if around is not None:
+        missing = missing.union(around.select("id")).union(around.select("p"))
+    missing = t.write(missing.distinct().join(ids, "id", "left_anti"), "missing")
+    if not missing.isEmpty():
+        sets = sets.union(t.write(_sets(docs, id_col, text_col, missing, k), "sets"))
+    if around is not None:
+        # links with the pivots come first: members linked with one are then of one component
+        spokes = t.write(_ordered(around.where("p <> id"), "p", "id"), "spokes")
+        links = links.union(t.write(_verify(spokes, sets, num, den, t).where("linked").select("a", "b"), "linked")).distinct()
+        labels = components(links, t)
+        more = more.union(_differences(around.join(labels, "id", "left").select("p", "id", F.coalesce("root", "id").alias("root")), sets, num, den, t))
+    more = t.write(more.distinct().join(measured.select("a", "b"), ["a", "b"], "left_anti"), "more")
+    late = t.write(_verify(more, sets, num, den, t).where("linked").select("a", "b"), "late")
+    return labels if late.isEmpty() else components(links.union(late), t)
+
+
+def _pivots(far: DataFrame, t: Scratch) -> DataFrame:
     """(p, id): one pivot for each region, the one that most of its members choose, each choosing the pivot that most
     ids have. Any pivot is right; few of them, near their members, keep the differences few and short."""
-    whole = materialise(far, "far")
+    whole = t.write(far, "far")
     asked = whole.select("p", "id").distinct().groupBy("p").agg(F.count(F.lit(1)).alias("c"))
-    chosen = whole.select("p", "id").distinct().join(asked, "p").groupBy("id").agg(F.max(F.struct("c", -F.col("p"))).alias("best")).select("id", (-F.col("best.col2")).alias("choice"))
+    best = F.max(F.struct("c", -F.col("p")))
+    chosen = whole.select("p", "id").distinct().join(asked, "p").groupBy("id").agg(best.alias("best")).select("id", (-F.col("best.col2")).alias("choice"))
     votes = whole.join(chosen, "id").groupBy("sig", "choice").agg(F.count(F.lit(1)).alias("v"))
     taken = votes.groupBy("sig").agg(F.max(F.struct("v", -F.col("choice"))).alias("best")).select("sig", (-F.col("best.col2")).alias("p"))
     return whole.select("sig", "id").join(taken, "sig").select("p", "id").distinct()
 
 
-def _differences(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidates across roots among the members of each pivot p, by prefixes of their differences from p."""
-    whole = materialise(members, "wide")
-    if whole.isEmpty():
-        return whole.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+def _differences(members: DataFrame, sets: DataFrame, num: int, den: int, t: Scratch) -> DataFrame:
+    """Candidates (a, b), a > b, across roots among the members of each pivot p, by prefixes of their differences from p."""
+    whole = t.write(members, "wide")
     c = (den - num) / (den + num)
 
     def run(batches):
@@ -386,27 +440,28 @@ def _differences(members: DataFrame, sets: DataFrame, num: int, den: int) -> Dat
                         if over > -1e-6:  # or with one that is, which then differs from p by enough itself
                             share = min(share, max(1, np.ceil(over / (1 + c) - 1e-6)))
                     k = int(len(parts) - share + 1)
-                    yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(np.full(k, v, np.int64)) for v in (p, i, root)), *(pa.array(np.full(k, v, np.int32)) for v in (len(x), len(parts))), pa.array(np.arange(1, k + 1, dtype=np.int32)), pa.array(np.full(k, own)), pa.array(signed(parts[:k]))],
-                        ["p", "id", "root", "n", "m", "k", "own", "part"],
-                    )
-
-    pivots = sets.select(F.col("id").alias("p"), F.col("s").alias("y"))
-    with_sets = whole.join(sets.select("id", F.col("s").alias("x")), "id").join(pivots, "p").select("p", "id", "root", "x", "y")
-    release(whole.sparkSession)
-    first = materialise(with_sets.mapInArrow(run, "p long, id long, root long, n int, m int, k int, own boolean, part long"), "prefix")
+                    longs = [pa.array(np.full(k, v, np.int64)) for v in (p, i, root)]
+                    ints = [pa.array(np.full(k, v, np.int32)) for v in (len(x), len(parts))]
+                    rest = [pa.array(np.arange(1, k + 1, dtype=np.int32)), pa.array(np.full(k, own)), pa.array(signed(parts[:k]))]
+                    yield pa.RecordBatch.from_arrays([*longs, *ints, *rest], ["p", "id", "root", "n", "m", "k", "own", "part"])
+
+    pivots = _named(sets, whole.select("p")).select(F.col("id").alias("p"), F.col("s").alias("y"))
+    own = _named(sets, whole.select("id")).select("id", F.col("s").alias("x"))
+    with_sets = whole.join(own, "id").join(pivots, "p").select("p", "id", "root", "x", "y")
+    first = t.write(with_sets.mapInArrow(run, "p long, id long, root long, n int, m int, k int, own boolean, part long"), "prefix")
     other = first.select("p", "own", "part", *[F.col(x).alias(f"{x}_2") for x in ("id", "root", "n", "m", "k")])
     # what this pair must share, and what it can still share from the first part in common on
     shared = F.ceil((F.col("m") + F.col("m_2") - c * (F.col("n") + F.col("n_2"))) / 2 - 1e-6)
     reach = F.least(F.col("m") - F.col("k"), F.col("m_2") - F.col("k_2")) + 1
     meets = (F.col("k") <= F.col("m") - shared + 1) & (F.col("k_2") <= F.col("m_2") - shared + 1) & (reach + F.least("k", "k_2") - 1 >= shared)
-    return first.join(other, ["p", "own", "part"]).where("root <> root_2 and id < id_2").where(meets).select(F.col("id").alias("a"), F.col("id_2").alias("b")).distinct()
+    met = first.join(other, ["p", "own", "part"]).where("root <> root_2 and id > id_2").where(meets)
+    return met.select(F.col("id").alias("a"), F.col("id_2").alias("b")).distinct()
 
 
 def _finish(scanned: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
     roots = labels.select(F.col("id").alias("first"), "root")
     rows = scanned.select("id", "n", "first").join(roots, "first", "left").select("id", "n", F.coalesce("root", "first").alias("root"))
-    least = materialise(rows.where("root is not null").groupBy("root").agg(F.min("id").alias("least")), "least")
+    least = rows.where("root is not null").groupBy("root").agg(F.min("id").alias("least"))
     return rows.join(least, "root", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))
 
 

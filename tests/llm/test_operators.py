@@ -131,20 +131,29 @@ def test_jaccard_equals_all_pairs(spark, seed, cross):
 
 
 @pytest.mark.parametrize(("num", "den"), [(85, 100), (80, 100)])
-def test_linked_sets_share_enough_regions(num, den):
-    rng, rings = np.random.default_rng(7), jaccard_join.Rings(num, den)
+def test_linked_sets_meet_in_a_window(num, den):
+    """Under any sketch, linked sets meet at their first shingle in common: in the smaller one's narrow window, in the
+    other's wide one, and at places that let them link."""
+    rng = np.random.default_rng(7)
     linked = 0
-    with np.errstate(over="ignore"):
-        for _ in range(400):
-            x = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 400)), dtype=np.uint64))
-            out, extra = (int(len(x) * rng.uniform(0, (den - num) / den)) for _ in range(2))
-            y = np.unique(np.concatenate((x[out:], rng.integers(0, 2**63, extra, dtype=np.uint64))))
-            inter = len(np.intersect1d(x, y))
-            if den * inter < num * (len(x) + len(y) - inter):
-                continue
-            linked += 1
-            (a, e), (b, f) = rings.signatures(x), rings.signatures(y)
-            assert len(np.intersect1d(a, b)) >= rings.shared(len(x), len(y), min(e, f)) or np.array_equal(x, y)
+    for _ in range(400):
+        classes = rng.integers(0, rng.integers(1, 255), jaccard_join.SLOTS if linked % 50 == 0 else 1, dtype=np.uint8)
+        classes = np.resize(classes, jaccard_join.SLOTS)
+        x = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 400)), dtype=np.uint64))
+        out, extra = (int(len(x) * rng.uniform(0, (den - num) / den)) for _ in range(2))
+        y = np.unique(np.concatenate((x[out:], rng.integers(0, 2**63, extra, dtype=np.uint64))))
+        inter = len(np.intersect1d(x, y))
+        if den * inter < num * (len(x) + len(y) - inter):
+            continue
+        linked += 1
+        if len(x) > len(y):
+            x, y = y, x
+        (a, at), (b, bt) = jaccard_join.window(x, classes, num, den), jaccard_join.window(y, classes, num, den)
+        common, i, j = np.intersect1d(a, b, True, True)
+        first = np.argmin(i)
+        assert len(common) and at[i[first]] & 1
+        n, m, p, q = len(x), len(y), (int(at[i[first]]) & 0xFFFFFFFF) >> 1, (int(bt[j[first]]) & 0xFFFFFFFF) >> 1
+        assert at[0] >> 32 == n and (num + den) * min(n - p, m - q) >= num * (n + m)
     assert linked > 100
 
 
