@@ -5,21 +5,23 @@ are ordered by rarity, the number of documents that hold them. As the whole wind
 prefix is its one rarest word: documents and windows join on that word's occurrences. A length bound (the window
 fits into the document) and a positional bound (the word at the window's offset) leave few candidates, which are
 compared word by word. Windows are taken in blocks of at most BLOCK_BYTES, so what is sent to the tasks has a fixed
-bound however large the benchmark is; documents are read once per block and never shuffled for one block.
+bound however large the benchmark is; documents are read once per block. With several blocks the hits of a text, few
+and small, are gathered under its digest and joined to the rows that have this text; texts are not shuffled.
 
-Defined results: a null or wordless text has no words and no hits; items that are null or wordless match nothing;
-repeated items each count; repeated document rows each get their own row if one block is used, and are told apart
-by nothing but their id otherwise (ids are expected to be unique).
+Defined results: a null or wordless text has no words and no hits; items that are null or wordless match nothing, an
+item without an id is named by the empty text; repeated items each count; every document row gets its own result,
+also where ids repeat or are null; very long texts are searched whole. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_rows, slices
@@ -42,7 +44,7 @@ def windows_of(words: list[bytes], size: int) -> list[tuple[bytes, ...]]:
 
 def item_blocks(items: DataFrame, item_id: str, item_text: str, block_bytes: int) -> list[list[tuple[str, bytes]]]:
     """The items in blocks of bounded text size; each block alone is what the driver and a task hold."""
-    sized = items.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).where("t is not null")
+    sized = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(item_text).alias("t")).where("t is not null")
     total = sized.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = 1 + total // block_bytes
     for b in range(n):
@@ -105,40 +107,75 @@ def covered(spans: list[tuple[int, int]]) -> int:
     return total
 
 
+FOUND = "spans array<array<int>>, items array<string>"
+
+
+def _key(text: Column) -> Column:
+    """128 bits that stand for a text."""
+    return F.unhex(F.md5(F.encode(text, "UTF-8")))
+
+
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = SIZE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """id_col, n_words, spans (word ranges of hits) and items (ids) of every document."""
     two = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = two.schema["id"].dataType.simpleString()
-    parts, blocks = [], 1
-    for block, blocks in item_blocks(items, item_id, item_text, block_bytes):
+    tables = list(_tables(docs, items, text_col, item_id, item_text, size, block_bytes))
+    if len(tables) == 1:
+        return two.mapInArrow(_matcher(tables[0], "id"), f"id {kind}, n_words long, {FOUND}").withColumnRenamed("id", id_col)
+    counted = two.select("id", "text", _key(F.col("text")).alias("key")).mapInArrow(_counter, f"id {kind}, key binary, n_words long")
+    out = counted.join(_gathered(docs, text_col, tables), "key", "left").select("id", "n_words", "spans", "items")
+    none = [F.coalesce(c, F.array().cast(out.schema[c].dataType)).alias(c) for c in ("spans", "items")]
+    return out.select(F.col("id").alias(id_col), "n_words", *none)
+
+
+def hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = SIZE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """key, spans and items of every distinct text of docs that holds a window; clean() removes the rows with such texts."""
+    return _gathered(docs, text_col, list(_tables(docs, items, text_col, item_id, item_text, size, block_bytes)))
+
+
+def clean(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataFrame:
+    """docs, as they are, less the rows whose text is in found (a table of keys); rows need no id."""
+    return docs.join(found.select("key"), _key(docs[text_col]) == found["key"], "left_anti")
+
+
+def _tables(docs, items, text_col, item_id, item_text, size, block_bytes):
+    for block, _ in item_blocks(items, item_id, item_text, block_bytes):
         windows = Windows(block, size)
         windows.order(word_counts(docs, text_col, windows.vocabulary) if windows.vocabulary else {})
-        sent = docs.sparkSession.sparkContext.broadcast((dict(windows.items), windows.keys))
-        parts.append(two.mapInArrow(_matcher(sent), f"id {kind}, n_words long, spans array<array<int>>, items array<string>"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    if blocks > 1:  # one row a block and document: only spans and ids are moved
-        out = out.groupBy("id").agg(F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-    return out.withColumnRenamed("id", id_col)
+        yield docs.sparkSession.sparkContext.broadcast((dict(windows.items), windows.keys))
+
+
+def _gathered(docs: DataFrame, text_col: str, tables: list) -> DataFrame:
+    """key, spans and items of the distinct texts that are hit, over all blocks."""
+    keyed = docs.select(_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
+    parts = [keyed.mapInArrow(_matcher(t, "key", True), f"key binary, n_words long, {FOUND}") for t in tables]
+    every = reduce(DataFrame.unionByName, parts).groupBy("key").agg(F.collect_set("spans").alias("spans"), F.collect_set("items").alias("items"))
+    return every.select("key", F.array_distinct(F.flatten("spans")).alias("spans"), F.array_distinct(F.flatten("items")).alias("items"))
+
+
+def _counter(batches):
+    for batch in slices(batches):
+        n = [len(words_of(text)) for text in byte_rows(batch.column(1))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64())], ["id", "key", "n_words"])
+
 
+def _matcher(sent, name: str, hit_only: bool = False):
+    """Rows of (name, text) to name, n_words, spans, items; hit_only: of rows with hits, equal texts of a slice once."""
 
-def _matcher(sent):
     def run(batches):
         windows = Windows([], 1)
         windows.items, windows.keys = sent.value
         for batch in slices(batches):
-            n, spans, whose = [], [], []
-            for text in byte_rows(batch.column(1)):
+            rows, seen = [], set()
+            names = batch.column(0)
+            for k, text in enumerate(byte_rows(batch.column(1))):
                 words = words_of(text)
-                s, w = windows.hits(words)
-                n.append(len(words))
-                spans.append(sorted(set(s)))
-                whose.append(sorted(w))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array([[list(x) for x in s] for s in spans], pa.list_(pa.list_(pa.int32()))), pa.array(whose, pa.list_(pa.string()))],
-                ["id", "n_words", "spans", "items"],
-            )
+                spans, whose = windows.hits(words)
+                if not hit_only or (spans and text not in seen):
+                    seen.add(text)
+                    rows.append((k, len(words), [list(x) for x in sorted(set(spans))], sorted(whose)))
+            columns = [pa.array([r[j] for r in rows], t) for j, t in ((1, pa.int64()), (2, pa.list_(pa.list_(pa.int32()))), (3, pa.list_(pa.string())))]
+            yield pa.RecordBatch.from_arrays([names.take(pa.array([r[0] for r in rows], pa.int64())), *columns], [name, "n_words", "spans", "items"])
 
     return run
 
@@ -161,7 +198,7 @@ def report(docs: DataFrame, items: DataFrame, **named) -> DataFrame:
 
 def brute_force(docs: list[tuple[int, str | None]], items: list[tuple[int, str | None]], size: int = SIZE) -> list[tuple]:
     """The same report from the definition alone, for tests."""
-    windows = [(str(i), w) for i, t in items for w in windows_of(words_of((t or "").encode()), size)]
+    windows = [("" if i is None else str(i), w) for i, t in items for w in windows_of(words_of((t or "").encode()), size)]
     out = []
     for i, text in docs:
         words = words_of((text or "").encode())

@@ -3,14 +3,20 @@
 Each language has a probability for every piece of one fixed public vocabulary (and, so that any text has a
 probability, for every single byte). A word's probability is the sum over all ways to cut it into pieces, by the
 forward algorithm; words are independent, so a text's log-probability is the sum over its words. The piece
-probabilities are fitted by expectation-maximisation on a sample of about TRAIN_DOCS documents a language, chosen by
-a hash of their id among those allowed for training and at most TRAIN_BYTES long; texts are always scored whole.
+probabilities are fitted by expectation-maximisation on a sample of about TRAIN_DOCS documents a language (at most
+twice as many), chosen by a hash of id and text among those allowed for training, with the first TRAIN_BYTES characters
+of each; texts are always scored whole.
 
-Words are runs of letters: ASCII capitals are lower-cased, other ASCII characters part words. Words over WIDE bytes
-are scored in parts of WIDE bytes. The forward algorithm runs over all new words of a batch at once, by word length.
+Words are runs of letters: ASCII capitals are lower-cased, other ASCII characters part words. The forward algorithm
+runs over all new words of a batch at once, by word length; words over WIDE bytes go by themselves, with sums scaled
+as they shrink, so these too are summed over all their segmentations. (In training such words are cut in parts.)
+
+A text that no language gives more than CHANCE a byte, that of drawing from 26 letters and a space at random, is
+claimed by none: see claimed().
 
 Defined results: a null text, or one without a letter, is `und` with score 0; without any training document every
-text is `und`. Ties go to the first language by name. Repeated rows give repeated results.
+text is `und`. Ties go to the first language by name. Repeated rows give repeated results; rows without an id, or with
+one that others have, are sampled by their text.
 """
 
 from __future__ import annotations
@@ -22,13 +28,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import byte_rows, slices
 
 TRAIN_DOCS, TRAIN_BYTES = 200, 32_768
 WIDE, KNOWN, ROUNDS = 32, 400_000, 3
+CHANCE = -np.log(27)
 #: ASCII letters stay or are lower-cased, other ASCII characters become spaces.
 LETTERS = bytes(c if c >= 0x80 or 0x61 <= c <= 0x7A else c + 32 if 0x41 <= c <= 0x5A else 32 for c in range(256))
+FOUND = ("lang_pred", "score", "fluency")
 ASCII_LETTER = re.compile(rb"[A-Za-z]")
 NORMAL = 1  # a type in the model format
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -113,6 +122,42 @@ def by_length(words: list[bytes]):
             yield np.array(ids[k : k + 50_000]), np.frombuffer(b"".join(parts[k : k + 50_000]), np.uint8).reshape(-1, width)
 
 
+def long_word(pieces: Pieces, p: np.ndarray, word: bytes) -> np.ndarray:
+    """Log of the sum over all segmentations of one word of any length."""
+    text = np.frombuffer(b" " + word, np.uint8)
+    n, h = len(text), np.zeros(len(text) + 1, np.uint64)
+    total = 0
+    for k, c in enumerate(text.tolist()):
+        total = (total * int(BASE) + c + 1) & 0xFFFFFFFFFFFFFFFF
+        h[k + 1] = total
+    begins, ends, ids = [np.arange(n)], [np.arange(1, n + 1)], [text.astype(np.int64)]
+    power = int(BASE)
+    for width in range(2, max(pieces.by_width, default=1) + 1):
+        power = power * int(BASE) & 0xFFFFFFFFFFFFFFFF
+        if (table := pieces.by_width.get(width)) is not None and width <= n:
+            want = h[width:] - h[:-width] * np.uint64(power)
+            at = np.minimum(np.searchsorted(table[0], want), len(table[0]) - 1)
+            rows = np.flatnonzero(table[0][at] == want)
+            begins.append(rows), ends.append(rows + width), ids.append(table[1][at[rows]])
+    ends = np.concatenate(ends)
+    order = np.argsort(ends, kind="stable")
+    begins, weight = np.concatenate(begins)[order], p[np.concatenate(ids)[order]]
+    cuts = np.searchsorted(ends[order], np.arange(1, n + 2))
+    a, scale = np.zeros((n + 1, p.shape[1])), np.zeros(p.shape[1])
+    a[0] = 1
+    widest = max(pieces.by_width, default=1)
+    for end in range(1, n + 1):
+        some = slice(cuts[end - 1], cuts[end])
+        a[end] = (a[begins[some]] * weight[some]).sum(0)
+        small = a[end] < 1e-150
+        if small.any():
+            low = max(0, end - widest)
+            factor = np.where(small, 1 / np.maximum(a[end], 1e-300), 1.0)
+            a[low : end + 1] *= factor
+            scale -= np.log(factor)
+    return np.log(a[n]) + scale
+
+
 def forward(pieces: Pieces, p: np.ndarray, text: np.ndarray, edges=None) -> np.ndarray:
     """Sums over segmentations up to each place: rows x places x languages."""
     a = np.zeros((len(text), text.shape[1] + 1, p.shape[1]))
@@ -124,9 +169,13 @@ def forward(pieces: Pieces, p: np.ndarray, text: np.ndarray, edges=None) -> np.n
 
 def log_probabilities(pieces: Pieces, p: np.ndarray, words: list[bytes]) -> np.ndarray:
     out = np.zeros((len(words), p.shape[1]))
+    short = np.array([k for k, w in enumerate(words) if len(w) < WIDE], np.int64)
     with np.errstate(over="ignore"):
-        for ids, text in by_length(words):
-            np.add.at(out, ids, np.log(forward(pieces, p, text)[:, -1]))
+        for ids, text in by_length([words[k] for k in short]):
+            out[short[ids]] = np.log(forward(pieces, p, text)[:, -1])
+        for k, w in enumerate(words):
+            if len(w) >= WIDE:
+                out[k] = long_word(pieces, p, w)
     return out
 
 
@@ -183,12 +232,14 @@ class Scorer:
         self.ids: dict[bytes, int] = {}
         self.table = np.zeros((0, len(self.model.langs)))
 
-    def __call__(self, texts: list[bytes | None]) -> tuple[list[str], list[float]]:
+    def __call__(self, texts: list[bytes | None]) -> tuple[list[str], list[float], list[float]]:
+        """Language, score and log-probability a byte (of words and the space before each) of each text."""
         if len(self.ids) > KNOWN:
             self._clear()
-        ids, spans, at, todo = self.ids, [], [], []
+        ids, spans, at, todo, sizes = self.ids, [], [], [], []
         for text in texts:
             words = words_of(text) if text else []
+            sizes.append(sum(map(len, words)) + len(words))
             for w in words:
                 k = ids.get(w)
                 if k is None:
@@ -199,45 +250,49 @@ class Scorer:
         if todo:
             self.table = np.concatenate((self.table, log_probabilities(self.pieces, self.model.p, todo)))
         every = self.table[at] if at else np.zeros((0, len(self.model.langs)))
-        langs, scores, begin = [], [], 0
-        for text, end in zip(texts, spans, strict=True):
+        langs, scores, fluency, begin = [], [], [], 0
+        for text, end, size in zip(texts, spans, sizes, strict=True):
             if not text or not self.model.langs or not has_letter(text):
-                langs.append("und"), scores.append(0.0)
+                langs.append("und"), scores.append(0.0), fluency.append(None)
             else:
                 s = every[begin:end].sum(0)
                 e = np.exp(s - s.max())
-                langs.append(self.model.langs[int(s.argmax())]), scores.append(float(e.max() / e.sum()))
+                langs.append(self.model.langs[int(s.argmax())]), scores.append(float(e.max() / e.sum())), fluency.append(float(s.max() / size))
             begin = end
-        return langs, scores
+        return langs, scores, fluency
 
 
 def sample_of(docs: DataFrame, id_col: str, text_col: str, lang_col: str, allowed: Column, per_lang: int = TRAIN_DOCS) -> list[tuple[str, bytes]]:
-    """About per_lang allowed documents of each language, chosen by a hash of the id."""
-    some = docs.where(allowed & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.octet_length(text_col) <= TRAIN_BYTES))
-    counts = docs.where(allowed & F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("l")).agg(F.count(F.lit(1)).alias("n")).collect()
-    if not counts:
-        return []
-    rate = F.lit(0)
-    for r in counts:
-        rate = F.when(F.col(lang_col) == r.l, int(1_000_000 * min(1.0, per_lang / r.n)) + 1).otherwise(rate)
-    picked = some.where(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < rate).select(F.col(lang_col).alias("l"), F.col(text_col).alias("t"))
-    return [(r.l, r.t.encode()) for r in sorted(picked.collect(), key=lambda r: (r.l, r.t))]
+    """About per_lang allowed documents of each language, at most twice as many, by a hash of id and text."""
+    usable = docs.where(allowed & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(lang_col).alias("l"), F.col(text_col).alias("t"))
+    rates = usable.groupBy("l").agg((F.lit(1e6 * per_lang) / F.count(F.lit(1))).alias("rate"))
+    picked = usable.withColumn("h", F.xxhash64("i", "t")).join(rates, "l").where(F.pmod("h", F.lit(1_000_000)) <= F.col("rate"))
+    few = picked.select("l", "h", F.substring("t", 1, TRAIN_BYTES).alias("t")).distinct()
+    few = few.withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("h", "t"))).where(F.col("k") <= 2 * per_lang)
+    return sorted((r.l, r.t.encode()) for r in few.collect())
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with lang_pred and score; columns of these names in docs are replaced."""
+    """docs with lang_pred, score and fluency (log-probability a byte); columns of these names in docs are replaced."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = [c for c in docs.columns if c not in FOUND]
     place = kept.index(text_col)
 
     def run(batches):
         score = Scorer(sent.value)
         for batch in slices(batches, text_col):
-            langs, scores = score(byte_rows(batch.column(place)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*kept, "lang_pred", "score"])
+            langs, scores, fluency = score(byte_rows(batch.column(place)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(fluency, pa.float64())], [*kept, *FOUND])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[f"`{c}`" for c in kept]).schema)
-    return docs.select(*[f"`{c}`" for c in kept]).mapInArrow(run, f"{fields}, lang_pred string, score double")
+    return docs.select(*[f"`{c}`" for c in kept]).mapInArrow(run, f"{fields}, lang_pred string, score double, fluency double")
+
+
+def claimed(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows, as they are, whose text has letters and that some language finds likelier than chance."""
+    taken = {c: f"{c}_{len(docs.columns)}_given" for c in FOUND if c in docs.columns}
+    found = identify(docs.withColumnsRenamed(taken), model, text_col).where((F.col("lang_pred") != "und") & (F.col("fluency") > float(CHANCE)))
+    return found.drop(*FOUND).withColumnsRenamed({v: k for k, v in taken.items()}).select(*[f"`{c}`" for c in docs.columns])
 
 
 def held_out(id_col: str = "doc_id") -> Column:

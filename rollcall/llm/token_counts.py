@@ -6,12 +6,15 @@ byte spans are running sums of token widths. An interval join lays the spans ove
 is allocated by RULE: 'most' (the section with most of its bytes, the earlier on a tie), 'first' or 'last'.
 
 Defined results: null and empty texts have no tokens and no sections; a section without tokens counts 0; section
-counts always add up to the document's token count. Only the named columns are read, so extra columns cannot clash.
+counts always add up to the document's token count. Given sections are taken in ascending order, each start once, and
+the first begins at 0 whatever is given. Very long texts and runs of white space are encoded whole. Only the named
+columns are read, so extra columns cannot clash.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -22,6 +25,8 @@ from pyspark.sql import functions as F
 from .common import byte_rows, list_array, slices
 
 RULES = ("most", "first", "last")
+#: The characters with Unicode's White_Space property, in runs that are cut out before matching.
+LONG_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{500,}")
 
 
 class Encoder:
@@ -30,12 +35,24 @@ class Encoder:
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.widths = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self.widths[rank] = len(token)
 
 
+    def encode(self, text: str) -> list[int]:
+        """As the library encodes. Its matcher's stack does not hold white space of any length, so long runs are cut out
+        as the pattern cuts them: white space before a character that is none leaves its last one to what follows."""
+        out, at = [], 0
+        for run in LONG_RUN.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            out += self.encoding.encode_ordinary(text[at : run.start()])
+            out += self.encoding._encode_single_piece(text[run.start() : end])
+            at = end
+        return out + self.encoding.encode_ordinary(text[at:]) if at else self.encoding.encode_ordinary(text)
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
@@ -48,7 +65,9 @@ def line_starts(src: bytes) -> np.ndarray:
 
 
 def allocate(ends: np.ndarray, widths: np.ndarray, starts: np.ndarray, rule: str) -> tuple[np.ndarray, int]:
-    """Tokens of each section, and how many tokens crossed a boundary. starts: first bytes of the sections, from 0."""
+    """Tokens of each section, and how many tokens crossed a boundary. starts: first bytes of the sections, ascending,
+    the first 0; what stands before the first start counts there."""
+    starts = np.concatenate(([0], starts[1:]))
     begins = ends - widths
     first = np.searchsorted(starts, begins, "right") - 1
     last = np.searchsorted(starts, ends - 1, "right") - 1
@@ -64,7 +83,7 @@ def allocate(ends: np.ndarray, widths: np.ndarray, starts: np.ndarray, rule: str
 def token_counts(df: DataFrame, id_col: str, text_col: str, ranks: str, pattern: str, rule: str = "most", starts_col: str | None = None) -> DataFrame:
     """id_col, n_tokens, n_sections, n_crossing and section_tokens (a count for each section) of every row.
 
-    starts_col: an array of the sections' first bytes, from 0 and ascending; without it, lines are the sections."""
+    starts_col: an array of the sections' first bytes; without it, lines are the sections."""
     if rule not in RULES:
         raise ValueError(f"rule is one of {RULES}")
     cols = [F.col(id_col).alias("id"), F.col(text_col).alias("text")] + ([F.col(starts_col).cast("array<int>").alias("starts")] if starts_col else [])
@@ -80,7 +99,7 @@ def token_counts(df: DataFrame, id_col: str, text_col: str, ranks: str, pattern:
                     n.append(0), sections.append(0), crossing.append(0), counts.append([])
                     continue
                 widths = e.widths[e.encode(src.decode())]
-                starts = np.array(given[k] or [0]) if given else line_starts(src)
+                starts = np.unique([0, *(x for x in given[k] or () if x and 0 < x < len(src))]) if given else line_starts(src)
                 c, x = allocate(np.cumsum(widths), widths, starts, rule)
                 n.append(len(widths)), sections.append(len(starts)), crossing.append(x), counts.append(c)
             yield pa.RecordBatch.from_arrays(

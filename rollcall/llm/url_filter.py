@@ -223,6 +223,13 @@ def judge(df: DataFrame, model: UrlModel, id_col: str = "page_id", url_col: str
     return ruled.select(F.col("id").alias(id_col), "host", "path", "rule", (F.coalesce(said, own) if said is not None else own).alias("verdict"), "spam")
 
 
-def report(pages: DataFrame) -> DataFrame:
-    labelled = seed_urls()
-    return judge(pages, fit([u for u, _ in labelled], [b for _, b in labelled]))
+def labelled_sample(labelled: DataFrame, url_col: str = "url", label_col: str = "blocked") -> list[tuple[str, bool]]:
+    """At most TRAIN_URLS labelled URLs, those with the smallest hashes; rows without a URL or a label are left out."""
+    rows = labelled.where(F.col(url_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(url_col).alias("u"), F.col(label_col).cast("boolean").alias("b")).distinct()
+    return [(r.u, r.b) for r in rows.orderBy(F.xxhash64("u"), "u", "b").limit(TRAIN_URLS).collect()]
+
+
+def report(pages: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
+    """host, path, rule and verdict of every page. labelled: a table of url and blocked; without one, seed_urls()."""
+    seeds = seed_urls() if labelled is None else labelled_sample(labelled)
+    return judge(pages, fit([u for u, _ in seeds], [b for _, b in seeds]))

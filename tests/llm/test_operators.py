@@ -7,6 +7,8 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
+from pyspark.sql import functions as F
 
 from rollcall.llm import decontaminate, html_text, jaccard_join, language_id, lm_scores, quality_rules, queries, sentencepiece_codec, token_counts, url_filter, warc_store
 from rollcall.llm.common import table
@@ -184,13 +186,16 @@ def test_decontamination_equals_brute_force(spark, docs):
     rows, bench = [(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()]
     rows += [(i, t) for i, t in ODD if i] + [(900, bench[0][1]), (901, "x " + bench[1][1].upper() + " " + bench[1][1])]
     bench += [(9001, None), (9002, ""), (9003, "one two"), (9004, "the of and"), (9005, bench[0][1])]
+    rows += [(None, bench[0][1]), (None, "nothing here"), (3, bench[1][1]), (3, "clean words only")]
+    bench += [(None, bench[2][1])]
     df, short = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
-    want = sorted(decontaminate.brute_force(rows, bench), key=repr)
-    assert rows_of(decontaminate.report(df, short)) == want
+    plain = decontaminate.brute_force(rows, bench)
+    want = sorted(plain, key=repr)
     assert any(w[-1] for w in want)
-    unique = df.dropDuplicates(["doc_id"])
-    kept = [(r.doc_id, r.text) for r in unique.collect()]
-    assert rows_of(decontaminate.report(spark.createDataFrame(kept, "doc_id long, text string"), short, block_bytes=3000)) == sorted(decontaminate.brute_force(kept, bench), key=repr)
+    for size in (1 << 20, 30_000):
+        assert rows_of(decontaminate.report(df, short, block_bytes=size)) == want
+        left = decontaminate.clean(df, decontaminate.hits(df, short, block_bytes=size))
+        assert rows_of(left) == sorted(((i, t) for (i, t), w in zip(rows, plain, strict=True) if not w[-1]), key=repr)
     assert decontaminate.report(odd(spark, []), items).collect() == []
     assert not any(r.contaminated for r in decontaminate.report(clashing(odd(spark)), short.limit(0)).collect())
 
@@ -208,6 +213,32 @@ def test_language_forward_sums_all_segmentations():
             assert np.isclose(got[k, lang], np.log(language_id.brute_force(vocab, dict(zip(vocab, p[:, lang], strict=True)), w)))
 
 
+def test_language_long_words():
+    r = np.random.default_rng(2)
+    vocab = [bytes((c,)) for c in range(256)] + [b" a", b"ab", b" ab", b"bc", b"abc", b"ca", b" bca", "日本".encode()]
+    p = r.random((len(vocab), 2))
+    p /= p.sum(0)
+    pieces = language_id.Pieces(vocab)
+    with np.errstate(over="ignore"):
+        for w in (b"abcabca", b"bc", "日本x".encode()):
+            assert np.allclose(language_id.long_word(pieces, p, w), language_id.log_probabilities(pieces, p, [w])[0])
+        for lang in (0, 1):  # 501 bytes by plain sums of logs
+            w, a = b" " + b"abc" * 167, [0.0]
+            for end in range(1, len(w) + 1):
+                terms = [a[b] + np.log(p[vocab.index(w[b:end]), lang]) for b in range(max(0, end - 6), end) if w[b:end] in vocab]
+                a.append(float(np.logaddexp.reduce(terms)))
+            assert np.isclose(language_id.log_probabilities(pieces, p, [w[1:]])[0, lang], a[-1])
+
+
+def test_language_claims(spark):
+    model = language_id.fit([("en", b"the cat and the dog and the bird " * 9), ("de", "der hund und die straße und der vogel ".encode() * 9)], language_id.vocabulary(queries.PIECES))
+    rows = [(1, "the dog and the cat"), (2, "xqzjkvw qqxzkj zzkqxj vvxqjz"), (3, None), (4, "123"), (None, "der vogel und die Straße")]
+    got = language_id.claimed(clashing(odd(spark, rows)).withColumn("score", F.lit(7)), model)
+    assert {r.text for r in got.collect()} == {rows[0][1], rows[4][1]} and {r.score for r in got.collect()} == {7}
+    same = spark.createDataFrame([(None, f"words of a text {k}", "en", None, None) for k in range(900)], DOC)
+    assert len(language_id.sample_of(same, "doc_id", "text", "lang", F.lit(True), 50)) <= 100
+
+
 def test_language_hold_out(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     got = language_id.report(docs, queries.PIECES).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
@@ -319,6 +350,32 @@ def test_html_main_text():
     assert html_text.align("a(b(),c(),d())", "a(b(),d())") == {0: 0, 1: 1, 3: 2}
 
 
+def test_html_hard_pages():
+    assert html_text.extract(["<main>" * 400 + "<p>Deep</p>" + "</main>" * 400]) == ["Deep"]
+    assert html_text.extract(["<article class='post share'><p>Own</p></article><article class='comment'><p>Theirs</p></article>"]) == ["Own"]
+    wide = "<body><div>Site</div><article>" + "<p>{0} a</p><h2>{0}</h2>" * 3000 + "</article></body>"
+    got = html_text.extract([wide.format(k) for k in range(3)] + [wide.format(9).replace("<h2>9</h2>", "<ul><li>9</li></ul>", 1500)])
+    assert all(t.count("\n\n") == 5999 for t in got)
+    r = random.Random(3)
+
+    def grow(level):
+        return r.choice("abc") + "(" + ",".join(grow(level - 1) for _ in range(r.randint(0, 4) if level else 0)) + ")"
+
+    def best(x, y):  # simple tree matching by its definition
+        if x[0] != y[0]:
+            return 0
+        m = [[0] * (len(y[2]) + 1) for _ in range(len(x[2]) + 1)]
+        for i, p in enumerate(x[2]):
+            for j, q in enumerate(y[2]):
+                m[i + 1][j + 1] = max(m[i][j + 1], m[i + 1][j], m[i][j] + best(p, q))
+        return m[-1][-1] + 1
+
+    for _ in range(300):
+        one, other = grow(3), grow(3)
+        pairs = html_text.align(one, other)
+        assert len(pairs) == best(html_text._tree(one), html_text._tree(other)) == len(set(pairs.values()))
+
+
 def test_html_table(spark):
     pages = spark.createDataFrame([(k, f"http://h{k % 2}.org/{k}", PAGE.format(k)) for k in range(70)] + [(100, None, None), (101, "x", "")], "page_id long, url string, html string")
     got = {r.page_id: r for r in html_text.report(clashing(pages)).collect()}
@@ -353,6 +410,20 @@ def test_token_counts(spark):
     got = {r.doc_id: r for r in queries.token_counts.token_counts(clashing(odd(spark)), "doc_id", "text", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).collect()}
     for i, t in ODD:
         assert got[i].n_tokens == len(e.encode(t or "")) == sum(got[i].section_tokens)
+    def split(t):
+        ids, at = [], 0
+        for m in regex.finditer(public_tokenizers.PATTERN, t):
+            assert m.start() == at
+            at = m.end()
+            ids += e.encoding._encode_single_piece(m[0])
+        return ids
+
+    for t in (" " * 600, "a" + " " * 600 + "b", "\n" * 700 + "x", "x" + "\u3000" * 501, "a" + " \n" * 400 + "é" + " " * 499 + "z"):
+        assert e.encode(t) == split(t) == e.encoding.encode_ordinary(t), t[:5]
+    assert len(e.encode("a" + "\n" * 2_000_000 + "b")) > 1000
+    given = spark.createDataFrame([(1, "abc def ghi", [4, 4, None, 99, 2]), (2, "abc", None), (3, "abc", [2])], "doc_id long, text string, starts array<int>")
+    parts = {r.doc_id: (r.n_sections, r.n_tokens, sum(r.section_tokens)) for r in token_counts.token_counts(given, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, starts_col="starts").collect()}
+    assert parts[1][0] == 3 and parts[2][0] == 1 and parts[3][0] == 2 and all(n == t for _, n, t in parts.values())
     ends, widths = np.array([3, 8, 10]), np.array([3, 5, 2])
     starts = np.array([0, 4, 6])
     assert [list(token_counts.allocate(ends, widths, starts, rule)[0]) for rule in token_counts.RULES] == [[1, 1, 1], [2, 0, 1], [1, 0, 2]]

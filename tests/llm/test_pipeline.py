@@ -39,6 +39,9 @@ def test_stages(spark):
 def test_odd_rows(spark):
     rows = [(1, None, "en", None, None), (2, "", None, None, None), (None, "a word " * 40, "en", "s", 1), (3, "x y z " * 100, "en", "s", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "1 AS id", "2 AS root")
+    again = [(7, "x y z w v u " * 30, "en", "s", 1), (7, "other words that no one repeats here", "en", "s", 1), (None, "x y z w v u " * 30, "en", "s", 1), (4, "x y z w v u " * 30, "en", "s", 1)]
+    left = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"](spark, spark.createDataFrame(again, "doc_id long, text string, lang string, source string, n_chars long"), SF)
+    assert sorted((r.doc_id, r.text[:5]) for r in left.collect()) == [(4, "x y z"), (7, "other")]
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF).columns == docs.columns, name
         assert stage(spark, docs.limit(0), SF).count() == 0
