@@ -4,14 +4,42 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Phrases, categories and tokens that results must share with existing meeting data.
-PHRASES = (("motion to adjourn", "adjournment"), ("adjourn meeting", "adjournment"), ("oral communications", "public comment"), ("consent calendar", "consent"))
-CATEGORIES = ("consent", "public hearing", "adjournment", "resolution", "ordinance", "public comment")
-STOP_WORDS = ("the", "a", "an", "and", "or", "of", "to", "for", "in", "on", "at", "by", "with", "from")
-YES, NO, ABSTAIN = ("yea", "y", "yes", "aye", "ly"), ("nay", "n", "no", "nl"), ("abstain", "a", "ai", "abstention", "mal", "mill")
+#: Fixed values that results must share with existing meeting data, plainly and in their order.
+PREFIXES = (r"^item\s+[0-9]+\s*:\s*", r"^no\.\s*[0-9]+\s*")
+LIGHT_SUFFIXES = (r"\s*\(for adoption only\)\s*$", r"\s*\(for presentation\)\s*$", r"\s*expenditure:\s*none\.?\s*$", r"\s*expenditure:\s*\$[0-9,]+\.?\s*$")
+SUFFIXES = (*LIGHT_SUFFIXES[:2], r"\s*\(for discussion\)\s*$", *LIGHT_SUFFIXES[2:])
+PHRASES = (
+    ("consent calendar matters listed under the consent calendar are considered routine and will be enacted by one motion and one vote. there will be no separate discussion of these items. if discussion is desired, that item will be pulled by a councilmember", "consent calendar"),
+    ("oral communications #2 (limited up to a 15-minute period) this portion of the meeting is reserved for comments on items that are not on the agenda. under the ralph m. brown act, city council cannot act on items raised during public comment but may res", "oral communications"),
+    ("adjournment adjournment of city council meeting to tuesday, october 21, 2025, at 5:00 p.m. for closed session with regular business commencing at 6:30 p.m. in the leroy j. jackson council chamber.", "adjournment"),
+    ("adjournment adjournment of city council meeting to tuesday, september 09, 2025, at 5:00 p.m. for closed session with regular business commencing at 6:30 p.m. in the leroy j. jackson council chamber. tuesday, august 26, 2025 and tuesday, september 02,", "adjournment"),
+    ("adjournment adjournment of city council meeting to tuesday, august 12, 2025, at 5:00 p.m. for closed session in the leroy j. jackson council chamber.", "adjournment"),
+    ("adjournment adjournment of closed session meeting to tuesday, september 23, 2025, at 5:00 p.m. for closed session with regular business commencing at 6:30 p.m. in the leroy j. jackson council chamber.", "adjournment"),
+    ("adjournment adjournment of city council meeting to tuesday, october 07, 2025, at 5:00 p.m. for closed session with regular business commencing at 6:30 p.m. in the leroy j. jackson council chamber. tuesday, september 30, 2025 is a city council da", "adjournment"),
+    ("adjournment adjournment of city council meeting to tuesday, october 14, 2025, at 5:00 p.m. for closed session in the leroy j. jackson council chamber.", "adjournment"),
+    ("council committee meetings and announcements", "council committee meetings"),
+)
+STARTS = ("consent calendar", "administrative matters", "oral communications", "council committee meetings", "hearings", "adjournment")
+CATEGORIES = ("consent calendar", "administrative matters", "hearings", "oral communications", "adjournment", "council committee meetings")
+STOP_WORDS = ("the", "a", "an", "and", "or", "but", "in", "on", "at", "to", "for", "of", "with", "by")
+KEY_PHRASES = ("PLANNING COMMISSION", "COMMUNITY DEVELOPMENT", "ORAL COMMUNICATIONS", "ADJOURNMENT", "CONSENT CALENDAR", "HEARINGS", "COUNCIL COMMITTEE", "COMMUNITY SERVICES", "RESOLUTION", "ORDINANCE", "PUBLIC HEARING", "ACCEPT AND FILE")
+TOPICS = (
+    ("Consent Calendar", ("consent calendar",)), ("Administrative Matters", ("administrative matters",)), ("Planning & Development", ("planning", "development")),
+    ("Public Safety", ("fire", "police", "public safety")), ("Budget & Finance", ("finance", "budget", "appropriation")), ("Transportation", ("transit", "transportation")),
+    ("Community Services", ("community services", "parks")), ("Environmental", ("environmental", "sustainability")), ("Housing", ("housing", "affordable housing")),
+    ("Recognition & Proclamations", ("honoring", "proclamation", "resolution")), ("Public Hearings", ("hearing",)), ("Adjournment", ("adjournment",)), ("Public Comment", ("oral communications",)),
+)
+OTHER_TOPIC = "Other Business"
+NOTABLE = ("budget", "appropriation", "ordinance", "resolution", "contract", "agreement")
+RECURRING = ("consent calendar", "adjournment", "administrative matters", "oral communications", "council committee meetings", "hearings")
+NOT_VOTABLE = ("oral communications", "adjournment", "presentation only", "for presentation", "announcement", "council committee meetings", "committee meetings and announcements")
+INDICATORS = ("voting results", "yea", "nay", "abstain", "recuse", "motion", "resolution", "ordinance", "passes", "fails")
+PLACEHOLDERS = ("None", "Not visible in image", "Not visible in the image", "Unknown Agenda Item")
+YES, NO, ABSTAIN = ("yea", "y", "yes", "ly"), ("nay", "n", "no", "nl"), ("abstain", "a", "ai", "mal", "mill")
+ONE_YES, ONE_NO = ("yea", "y", "yes", "ra", "r"), ("nil", "nl", "n", "na", "nay")
 SPACES = "[ \\t\\n\\x0B\\f\\r]+"
 
 
@@ -27,45 +55,89 @@ def contains_any(x: Column, terms) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(x, F.lit(t)) for t in terms])
 
 
+def _without(x: Column, patterns) -> Column:
+    return reduce(lambda a, p: F.regexp_replace(a, p, ""), patterns, x)
+
+
 def normalise_light(x: Column) -> Column:
-    out = F.lower(x)
-    for pattern in (r"^item [0-9]+: *", r"^no\. [0-9]+ *", r"\(for adoption only\)", r"\(for presentation\)", r"expenditure: (none|\$[0-9,]+)"):
-        out = F.regexp_replace(out, pattern, "")
-    return collapse(out)
+    """Lower case without item prefixes and closing remarks; white space is collapsed last. Null is the empty text."""
+    return F.regexp_replace(_without(strip(F.lower(F.coalesce(x, F.lit("")))), (*PREFIXES, *LIGHT_SUFFIXES)), SPACES, " ")
+
+
+def normalise_discussion(x: Column) -> Column:
+    """As normalise_light, with white space collapsed first and remarks for discussion removed too."""
+    return _without(F.regexp_replace(strip(F.lower(F.coalesce(x, F.lit("")))), SPACES, " "), (*PREFIXES, *SUFFIXES))
 
 
 def normalise_phrases(x: Column) -> Column:
-    out = normalise_light(x)
-    for a, b in PHRASES:
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return out
+    return reduce(lambda a, p: F.replace(a, F.lit(p[0]), F.lit(p[1])), PHRASES, normalise_discussion(x))
 
 
 def normalise_aggressive(x: Column) -> Column:
-    out = F.regexp_replace(normalise_phrases(x), r"^([0-9]+[a-z]?|[a-z])[.] *", "")
-    return collapse(F.regexp_replace(F.regexp_replace(out, r"\([^)]*\)", " "), r"expenditure:.*", ""))
+    """Without a leading number and a leading letter (the dot is optional, so the first letter of any text goes),
+    parentheses and what follows an expenditure."""
+    out = _without(normalise_phrases(x), (r"^[0-9]+[a-z]?\s*\.?\s*", r"^[a-z]\s*\.?\s*"))
+    return _without(F.regexp_replace(out, r"\s*\(.*?\)\s*", " "), (r"\s*expenditure:.*$", r"\s*$"))
 
 
-def normalise_ultra(x: Column) -> Column:
-    out = normalise_aggressive(x)
+def with_ultra(df: DataFrame, x: str, out: str) -> DataFrame:
+    """df with out: normalise_aggressive cut to its category; the chain of patterns stands once in the plan."""
+    done = df.withColumn(out, normalise_aggressive(F.col(x)))
     found = F.when(F.length(out) < 3, F.lit("generic item"))
-    for c in CATEGORIES:
+    for c in STARTS:
         found = found.when(F.startswith(out, F.lit(c)), F.lit(c))
-    return found.otherwise(out)
+    return done.withColumn(out, found.otherwise(F.col(out)))
 
 
-def normalise_category(x: Column) -> Column:
-    out = collapse(F.lower(x))
+def with_category(df: DataFrame, x: str, out: str) -> DataFrame:
+    """df with out: the first category that the collapsed lower-case text holds, else this text."""
+    done = df.withColumn(out, collapse(F.lower(F.coalesce(F.col(x), F.lit("")))))
     found = F.when(F.contains(out, F.lit(CATEGORIES[0])), F.lit(CATEGORIES[0]))
     for c in CATEGORIES[1:]:
         found = found.when(F.contains(out, F.lit(c)), F.lit(c))
-    return found.otherwise(out)
+    return done.withColumn(out, found.otherwise(F.col(out)))
 
 
 def normalise_match(x: Column) -> Column:
-    """Lower-cased words without punctuation and stop words."""
-    words = F.split(collapse(F.regexp_replace(F.lower(x), r"[^A-Za-z0-9_ \t\n]", "")), " ")
-    return F.array_join(F.filter(words, lambda w: ~w.isin(*STOP_WORDS)), " ")
+    """Lower-cased words without punctuation and stop words, for matching. (Case is folded down, as upper case is not
+    the same in all engines; matches are the same.)"""
+    words = F.split(collapse(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), r"[^A-Za-z0-9_ \t\n\x0B\f\r]", "")), " ")
+    return F.array_join(F.filter(words, lambda w: ~w.isin("", *STOP_WORDS)), " ")
+
+
+def key_phrases(x: Column) -> Column:
+    """The leading item number, if any, and the known phrases in the title, in their order."""
+    number = F.nullif(F.regexp_extract(x, r"^([0-9]+[A-Z]?)\s*\.", 1), F.lit(""))
+    title = F.regexp_replace(x, r"^[0-9]+[A-Z]?\s*\.\s*", "")
+    known = F.filter(F.array(*map(F.lit, KEY_PHRASES)), lambda p: F.contains(F.upper(title), p))
+    return F.concat(F.filter(F.array(number), lambda p: p.isNotNull()), known)
+
+
+def topic(x: Column) -> Column:
+    """The first topic one of whose words the text holds."""
+    t = F.lower(F.coalesce(x, F.lit("")))
+    found = F.when(contains_any(t, TOPICS[0][1]), F.lit(TOPICS[0][0]))
+    for name, words in TOPICS[1:]:
+        found = found.when(contains_any(t, words), F.lit(name))
+    return found.otherwise(F.lit(OTHER_TOPIC))
+
+
+def notable(item: Column, outcome: Column) -> Column:
+    """What is told of a notable ballot; null for others."""
+    o = F.lower(F.coalesce(outcome, F.lit("")))
+    short = F.concat(F.substring(item, 1, 60), F.lit("..."))
+    said = F.when(F.contains(o, F.lit("pass")), F.concat(F.lit("Approved "), short)).when(F.contains(o, F.lit("fail")), F.concat(F.lit("Rejected "), short))
+    return F.when(contains_any(F.lower(item), NOTABLE), said)
+
+
+def truncated(x: Column) -> Column:
+    """Whether an item's text is cut off or a placeholder."""
+    t = F.coalesce(x, F.lit(""))
+    return (F.length(t) <= 5) | F.endswith(t, F.lit("...")) | t.isin(*PLACEHOLDERS)
+
+
+def not_votable(x: Column) -> Column:
+    return F.coalesce(contains_any(F.lower(x), NOT_VOTABLE), F.lit(False))
 
 
 def item_number(x: Column) -> Column:
@@ -77,19 +149,22 @@ def choice(token: Column) -> Column:
     return F.when(t.isin(*YES), F.lit("YES")).when(t.isin(*NO), F.lit("NO")).when(t.isin(*ABSTAIN), F.lit("ABSTAIN")).otherwise(F.upper(t))
 
 
-def choice_lines(text: Column) -> Column:
-    """Array of (member, choice) from lines `councilmember <name> <token>`, in order."""
-    pattern = r"^councilmember +([a-z]+) +([a-z]+)"
-    lines = F.filter(F.split(F.lower(text), "\n"), lambda x: x.rlike(pattern))
-    return F.transform(lines, lambda x: F.struct(F.regexp_extract(x, pattern, 1).alias("member"), choice(F.regexp_extract(x, pattern, 2)).alias("choice")))
+def choice_rows(df: DataFrame, keys: list[str], text: str, names: Column | None = None) -> DataFrame:
+    """keys, member and choice from lines `councilmember <name> <token>`; a later line of a member wins.
+
+    names: a map of lower-case names to canonical ones; a name that it lacks stays in upper case."""
+    lines = df.select(*keys, F.posexplode(F.split(F.lower(text), "\n")).alias("_at", "_line"))
+    pattern = r"^\s*councilmember\s+([A-Za-z0-9_]+)\s+([a-z]+)"
+    found = lines.withColumn("_m", F.regexp_extract("_line", pattern, 1)).where("_m <> ''").withColumn("_t", F.regexp_extract("_line", pattern, 2))
+    name = F.upper("_m") if names is None else F.coalesce(names[F.col("_m")], F.upper("_m"))
+    return found.groupBy(*keys, name.alias("member")).agg(choice(F.max_by("_t", "_at")).alias("choice"))
 
 
-def choice_map(text: Column) -> Column:
-    """Member to choice; a later line of a member wins."""
-    lines = choice_lines(text)
-    names = F.array_distinct(F.transform(lines, lambda x: x["member"]))
-    last = F.transform(names, lambda m: F.element_at(F.filter(lines, lambda x: x["member"] == m), -1)["choice"])
-    return F.map_from_arrays(names, last)
+def one_choice(text: Column, surname: str) -> Column:
+    """The choice told after a member's surname in the first line that has it; unclear ones abstain."""
+    line = F.filter(F.split(F.lower(text), "\n"), lambda x: F.contains(x, F.lit(surname)))
+    token = strip(F.split(F.get(line, F.lit(0)), surname)[1])
+    return F.when(F.size(line) > 0, F.when(token.isin(*ONE_NO), "NO").when(token.isin(*ONE_YES), "YES").otherwise("ABSTAIN"))
 
 
 def markdown_links(x: Column) -> Column:

@@ -14,11 +14,13 @@ def keep_best(df: DataFrame, keys: list[str], score: Column, tiebreak: list[str]
 
 
 def carry_longest(df: DataFrame, keys: list[str], text: str, score: Column, tiebreak: list[str]) -> DataFrame:
-    """keep_best whose text is the longest of its group."""
-    w = Window.partitionBy(*keys)
-    first = Window.partitionBy(*keys).orderBy(F.length(text).desc(), *tiebreak).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    best = w.orderBy(score.desc(), *tiebreak)
-    return df.withColumn("_rn", F.row_number().over(best)).withColumn(text, F.first(text).over(first)).where("_rn = 1").drop("_rn")
+    """keep_best whose text is the longest of its group; both by one aggregation with partial results.
+
+    Tiebreak columns are numbers; the first in their order wins."""
+    first = [-F.col(c) for c in tiebreak]
+    best = F.max_by(F.struct(*df.columns), F.struct(score.alias("_s"), *first))
+    out = df.groupBy(*keys).agg(best.alias("_b"), F.max_by(text, F.struct(F.length(text), *first)).alias("_t"))
+    return out.select(*[F.col("_t").alias(c) if c == text else F.col(f"_b.{c}").alias(c) for c in df.columns])
 
 
 def drop_obvious(df: DataFrame, keys: list[str], obvious: Column) -> DataFrame:
@@ -27,30 +29,28 @@ def drop_obvious(df: DataFrame, keys: list[str], obvious: Column) -> DataFrame:
     return df.withColumn("_o", obvious).withColumn("_left", F.sum((~F.col("_o")).cast("int")).over(w)).where("not _o or _left = 0").drop("_o", "_left")
 
 
-def adjacent_fold(df: DataFrame, keys: list[str], at: str, score: str, order: str, gap: int) -> DataFrame:
+def adjacent_fold(df: DataFrame, keys: list[str], at: str, score: str, order: str, gap: int, gone: str | None = None) -> DataFrame:
     """Of consecutive rows at most gap apart, the lower score goes unless one of the two went before (ties keep the earlier).
+    gone: a column that marks rows as gone from the start; they take part in the scan and are dropped.
 
-    Rows of a key fold in order. Runs without a close neighbour cannot touch, so a key is cut at its gaps first and
-    only runs are gathered."""
+    No fold is needed: whether a row goes when its pair is looked at depends on the row before alone, which must not have
+    gone. So in a stretch of rows that would each lose against the one before, every other one goes, counted from the
+    stretch's first; what a row does to the one before it is then known too. One window order gives all of it."""
     w = Window.partitionBy(*keys).orderBy(at, order)
-    cut = df.withColumn("_new", (F.col(at) - F.lag(at).over(w) > gap).cast("int")).withColumn("_run", F.sum(F.coalesce("_new", F.lit(0))).over(w))
-    row = F.struct(F.col(at).cast("double").alias("f"), F.col(order).cast("long").alias("o"), F.col(score).cast("double").alias("s"))
-    runs = cut.groupBy(*keys, "_run").agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    start = F.struct(F.lit(None).cast("struct<f:double,o:bigint,s:double>").alias("prev"), F.lit(False).alias("gone"), F.array().cast("array<bigint>").alias("dead"))
-
-    def step(a: Column, x: Column) -> Column:
-        close = a["prev"].isNotNull() & ~a["gone"] & (x["f"] - a["prev"]["f"] <= gap)
-        earlier_goes = close & (a["prev"]["s"] < x["s"])
-        later_goes = close & ~(a["prev"]["s"] < x["s"])
-        dead = F.when(earlier_goes, F.array_append(a["dead"], a["prev"]["o"])).when(later_goes, F.array_append(a["dead"], x["o"])).otherwise(a["dead"])
-        return F.struct(x.alias("prev"), F.coalesce(later_goes, F.lit(False)).alias("gone"), dead.alias("dead"))
-
-    dead = runs.select(*keys, F.explode(F.aggregate("rows", start, step, lambda a: a["dead"])).alias(order))
-    return df.join(dead, [*keys, order], "left_anti").select(*df.columns)
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = F.col(gone) if gone else F.lit(False)
+    row = df.withColumn("_k", F.row_number().over(w)).withColumn("_out", out).withColumn("_pair", ~F.col("_out") & ~F.lag("_out", 1, True).over(w) & (F.col(at) - F.lag(at).over(w) <= gap))
+    row = row.withColumn("_pair", F.coalesce("_pair", F.lit(False))).withColumn("_less", F.coalesce(F.lag(score).over(w) < F.col(score), F.lit(False)))
+    row = row.withColumn("_last", F.max(F.when(~(F.col("_pair") & ~F.col("_less")), F.col("_k"))).over(so_far))
+    row = row.withColumn("_goes", F.col("_out") | ((F.col("_k") - F.col("_last")) % 2 == 1))
+    row = row.withColumn("_beats", F.col("_pair") & F.col("_less") & ~F.lag("_goes", 1, True).over(w))
+    row = row.withColumn("_beaten", F.lead("_beats", 1, False).over(w))
+    return row.where("not _goes and not _beaten").select(*df.columns)
 
 
 def seed_clusters(df: DataFrame, keys: list[str], text: str, order: str) -> DataFrame:
-    """Greedy clusters: the first free row seeds; later rows equal to it, containing it or contained in it join.
+    """Greedy clusters: the first free row seeds; later rows equal to it, containing it or contained in it join (a short
+    code that begins the other text is contained in it).
 
     Adds `seed`, the seed's order value. Groups are small by contract (the ballots of one frame)."""
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)

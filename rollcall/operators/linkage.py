@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rollcall.functions import text as tx
+
 
 def first_match(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -40,3 +42,26 @@ def overlap_join(left: DataFrame, right: DataFrame, text: str, other: str, left_
     words = lambda df, i, t: df.select(i, F.explode(F.array_distinct(F.split(F.regexp_replace(F.lower(t), "[^a-z0-9]+", " "), " "))).alias("_w")).where("_w <> ''")
     scored = words(left, left_id, text).join(words(right, right_id, other), "_w").groupBy(left_id, right_id).agg(F.count(F.lit(1)).alias("score"))
     return first_match(scored.where(F.col("score") >= least), [left_id], F.col("score").desc(), F.col(right_id))
+
+
+def marker_times(ballots: DataFrame, markers: DataFrame) -> DataFrame:
+    """Ballots with a marker take its seconds, or an estimate by frame rate where it has none; others stay as they are."""
+    side = markers.select("session_id", "marker_id", F.col("seconds").cast("bigint").alias("_s"))
+    marked = F.coalesce(F.length("marker_id") > 0, F.lit(False))
+    out = ballots.join(side, ["session_id", "marker_id"], "left")
+    by_rate = F.floor(F.col("frame_number") / 30).cast("bigint")
+    out = out.withColumn("video_ts", F.when(marked, F.coalesce("_s", by_rate)).otherwise(F.col("video_ts")))
+    return out.withColumn("ts_estimated", F.when(marked, F.col("_s").isNull()).otherwise(F.col("ts_estimated"))).drop("_s")
+
+
+def scored_join(left: DataFrame, right: DataFrame, key: str, left_id: list[str], right_ord: str, least: int = 5) -> DataFrame:
+    """For each left item (item_text) the right one (marker_text) of the same key with the best score, if at least least:
+    10 for each key phrase of the item in the marker's text, 2 for each word in common, 1 for lengths within 50. Ties go
+    to the first by right_ord. Only rows of one key meet."""
+    a = left.withColumns({"_a": tx.normalise_match(F.col("item_text")), "_p": tx.key_phrases(F.coalesce("item_text", F.lit("")))})
+    b = right.withColumn("_b", tx.normalise_match(F.col("marker_text")))
+    words = lambda c: F.filter(F.array_distinct(F.split(c, " ")), lambda w: w != "")
+    phrases = F.size(F.filter("_p", lambda p: F.contains(F.col("_b"), F.lower(p))))
+    score = 10 * phrases + 2 * F.size(F.array_intersect(words("_a"), words("_b"))) + F.when(F.abs(F.length("_a") - F.length("_b")) < 50, 1).otherwise(0)
+    joined = a.join(b, key).withColumn("score", score).where(F.col("score") >= least).drop("_a", "_b", "_p")
+    return first_match(joined, left_id, F.col("score").desc(), F.col(right_ord))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,3 +24,28 @@ def choice_by_outcome(result: Column) -> Column:
 def issues(**rules: Column) -> Column:
     """Names of the rules whose condition holds, as an array."""
     return F.filter(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules.items()]), lambda x: x.isNotNull())
+
+
+def upsert(own: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """own with the rows of new: those with a known key replace it, others are added."""
+    return own.join(new.select(key), key, "left_anti").unionByName(new)
+
+
+def fill_summaries(df: DataFrame, text: Column) -> DataFrame:
+    """A summary only where there is none."""
+    return df.withColumn("summary", F.when(F.coalesce("summary", F.lit("")) == "", text).otherwise(F.col("summary")))
+
+
+def move_summaries(df: DataFrame, key: str, summary: str, start: str, to: Column) -> DataFrame:
+    """Summaries that begin with start go to the row with the key to, and leave their own row without one."""
+    away = F.coalesce(F.startswith(summary, F.lit(start)), F.lit(False))
+    moved = df.where(away).select(to.alias(key), F.col(summary).alias("_moved"))
+    out = df.join(moved, key, "left").withColumn(summary, F.coalesce("_moved", F.when(~away, F.col(summary))))
+    return out.select(*df.columns)
+
+
+def drawn(result: Column, row: Column, seed: int) -> Column:
+    """A drawn choice, YES with 0.7 where the outcome passes and 0.3 where not; the draw follows from the row's hash and
+    the seed, so it is the same each time. Nothing calls this unless asked to; what it gives is imputed."""
+    p = F.pmod(F.xxhash64(row, F.lit(seed)), F.lit(1000)) / 1000
+    return F.when(p < F.when(F.contains(F.lower(result), F.lit("pass")), 0.7).otherwise(0.3), "YES").otherwise("NO")

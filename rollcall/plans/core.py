@@ -6,8 +6,6 @@ status, an item a part name or a text.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,28 +14,7 @@ from rollcall.functions import text as tx
 from rollcall.functions import times as tm
 from rollcall.operators import dedupe, linkage, reconcile
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-LINE = ["l_partkey", "l_suppkey", "l_extendedprice"]  # with order and line number, a total order
-
-
-def query(sql: str | None = None):
-    def keep(f):
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return keep
-
-
-def n(x="*"):
-    return F.count(F.lit(1) if x == "*" else x).cast("bigint")
-
-
-def count_if(c):
-    return F.count_if(c).cast("bigint")
-
+from .registry import LINE, ORACLES, QUERIES, count_if, n, query
 
 # ---- filters, pages, projections
 
@@ -254,25 +231,6 @@ def year_status_rollup(t):
     return o.rollup("year", "o_orderstatus").agg(n().alias("n"), F.grouping_id().cast("bigint").alias("level"))
 
 
-TOPIC_SQL = """CASE WHEN contains(lower(text), 'ction') THEN 'housing' WHEN contains(lower(text), 'eau') THEN 'water' WHEN contains(lower(text), 'enwh') THEN 'safety' WHEN contains(lower(text), 'shre') THEN 'parks' ELSE 'other' END"""
-
-
-def topic(x):
-    has = lambda w: F.contains(F.lower(x), F.lit(w))
-    return F.when(has("ction"), "housing").when(has("eau"), "water").when(has("enwh"), "safety").when(has("shre"), "parks").otherwise("other")
-
-
-@query(f"SELECT {TOPIC_SQL} AS topic, count(*)::BIGINT AS n FROM documents GROUP BY 1")
-def topic_histogram(t):
-    return t("documents").groupBy(topic(F.col("text")).alias("topic")).agg(n().alias("n"))
-
-
-@query(f"""SELECT topic, n, row_number() OVER (ORDER BY n DESC, f)::BIGINT AS rank FROM (SELECT {TOPIC_SQL} AS topic, count(*)::BIGINT AS n, min(doc_id) f FROM documents GROUP BY 1) ORDER BY n DESC, f LIMIT 3""")
-def topic_top(t):
-    g = t("documents").groupBy(topic(F.col("text")).alias("topic")).agg(n().alias("n"), F.min("doc_id").alias("f")).orderBy(F.desc("n"), "f").limit(3)
-    return g.select("topic", "n", F.row_number().over(Window.orderBy(F.desc("n"), "f")).cast("bigint").alias("rank"))
-
-
 @query("""SELECT event_type, arg_max(user_id, (c, -user_id)) AS member FROM (SELECT event_type, user_id, count(*) c FROM events GROUP BY 1, 2) GROUP BY 1""")
 def argmax_member(t):
     g = t("events").groupBy("event_type", "user_id").agg(n().alias("c"))
@@ -417,18 +375,6 @@ def word_intersection(t):
 
 # ---- text and time
 
-WS = "[ \\t\\n\\x0B\\f\\r]+"
-LIGHT_SQL = "lower(x)"
-for _p in (r"^item [0-9]+: *", r"^no\. [0-9]+ *", r"\(for adoption only\)", r"\(for presentation\)", r"expenditure: (none|\$[0-9,]+)"):
-    LIGHT_SQL = f"regexp_replace({LIGHT_SQL}, '{_p}', '', 'g')"
-_collapse = lambda s: f"regexp_replace(regexp_replace({s}, '{WS}', ' ', 'g'), '^{WS}|{WS}$', '', 'g')"
-LIGHT_SQL = _collapse(LIGHT_SQL)
-PHRASE_SQL = LIGHT_SQL
-for _a, _b in tx.PHRASES:
-    PHRASE_SQL = f"replace({PHRASE_SQL}, '{_a}', '{_b}')"
-AGGRESSIVE_SQL = _collapse(f"regexp_replace(regexp_replace(regexp_replace({PHRASE_SQL}, '^([0-9]+[a-z]?|[a-z])[.] *', '', 'g'), '\\([^)]*\\)', ' ', 'g'), 'expenditure:.*', '', 'g')")
-ULTRA_SQL = f"(SELECT CASE WHEN length(a) < 3 THEN 'generic item' {' '.join(f'''WHEN starts_with(a, '{c}') THEN '{c}' ''' for c in tx.CATEGORIES)} ELSE a END FROM (SELECT {AGGRESSIVE_SQL} AS a))"
-CATEGORY_SQL = f"(SELECT CASE {' '.join(f'''WHEN contains(a, '{c}') THEN '{c}' ''' for c in tx.CATEGORIES)} ELSE a END FROM (SELECT {_collapse('lower(x)')} AS a))"
 # items: part names with the decorations that the normalisers remove, by key
 ITEM_SQL = "SELECT p_partkey, concat(CASE p_partkey % 6 WHEN 0 THEN 'Item 12: ' WHEN 1 THEN 'No. 3 ' WHEN 2 THEN '7A. ' WHEN 3 THEN 'Consent Calendar ' WHEN 4 THEN 'b. Motion to Adjourn  ' ELSE '' END, p_name, CASE p_partkey % 4 WHEN 0 THEN ' (For Adoption Only)' WHEN 1 THEN ' Expenditure: $1,200' WHEN 2 THEN ' (see note) ' ELSE '' END) AS x FROM part"
 
@@ -439,39 +385,11 @@ def items(t):
     return t("part").selectExpr("p_partkey", f"concat({head}, p_name, {tail}) AS x")
 
 
-for _name, _f, _sql in (("light", tx.normalise_light, LIGHT_SQL), ("phrases", tx.normalise_phrases, PHRASE_SQL), ("aggressive", tx.normalise_aggressive, AGGRESSIVE_SQL), ("ultra", tx.normalise_ultra, ULTRA_SQL), ("category", tx.normalise_category, CATEGORY_SQL)):
-
-    def _normalise(t, f=_f):
-        return items(t).select("p_partkey", f(F.col("x")).alias("item"))
-
-    _normalise.__name__ = f"normalize_{_name}"
-    query(f"SELECT p_partkey, {_sql} AS item FROM ({ITEM_SQL})")(_normalise)
-
-
-@query(f"""SELECT p_partkey, array_to_string(list_filter(string_split({_collapse("regexp_replace(lower(x), '[^A-Za-z0-9_ \\t\\n]', '', 'g')")}, ' '), lambda w: w NOT IN ({', '.join(f"'{w}'" for w in tx.STOP_WORDS)})), ' ') AS item FROM ({ITEM_SQL})""")
-def normalize_match(t):
-    return items(t).select("p_partkey", tx.normalise_match(F.col("x")).alias("item"))
-
-
 @query(f"SELECT p_partkey, trim(split_part(x, '.', 1)) AS number FROM ({ITEM_SQL})")
 def item_number(t):
     return items(t).select("p_partkey", tx.item_number(F.col("x")).alias("number"))
 
 
-LINES_SQL = """SELECT l_orderkey, string_agg(concat('Councilmember ', CASE l_suppkey % 3 WHEN 0 THEN 'ada' WHEN 1 THEN 'bo' ELSE 'cy' END, CASE l_returnflag WHEN 'R' THEN ' Yea' WHEN 'N' THEN ' nl' ELSE ' mal' END), chr(10) ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS raw FROM lineitem GROUP BY 1"""
-
-
-@query(f"""WITH l AS (SELECT l_orderkey, unnest(string_split(lower(raw), chr(10))) AS line, generate_subscripts(string_split(raw, chr(10)), 1) AS i FROM ({LINES_SQL})),
-  p AS (SELECT l_orderkey, i, regexp_extract(line, '^councilmember +([a-z]+) +([a-z]+)', 1) AS member, regexp_extract(line, '^councilmember +([a-z]+) +([a-z]+)', 2) AS token FROM l)
-  SELECT l_orderkey, member, CASE arg_max(token, i) WHEN 'yea' THEN 'YES' WHEN 'nl' THEN 'NO' WHEN 'mal' THEN 'ABSTAIN' END AS choice FROM p GROUP BY 1, 2""")
-def choice_lines(t):
-    name = F.when(F.col("l_suppkey") % 3 == 0, "ada").when(F.col("l_suppkey") % 3 == 1, "bo").otherwise("cy")
-    token = F.when(F.col("l_returnflag") == "R", " Yea").when(F.col("l_returnflag") == "N", " nl").otherwise(" mal")
-    rows = t("lineitem").select("l_orderkey", F.struct("l_linenumber", *LINE, F.concat(F.lit("Councilmember "), name, token).alias("line")).alias("r"))
-    raw = rows.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda x: x["line"]), "\n").alias("raw"))
-    return raw.select("l_orderkey", F.explode(tx.choice_map(F.col("raw"))).alias("member", "choice"))
-
-
 @query("""SELECT page_id, regexp_extract(html, 'href="([^"]*)"', 1) AS first_link, len(regexp_extract_all(html, 'href="([^"]*)"', 1))::BIGINT AS links FROM pages""")
 def html_markers(t):
     links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
@@ -594,6 +512,11 @@ def candidates_pipeline(t):
 # ---- streams
 
 
+def scratch(spark: SparkSession) -> str:
+    """The shared folder that the cluster names in spark.checkpoint.dir, else the session's warehouse."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
 def _streamed(name: str, sql: str, build, mode: str):
     """A query that runs what is there through a file stream to its end and reads the sink."""
 
@@ -602,8 +525,7 @@ def _streamed(name: str, sql: str, build, mode: str):
 
         from rollcall.streaming import candidates as st
 
-        base = spark.conf.get("spark.checkpoint.dir", None) or f"/tmp/rollcall-streams-{uuid.uuid4().hex}"
-        out = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        out = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
         df = build(st, spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet*"))
         st.drain(df, f"{out}/rows", f"{out}/state", mode)
         return spark.read.schema(df.schema).parquet(f"{out}/rows")

@@ -5,7 +5,9 @@ import math
 import duckdb
 import pytest
 
-from rollcall.plans import core
+from rollcall.plans import registry
+
+QUERIES, ORACLES = registry.load()
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -24,14 +26,14 @@ def plain(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(core.QUERIES))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = core.QUERIES[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     rows = df.collect()
-    if name not in core.ORACLES:
+    if name not in ORACLES:
         assert rows
         return
-    want = duck.execute(core.ORACLES[name])
+    want = duck.execute(ORACLES[name])
     names = [d[0] for d in want.description]
     assert sorted(names) == sorted(df.columns)
     assert plain([tuple(r[c] for c in names) for r in rows]) == plain(want.fetchall())
