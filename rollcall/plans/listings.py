@@ -230,6 +230,6 @@ _streamed(
     """WITH RECURSIVE f AS (SELECT event_type AS g, epoch_us(ts) / 1e6 AS pos, event_id AS o, value AS s, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS k FROM events),
       w AS (SELECT g, k, pos, s, o, false AS gone, CAST(NULL AS BIGINT) AS killed FROM f WHERE k = 1
         UNION ALL SELECT f.g, f.k, f.pos, f.s, f.o, NOT w.gone AND f.pos - w.pos <= 60 AND w.s >= f.s, CASE WHEN NOT w.gone AND f.pos - w.pos <= 60 AND w.s < f.s THEN w.o END FROM w JOIN f ON f.g = w.g AND f.k = w.k + 1)
-      SELECT g AS event_type, o AS event_id FROM w WHERE NOT gone AND NOT EXISTS (SELECT 1 FROM w v WHERE v.g = w.g AND v.killed = w.o) AND k < (SELECT max(k) FROM f WHERE f.g = w.g)""",
+      SELECT g AS event_type, o AS event_id FROM w WHERE NOT gone AND NOT EXISTS (SELECT 1 FROM w v WHERE v.g = w.g AND v.killed = w.o) AND (k < (SELECT max(k) FROM f WHERE f.g = w.g) OR pos + 60 < (SELECT max(pos) FROM f) - 1)""",
     _neighbours,
 )
