@@ -263,10 +263,11 @@ class Scorer:
 
 
 def sample_of(docs: DataFrame, id_col: str, text_col: str, lang_col: str, allowed: Column, per_lang: int = TRAIN_DOCS) -> list[tuple[str, bytes]]:
-    """About per_lang allowed documents of each language, at most twice as many, by a hash of id and text."""
+    """About per_lang allowed documents of each language, at most twice as many, by a hash of id and text. The rates, a
+    row a language, are sent to all tasks, as the model with its column a language will be."""
     usable = docs.where(allowed & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(lang_col).alias("l"), F.col(text_col).alias("t"))
     rates = usable.groupBy("l").agg((F.lit(1e6 * per_lang) / F.count(F.lit(1))).alias("rate"))
-    picked = usable.withColumn("h", F.xxhash64("i", "t")).join(rates, "l").where(F.pmod("h", F.lit(1_000_000)) <= F.col("rate"))
+    picked = usable.withColumn("h", F.xxhash64("i", "t")).join(F.broadcast(rates), "l").where(F.pmod("h", F.lit(1_000_000)) <= F.col("rate"))
     few = picked.select("l", "h", F.substring("t", 1, TRAIN_BYTES).alias("t")).distinct()
     few = few.withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("h", "t"))).where(F.col("k") <= 2 * per_lang)
     return sorted((r.l, r.t.encode()) for r in few.collect())
