@@ -96,14 +96,14 @@ def byte_rows(column: pa.Array) -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of bounded text size, so memory follows the longest row and not the row count."""
     for batch in batches:
         if not batch.num_rows:
             continue
         column = batch.column(batch.schema.get_field_index(text))
         total, begin = column.nbytes, 0
-        step = max(1, int(batch.num_rows * SLICE_BYTES / max(total, 1)))
+        step = max(1, int(batch.num_rows * size / max(total, 1)))
         while begin < batch.num_rows:
             yield batch.slice(begin, step)
             begin += step

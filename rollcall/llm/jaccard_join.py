@@ -115,7 +115,7 @@ def frequencies(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
     Each task sends its counters as blocks, which are summed by block; SLOTS bytes reach the driver, whatever the input."""
 
     def count(batches):
-        shingle, counts, held, size, seen = Shingler(k), np.zeros(SLOTS, np.int64), [], 0, set()
+        shingle, counts, held, size, seen = Shingler(k), np.zeros(SLOTS, np.uint32), [], 0, set()
         with np.errstate(over="ignore"):
             for batch in slices(batches):
                 for text in byte_rows(batch.column(0)):
@@ -126,15 +126,19 @@ def frequencies(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
                     seen.add(d)
                     held.append(slot(s))
                     size += len(s)
-                    if size > 1 << 20:
-                        counts += np.bincount(np.concatenate(held), minlength=SLOTS)
+                    if size > 1 << 17:
+                        add_to(counts, held)
                         held, size = [], 0
                 if len(seen) > 1_000_000:
                     seen.clear()
         if held:
-            counts += np.bincount(np.concatenate(held), minlength=SLOTS)
+            add_to(counts, held)
         yield from blocks(counts)
 
+    def add_to(counts, held):
+        slots, times = np.unique(np.concatenate(held), return_counts=True)
+        counts[slots] += times.astype(np.uint32)
+
     def blocks(counts):
         parts = [(j, coded(x).tobytes()) for j, x in enumerate(counts.reshape(-1, BLOCK)) if x.any()]
         yield pa.RecordBatch.from_arrays([pa.array([j for j, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())], ["block", "counts"])

@@ -24,6 +24,8 @@ from .common import byte_rows, list_array, slices
 
 SPACE = "▁".encode()
 #: Values of the model format (piece types and the replacement character).
+#: Text bytes whose pieces are held at once (or one row's).
+SLICE = 1 << 19
 UNKNOWN, BYTE, BAD = 2, 6, "�".encode()
 
 
@@ -174,12 +176,14 @@ def encode(df: DataFrame, id_col: str, text_col: str, model: str) -> DataFrame:
 
     def run(batches):
         c = codec(model)
-        for batch in slices(batches):
-            found = [c.encode(src or b"") for src in byte_rows(batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(list_array([x[k] for x in found], pa.int32()) for k in range(3)), pa.array([c.decode(x[0]) for x in found], pa.string())],
-                ["id", "ids", "starts", "ends", "decoded"],
-            )
+        for batch in slices(batches, size=SLICE):
+            found, decoded = [], []
+            for src in byte_rows(batch.column(1)):
+                ids, *spans = c.encode(src or b"")
+                decoded.append(c.decode(ids))
+                found.append([np.asarray(x, np.int32) for x in (ids, *spans)])
+            lists = [list_array([x[k] for x in found], pa.int32()) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists, pa.array(decoded, pa.string())], ["id", "ids", "starts", "ends", "decoded"])
 
     return _over(df, id_col, text_col, run, FULL)
 
@@ -189,7 +193,7 @@ def encode_digests(df: DataFrame, id_col: str, text_col: str, model: str) -> Dat
 
     def run(batches):
         c, sha = codec(model), hashlib.sha256
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE):
             rows: list[list] = [[], [], [], []]
             for src in byte_rows(batch.column(1)):
                 ids, starts, ends = c.encode(src or b"")
