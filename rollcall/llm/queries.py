@@ -56,7 +56,34 @@ QUERIES = {
     for f in (op1_sentencepiece, op2_url_filter, op3_jaccard_join, op4_decontamination, op5_language_id, op6_warc, op7_quality_rules, op8_lm_scores, op9_html_text, op10_token_counts)
 }
 
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 ORACLES = {
+    "op3_jaccard_join": rf"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS words FROM documents),
+             s AS (SELECT DISTINCT doc_id, words[k:k + 3] AS gram FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(1, len(words) - 3))) AS k FROM d WHERE len(words) > 0)),
+             c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+             p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+             l AS (SELECT a, b FROM p JOIN c x ON a = x.doc_id JOIN c y ON b = y.doc_id WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+             e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+             r(doc_id, other) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a),
+             m AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)""",
+    "op4_decontamination": f"""
+        WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({LOWER}, '{WORDS}') AS words FROM documents),
+             b AS (SELECT item_id, regexp_extract_all({LOWER}, '{WORDS}') AS words FROM benchmark),
+             i AS (SELECT DISTINCT item_id, size, words[k:k + size - 1] AS win
+                   FROM (SELECT item_id, words, least(10, len(words)) AS size, unnest(generate_series(1, len(words) - least(10, len(words)) + 1)) AS k FROM b WHERE len(words) > 0)),
+             s AS (SELECT DISTINCT size FROM i),
+             o AS (SELECT row, k, size, words[k:k + size - 1] AS win
+                   FROM (SELECT row, words, size, unnest(generate_series(1, len(words) - size + 1)) AS k FROM d, s WHERE len(words) >= size)),
+             h AS (SELECT o.row, o.k, o.size, i.item_id FROM o JOIN i ON o.size = i.size AND o.win = i.win),
+             p AS (SELECT row, count(DISTINCT place) AS n_hit FROM (SELECT row, unnest(generate_series(k, k + size - 1)) AS place FROM h) GROUP BY row),
+             m AS (SELECT row, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names FROM (SELECT DISTINCT row, coalesce(CAST(item_id AS VARCHAR), '') AS name FROM h) GROUP BY row)
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN p USING (row) LEFT JOIN m USING (row)""",
     "op6_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
              d AS (SELECT page_id, octet_length(encode(body)) AS n, sha256(body) AS digest FROM p),

@@ -427,3 +427,17 @@ def test_token_counts(spark):
     ends, widths = np.array([3, 8, 10]), np.array([3, 5, 2])
     starts = np.array([0, 4, 6])
     assert [list(token_counts.allocate(ends, widths, starts, rule)[0]) for rule in token_counts.RULES] == [[1, 1, 1], [2, 0, 1], [1, 0, 2]]
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    want = con.execute(queries.ORACLES[name])
+    names = [d[0] for d in want.description]
+    got = queries.QUERIES[name](spark, SF)
+    assert sorted(got.columns) == sorted(names)
+    assert rows_of(got.select(*names)) == sorted(want.fetchall(), key=repr)
