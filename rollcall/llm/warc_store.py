@@ -122,12 +122,20 @@ def fetch(data: bytes, frame_no: int, offset: int) -> tuple[dict[str, str], byte
     return headers, block
 
 
-def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    for place in seek_table(data):
-        plain, at = frame(data, place), 0
-        while at < len(plain):
-            headers, block, at = parse(plain, at)
-            yield headers, block
+def records(data: bytes, index: list[tuple[int | None, int, int]]) -> Iterator[tuple[int | None, dict[str, str], bytes]]:
+    """Every record of a bundle by its place in the index; raises where the index and the frames do not fit together."""
+    places, open_no, plain, end = seek_table(data), -1, b"", 0
+    for i, frame_no, offset in index:
+        if frame_no != open_no:
+            if end != len(plain) or frame_no != open_no + 1:
+                raise ValueError(f"records without an index entry in frame {open_no}")
+            open_no, plain, end = frame_no, frame(data, places[frame_no]), 0
+        if offset != end:
+            raise ValueError(f"records without an index entry in frame {frame_no}")
+        headers, block, end = parse(plain, offset)
+        yield i, headers, block
+    if end != len(plain) or open_no != len(places) - 1:
+        raise ValueError("the index ends before the bundle")
 
 
 INDEX = "index array<struct<id: long, frame: int, offset: int>>"
@@ -165,25 +173,27 @@ def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", paylo
 
 
 def read(bundles: DataFrame, id_col: str = "page_id") -> DataFrame:
-    """A row for each record: payload_bytes and payload_digest of the full payload, record_type and refers_to."""
+    """A row for each record, read through the index: payload_bytes and payload_digest of the full payload, record_type and refers_to."""
 
     def run(batches):
         number = lambda x: int(x[10:-1]) if len(x) > 11 else None
         for batch in batches:
-            for data in batch.column(0).to_pylist():
+            for data, index in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 out = []
-                for headers, block in records(data):
+                for i, headers, block in records(data, [(x["id"], x["frame"], x["offset"]) for x in index]):
                     kind, said = headers["WARC-Type"], headers["WARC-Payload-Digest"].removeprefix("sha256:")
                     size = int(headers["WARC-Payload-Length"])
+                    if number(headers["WARC-Record-ID"]) != i:
+                        raise ValueError(f"the index names {i}, the record {headers['WARC-Record-ID']}")
                     if kind == "response":
                         payload = block[block.index(b"\r\n\r\n") + 4 :]
                         if len(payload) != size or hashlib.sha256(payload).hexdigest() != said:
                             raise ValueError(f"damaged record {headers['WARC-Record-ID']}")
-                    out.append((number(headers["WARC-Record-ID"]), size, said, kind, number(headers["WARC-Refers-To"]) if kind == "revisit" else None))
+                    out.append((i, size, said, kind, number(headers["WARC-Refers-To"]) if kind == "revisit" else None))
                 kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], ["id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    return bundles.select("data").mapInArrow(run, "id long, payload_bytes long, payload_digest string, record_type string, refers_to long").withColumnRenamed("id", id_col)
+    return bundles.select("data", "index").mapInArrow(run, "id long, payload_bytes long, payload_digest string, record_type string, refers_to long").withColumnRenamed("id", id_col)
 
 
 def export(bundles: DataFrame, folder: str) -> DataFrame:
