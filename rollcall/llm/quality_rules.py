@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 TRAIN_ROWS = 3000
 #: White space other than the space itself, and the symbols that are counted.
 BLANKS, SYMBOLS = "\t\n\x0b\x0c\r", "#*$%&|<>"
-#: Bits of a packed 3-word window that hold its position; longer texts take the slower, unpacked way.
+#: Bits of a packed 3-word window that hold its place; texts with more words are sorted by their words.
 PLACE = 24
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -34,28 +34,33 @@ def _count_of(text: Column, characters: str) -> Column:
     return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("long")
 
 
-def statistics(df: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns keep (all without it) and the statistics of each row's text."""
+def statistics(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, place_bits: int = PLACE) -> DataFrame:
+    """The columns keep (all without it) and the statistics of each row's text.
+
+    3-word windows are sorted as hashes packed with their places. Where neighbours of one hash differ in their words,
+    or the places do not fit, the text's windows are sorted by the words themselves; else equal hashes are equal windows."""
     kept = df.columns if keep is None else keep
     flat = df.select(*[F.col(c) for c in kept], F.coalesce(F.col(text_col), F.lit("")).alias("_text")).withColumn("_flat", _flat(F.col("_text")))
     with_words = flat.select(*kept, "_text", F.when(F.col("_flat") == "", F.array().cast("array<string>")).otherwise(F.split("_flat", " +")).alias("_words"))
     at = F.sequence(F.lit(0), F.size("_words") - 3)
-    gram = lambda i: F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2))
-    packed = F.transform(at, lambda i: F.shiftleft(gram(i), PLACE).bitwiseOR(i.cast("long")))
-    wide = F.transform(F.array_sort(F.transform(at, lambda i: F.struct(gram(i).alias("h"), i.cast("long").alias("i")))), lambda s: s)
-    small, large = F.size("_words").between(3, 1 << PLACE), F.size("_words") > (1 << PLACE)
-    sorted_grams = with_words.select(
-        *kept, "_text", "_words",
-        F.when(small, F.sort_array(packed)).otherwise(F.array().cast("array<bigint>")).alias("_grams"),
-        F.when(large, wide).alias("_wide"),
-    )
-    place = lambda p: p.bitwiseAND(F.lit((1 << PLACE) - 1)).cast("int")
-    same_words = lambda i, j: (F.get("_words", i) == F.get("_words", j)) & (F.get("_words", i + 1) == F.get("_words", j + 1)) & (F.get("_words", i + 2) == F.get("_words", j + 2))
-    like = lambda p, q: (F.shiftrightunsigned(p, PLACE) == F.shiftrightunsigned(q, PLACE)) & same_words(place(p), place(q))
-    repeated = F.filter("_grams", lambda p, k: like(p, F.get("_grams", k - 1)) | like(p, F.get("_grams", k + 1)))
-    wide_like = lambda s, t: (s["h"] == t["h"]) & same_words(s["i"].cast("int"), t["i"].cast("int"))
-    wide_repeated = F.filter("_wide", lambda s, k: wide_like(s, F.get("_wide", k - 1)) | wide_like(s, F.get("_wide", k + 1)))
-    places = sorted_grams.select(*kept, "_text", "_words", F.sort_array(F.coalesce(F.transform(wide_repeated, lambda s: s["i"].cast("int")), F.transform(repeated, place))).alias("_at"))
+    word = lambda i: F.get("_words", i)
+    packed = F.transform(at, lambda i: F.shiftleft(F.xxhash64(word(i), word(i + 1), word(i + 2)), place_bits).bitwiseOR(i.cast("long")))
+    fits, beyond = F.size("_words").between(3, 1 << place_bits), F.size("_words") > (1 << place_bits)
+    grams = with_words.select(*kept, "_text", "_words", F.when(fits, F.sort_array(packed)).otherwise(F.array().cast("array<bigint>")).alias("_grams"))
+
+    place = lambda p: p.bitwiseAND(F.lit((1 << place_bits) - 1)).cast("int")
+    same_hash = lambda p, q: F.shiftrightunsigned(p, place_bits) == F.shiftrightunsigned(q, place_bits)
+    same_words = lambda i, j: (word(i) == word(j)) & (word(i + 1) == word(j + 1)) & (word(i + 2) == word(j + 2))
+    clashes = F.filter("_grams", lambda p, k: same_hash(p, F.get("_grams", k + 1)) & ~same_words(place(p), place(F.get("_grams", k + 1))))
+    sure = grams.select("*", (beyond | (F.size(clashes) > 0)).alias("_by_words"))
+
+    spelled = F.transform(at, lambda i: F.struct(word(i).alias("a"), word(i + 1).alias("b"), word(i + 2).alias("c"), i.alias("i")))
+    either = sure.select("*", F.when(F.col("_by_words"), F.array_sort(spelled)).alias("_spelled"))
+    same = lambda s, t: (s["a"] == t["a"]) & (s["b"] == t["b"]) & (s["c"] == t["c"])
+    spelled_again = F.filter("_spelled", lambda s, k: same(s, F.get("_spelled", k - 1)) | same(s, F.get("_spelled", k + 1)))
+    hashed_again = F.filter("_grams", lambda p, k: same_hash(p, F.get("_grams", k - 1)) | same_hash(p, F.get("_grams", k + 1)))
+    found_at = F.when(F.col("_by_words"), F.transform(spelled_again, lambda s: s["i"])).otherwise(F.transform(hashed_again, place))
+    places = either.select(*kept, "_text", "_words", F.sort_array(found_at).alias("_at"))
     covered = F.aggregate(F.transform("_at", lambda p, k: F.least(F.lit(3), F.coalesce(F.get("_at", k + 1), p + 3) - p)), F.lit(0), lambda a, x: a + x)
     lines = places.select(*kept, "_text", F.size("_words").cast("long").alias("n_words"), covered.cast("long").alias("n_repeat_words"), F.filter(F.split("_text", "\n"), lambda x: _flat(x) != "").alias("_lines"))
     found = F.struct(
