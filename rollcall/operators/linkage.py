@@ -8,6 +8,9 @@ from pyspark.sql.window import Window
 
 from rollcall.functions import text as tx
 
+#: Rows of seed keys, and words of a vocabulary, that are sent to all tasks at most; and the characters that index a text.
+SEEDS, VOCABULARY, HEAD = 10_000, 500_000, 6
+
 
 def first_match(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -23,25 +26,64 @@ def band_join(left: DataFrame, right: DataFrame, key: str, at: str, other: str,
     return first_match(joined, [left_id], F.when(F.col(at) == F.col(other), 0).otherwise(1), F.col(right_ord)).drop("_b")
 
 
-def prefix_join(left: DataFrame, keys: DataFrame, item: str, key: str, left_id: str, ord_col: str) -> DataFrame:
-    """Equal key, else the first key that starts with the item's number (strictly parted from what follows)."""
-    number = F.lower(F.trim(F.substring_index(item, ".", 1)))
-    hit = (F.lower(F.col(item)) == F.col(key)) | (F.contains(F.col(item), F.lit(".")) & F.startswith(F.col(key), number))
-    return first_match(left.join(F.broadcast(keys), hit), [left_id], F.when(F.lower(F.col(item)) == F.col(key), 0).otherwise(1), F.col(ord_col))
+def _few(df: DataFrame, most: int) -> bool:
+    return df.limit(most + 1).count() <= most
 
 
-def containment_join(left: DataFrame, keys: DataFrame, item: str, key: str, left_id: str, ord_col: str, exact_first: bool = False) -> DataFrame:
-    """The first key that equals, holds or is held by the item; keys is a small seed table."""
+def prefix_join(left: DataFrame, keys: DataFrame, item: str, key: str, left_id: str, ord_col: str) -> DataFrame:
+    """Equal key, else the first key that starts with the item's number (strictly parted from what follows). Each key and
+    each beginning of a key names its first row only, so both ways are equi-joins that give one row for each left row."""
+    row = F.struct(*[F.col(c) for c in keys.columns])
+    equal = keys.groupBy(F.col(key).alias("_item")).agg(F.min_by(row, F.col(ord_col)).alias("_equal"))
+    begun = keys.select(F.explode(F.transform(F.sequence(F.lit(0), F.length(key)), lambda i: F.left(F.col(key), i))).alias("_number"), row.alias("_k"), F.col(ord_col).alias("_o"))
+    first = begun.groupBy("_number").agg(F.min_by("_k", "_o").alias("_first"))
+    number = F.when(F.contains(F.col(item), F.lit(".")), F.lower(F.trim(F.substring_index(item, ".", 1))))
+    found = left.withColumns({"_item": F.lower(F.col(item)), "_number": number}).join(equal, "_item", "left").join(first, "_number", "left")
+    hit = found.withColumn("_k", F.coalesce("_equal", "_first")).where("_k is not null")
+    return hit.select(*[F.col(c) for c in left.columns], "_k.*")
+
+
+def containment_join(left: DataFrame, keys: DataFrame, item: str, key: str, left_id: str, ord_col: str, exact_first: bool = False, most: int = SEEDS) -> DataFrame:
+    """The first key that equals, holds or is held by the item. At most most keys are sent to all tasks; with more, the
+    distinct texts meet where the first HEAD characters of one occur in the other."""
     a, b = F.lower(F.col(item)), F.lower(F.col(key))
-    order = ([F.when(a == b, 0).otherwise(1)] if exact_first else []) + [F.col(ord_col)]
-    return first_match(left.join(F.broadcast(keys), F.contains(a, b) | F.contains(b, a)), [left_id], *order)
-
-
-def overlap_join(left: DataFrame, right: DataFrame, text: str, other: str, left_id: str, right_id: str, least: int = 1) -> DataFrame:
-    """The right row with most words in common (ties to the smallest id), by an inverted index of words."""
+    if _few(keys, most):
+        order = ([F.when(a == b, 0).otherwise(1)] if exact_first else []) + [F.col(ord_col)]
+        return first_match(left.join(F.broadcast(keys), F.contains(a, b) | F.contains(b, a)), [left_id], *order)
+    row = F.struct(*[F.col(c) for c in keys.columns])
+    named = keys.where(F.col(key).isNotNull()).groupBy(b.alias("_b")).agg(F.min_by(row, F.col(ord_col)).alias("_k"), F.min(ord_col).alias("_o"))
+    items = left.where(F.col(item).isNotNull()).select(a.alias("_a")).distinct()
+
+    def parts(c: str) -> Column:
+        of_length = lambda n: F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.substring(F.col(c), i, F.lit(n)))
+        return F.explode(F.array_distinct(F.concat(F.array(F.lit("")), *map(of_length, range(1, HEAD + 1))))).alias("_g")
+
+    held = items.select("_a", parts("_a")).join(named.withColumn("_g", F.left("_b", F.lit(HEAD))), "_g").where(F.contains("_a", "_b"))
+    holds = named.select("*", parts("_b")).join(items.withColumn("_g", F.left("_a", F.lit(HEAD))), "_g").where(F.contains("_b", "_a"))
+    order = F.struct(*([F.col("_a") != F.col("_b")] if exact_first else []), F.col("_o"))
+    best = held.select("_a", "_b", "_k", "_o").union(holds.select("_a", "_b", "_k", "_o")).groupBy("_a").agg(F.min_by("_k", order).alias("_k"))
+    return left.withColumn("_a", a).join(best, "_a").select(*[F.col(c) for c in left.columns], "_k.*")
+
+
+def overlap_join(left: DataFrame, right: DataFrame, text: str, other: str, left_id: str, right_id: str, least: int = 1, most: int = VOCABULARY) -> DataFrame:
+    """The right row with most words in common, at least least of them (ties to the smallest id). Ids are unique and not
+    null. Words are ordered by rarity on the right; rows that share least words share one of all but the last least - 1
+    of their words, so only these are indexed. With least = 1 this leaves none out: for small tables only."""
     words = lambda df, i, t: df.select(i, F.explode(F.array_distinct(F.split(F.regexp_replace(F.lower(t), "[^a-z0-9]+", " "), " "))).alias("_w")).where("_w <> ''")
-    scored = words(left, left_id, text).join(words(right, right_id, other), "_w").groupBy(left_id, right_id).agg(F.count(F.lit(1)).alias("score"))
-    return first_match(scored.where(F.col("score") >= least), [left_id], F.col("score").desc(), F.col(right_id))
+    b = words(right, right_id, other)
+    rarity = b.groupBy("_w").agg(F.count(F.lit(1)).alias("_n"))
+    rarity = F.broadcast(rarity) if _few(rarity, most) else rarity
+
+    def ordered(df: DataFrame, i: str, name: str) -> DataFrame:
+        known = df.join(rarity, "_w").groupBy(i).agg(F.array_sort(F.collect_list(F.struct("_n", "_w")))["_w"].alias(name))
+        return known.where(F.size(name) >= least)
+
+    mine, theirs = ordered(words(left, left_id, text), left_id, "_mine"), ordered(b, right_id, "_theirs")
+    index = lambda df, i, name: df.select(i, F.explode(F.slice(name, 1, F.size(name) - least + 1)).alias("_w"))
+    met = index(mine, left_id, "_mine").join(index(theirs, right_id, "_theirs"), "_w").select(left_id, right_id).distinct()
+    scored = met.join(mine, left_id).join(theirs, right_id).select(left_id, right_id, F.size(F.array_intersect("_mine", "_theirs")).cast("bigint").alias("score"))
+    best = scored.where(F.col("score") >= least).groupBy(left_id).agg(F.min_by(F.struct(right_id, "score"), F.struct(-F.col("score"), F.col(right_id))).alias("_best"))
+    return best.select(left_id, "_best.*")
 
 
 def marker_times(ballots: DataFrame, markers: DataFrame) -> DataFrame:

@@ -28,8 +28,8 @@ def ballot_filter_page(t):
 
 @query("""SELECT DISTINCT date_trunc('hour', ts) AS hour FROM events WHERE contains(CAST(user_id AS VARCHAR), '12')""")
 def member_filter_exists(t):
-    hours = t("events").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(F.collect_set(F.col("user_id").cast("string")).alias("members"))
-    return hours.where(F.exists("members", lambda m: F.contains(m, F.lit("12")))).select("hour")
+    some = t("events").where(F.contains(F.col("user_id").cast("string"), F.lit("12")))
+    return some.select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).distinct()
 
 
 @query("""SELECT doc_id FROM documents WHERE contains(lower(text), 'tion') OR contains(lower(source), 'src1')""")
@@ -149,15 +149,14 @@ def containment_join_exact(t):
     return linkage.containment_join(t("part"), seeds(t), "p_type", "key", "p_partkey", "o", exact_first=True).select("p_partkey", "key")
 
 
-@query("""WITH b AS (SELECT item_id, unnest(list_distinct(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '))) w FROM benchmark),
-    p AS (SELECT p_partkey, unnest(list_distinct(string_split(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g'), ' '))) w FROM part)
-  SELECT a, b, score FROM (SELECT a.item_id a, b.item_id b, count(*)::BIGINT score, row_number() OVER (PARTITION BY a.item_id ORDER BY count(*) DESC, b.item_id) rn
-    FROM b a JOIN b ON a.w = b.w AND a.w <> '' AND a.item_id <> b.item_id GROUP BY 1, 2 HAVING count(*) >= 5) WHERE rn = 1""")
+OVERLAP_WORDS = "unnest(list_distinct(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '))) w"
+
+
+@query(f"""WITH d AS (SELECT doc_id, {OVERLAP_WORDS} FROM documents), b AS (SELECT item_id, {OVERLAP_WORDS} FROM benchmark)
+  SELECT doc_id, item_id, score FROM (SELECT doc_id, item_id, count(*)::BIGINT score, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, item_id) rn
+    FROM d JOIN b ON d.w = b.w AND d.w <> '' GROUP BY 1, 2 HAVING count(*) >= 5) WHERE rn = 1""")
 def overlap_join(t):
-    words = F.explode(F.array_distinct(F.split(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "), " ")))
-    b = t("benchmark").select("item_id", words.alias("w")).where("w <> ''")
-    scored = b.select(F.col("item_id").alias("a"), "w").join(b.select(F.col("item_id").alias("b"), "w"), "w").where("a <> b").groupBy("a", "b").agg(n().alias("score")).where("score >= 5")
-    return linkage.first_match(scored, ["a"], F.col("score").desc(), F.col("b")).select("a", "b", "score")
+    return linkage.overlap_join(t("documents"), t("benchmark"), "text", "text", "doc_id", "item_id", 5)
 
 
 @query("""SELECT n_nationkey, n_name, coalesce(r_name, 'UNKNOWN') AS region FROM nation LEFT JOIN (SELECT * FROM region WHERE r_regionkey < 3) ON n_regionkey = r_regionkey""")
