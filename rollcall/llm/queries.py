@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import decontaminate, html_text, jaccard_join, language_id, lm_scores, quality_rules, sentencepiece_codec, token_counts, url_filter, warc_store
 from .common import table
@@ -19,6 +20,12 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.report(table(spark, sf_dir, "pages"))
 
 
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op2 that SQL can say: host, path, rule and the rule's verdict."""
+    ruled = F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("ruled")
+    return op2_url_filter(spark, sf_dir).select("page_id", "host", "path", "rule", ruled)
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
@@ -39,6 +46,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def quality_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op7 that SQL can say: the statistics and base_failed."""
+    return op7_quality_rules(spark, sf_dir).select("doc_id", *quality_rules.STATISTICS, "base_failed")
+
+
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,13 +65,35 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_sentencepiece, op2_url_filter, op3_jaccard_join, op4_decontamination, op5_language_id, op6_warc, op7_quality_rules, op8_lm_scores, op9_html_text, op10_token_counts)
+    for f in (
+        op1_sentencepiece, op2_url_filter, url_rules, op3_jaccard_join, op4_decontamination, op5_language_id, op6_warc,
+        op7_quality_rules, quality_statistics, op8_lm_scores, op9_html_text, op10_token_counts,
+    )
 }
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 ORACLES = {
+    "url_rules": r"""
+        WITH r AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+             p AS (SELECT page_id, translate(regexp_extract(rest, '(?s)^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                          regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) AS path FROM r),
+             t AS (SELECT * FROM (VALUES ('net/', 'block'), ('example.net/en/', 'allow'), ('example.com/de/', 'block'), ('org/fr/', 'allow')) AS x(rule, verdict)),
+             f AS (SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(verdict, length(rule)) AS ruled
+                   FROM p JOIN t ON ends_with('.' || host, '.' || split_part(rule, '/', 1)) AND starts_with(path, substr(rule, strpos(rule, '/'))) GROUP BY page_id)
+        SELECT page_id, host, path, rule, ruled FROM p LEFT JOIN f USING (page_id)""",
+    "quality_statistics": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+                          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+             g AS (SELECT doc_id, k, words[k:k + 2] AS gram FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 2)) AS k FROM d WHERE len(words) > 2)),
+             a AS (SELECT doc_id, k FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1),
+             r AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest([k, k + 1, k + 2]) AS place FROM a) GROUP BY doc_id),
+             s AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+                          CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+                          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+                   FROM d LEFT JOIN r USING (doc_id))
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s""",
     "op3_jaccard_join": rf"""
         WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS words FROM documents),
              s AS (SELECT DISTINCT doc_id, words[k:k + 3] AS gram FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(1, len(words) - 3))) AS k FROM d WHERE len(words) > 0)),

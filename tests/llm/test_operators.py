@@ -439,7 +439,7 @@ def test_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.execute(queries.ORACLES[name])
     names = [d[0] for d in want.description]
