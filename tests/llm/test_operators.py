@@ -109,6 +109,44 @@ def test_url_trees_hold_out(spark):
     assert url_filter.fit([], []).probability(["http://x.org/"])[0] < 0.5
 
 
+def test_url_suffix_record_does_not_hold_its_own_label():
+    r = random.Random(8)
+    urls = [f"http://s{k}.h{k}.com/" + ("7" * r.randint(20, 40) if k % 2 else "a" * r.randint(20, 40)) for k in range(600)]
+    m = url_filter.fit(urls[:400], [k % 2 == 1 for k in range(400)])  # every host is met once: only the digits tell
+    p = m.probability(urls[400:]) > 0.5
+    assert np.mean(p == np.array([k % 2 == 1 for k in range(400, 600)])) > 0.97
+
+
+def test_url_verdicts_equal_trees_walked_plainly(spark):
+    pages = table(spark, "/root/testdata/sf0.01", "pages")
+    seeds = url_filter.seed_urls()
+    m = url_filter.fit([u for u, _ in seeds], [b for _, b in seeds])
+
+    def margin(x):
+        out = m.trees.base
+        for feature, cut, left, right, value in m.trees.trees:
+            node = 0
+            while feature[node] >= 0:
+                node = int(left[node] if x[feature[node]] <= cut[node] else right[node])
+            out += value[node]
+        return out
+
+    said = dict((text, v) for v, text in url_filter.RULES)
+    urls = {r.page_id: r.url for r in pages.collect()}
+    for r in url_filter.report(pages).collect():
+        x = url_filter.features(urls[r.page_id], m.suffixes)
+        assert r.verdict == (said[r.rule] if r.rule else "block" if margin(x) > 0 else "allow")
+
+
+def test_url_labels_of_a_table_hold_out_by_host(spark):
+    """Labels of real pages' hosts (a chain of hyphens is blocked), learned on some hosts and measured on others."""
+    pages = table(spark, "/root/testdata/sf0.1", "pages").withColumn("host", url_filter.split_url(F.col("url"))[0])
+    labelled = pages.select("url", F.contains("host", F.lit("-")).alias("blocked"), (F.crc32("host") % 2 == 0).alias("learn"))
+    other = labelled.where("not learn").withColumn("page_id", F.monotonically_increasing_id())
+    got = url_filter.report(other, labelled.where("learn")).join(other.select("page_id", "blocked"), "page_id").where("rule is null").collect()
+    assert len({r.blocked for r in got}) == 2 and np.mean([(r.verdict == "block") == r.blocked for r in got]) > 0.95
+
+
 def near_copies(seed, n=60):
     r = random.Random(seed)
     words = [f"v{k}" for k in range(400)]
@@ -230,6 +268,29 @@ def test_language_long_words():
             assert np.isclose(language_id.log_probabilities(pieces, p, [w[1:]])[0, lang], a[-1])
 
 
+def test_language_fit_equals_expectations_over_listed_segmentations():
+    vocab = [bytes((c,)) for c in range(256)] + [b" a", b"ab", b" ab", b"bc", b"abc", b"ca"]
+    sample = [("x", b"abc bca abc"), ("y", b"cab abcab"), ("x", b"ca")]
+
+    def cuts(w):
+        return [[]] if not w else [[v, *rest] for v in vocab if w.startswith(v) for rest in cuts(w[len(v) :])]
+
+    p = {lang: dict.fromkeys(vocab, 1 / len(vocab)) for lang in "xy"}
+    for _ in range(3):
+        for lang in "xy":
+            expected = dict.fromkeys(vocab, 0.02)
+            for w in b" ".join(t for k, t in sample if k == lang).split():
+                ways = cuts(b" " + w)
+                weight = [np.prod([p[lang][v] for v in way]) for way in ways]
+                for way, x in zip(ways, weight, strict=True):
+                    for v in way:
+                        expected[v] += x / sum(weight)
+            p[lang] = {v: e / sum(expected.values()) for v, e in expected.items()}
+    got = language_id.fit(sample, vocab, 3)
+    assert got.langs == ["x", "y"]
+    assert np.allclose(got.p, [[p[lang][v] for lang in "xy"] for v in vocab])
+
+
 def test_language_claims(spark):
     model = language_id.fit([("en", b"the cat and the dog and the bird " * 9), ("de", "der hund und die straße und der vogel ".encode() * 9)], language_id.vocabulary(queries.PIECES))
     rows = [(1, "the dog and the cat"), (2, "xqzjkvw qqxzkj zzkqxj vvxqjz"), (3, None), (4, "123"), (None, "der vogel und die Straße")]
@@ -299,6 +360,24 @@ def test_quality_rules(spark):
     assert quality_rules.report(odd(spark, []), labels).collect() == []
 
 
+def test_quality_verdict_equals_the_list_in_plain_code(spark):
+    docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    rules, texts = quality_rules.train(docs, labels), {r.doc_id: r.text for r in docs.collect()}
+    assert rules
+    for r in quality_rules.report(docs, labels).collect():
+        text = texts[r.doc_id] or ""
+        n, chars, symbols, dup, again = quality_rules.brute_force(text)
+        lines = sum(bool(regex.search(r"[^\x20\x09-\x0D]", x)) for x in text.split("\n"))
+        share = lambda a, b: a / max(b, 1)
+        x = {
+            "words": n, "mean_word": share(chars, n), "symbol_share": share(symbols, chars), "dup_line_share": share(dup, lines), "repeat_share": share(again, n),
+            "mark_share": share(text.count("!") + text.count("?"), n), "capital_share": share(sum("A" <= c <= "Z" for c in text), chars),
+        }
+        holds = any(all((x[t.feature] > t.threshold) == t.above for t in rule) for rule in rules)
+        failed = n < 50 or 100 * again > 50 * n
+        assert (r.base_failed, r.kept) == (failed, not failed and not holds)
+
+
 def test_lm_scores(spark):
     docs = [(k, "cats like warm milk and sleep" if k % 2 else "stocks fell on weak bond yields") for k in range(40)] + [(100, None), (101, "")]
     labels = spark.createDataFrame([(k, 1, 0) for k in range(1, 20, 2)], "doc_id long, quality int, toxic int")
@@ -434,6 +513,24 @@ def test_token_counts(spark):
     assert [list(token_counts.allocate(ends, widths, starts, rule)[0]) for rule in token_counts.RULES] == [[1, 1, 1], [2, 0, 1], [1, 0, 2]]
 
 
+def test_token_counts_equal_bytes_counted_one_by_one(spark, docs):
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    e = token_counts.encoder(ranks, public_tokenizers.PATTERN).encoding
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for rule in token_counts.RULES:
+        for r in token_counts.token_counts(docs, "doc_id", "text", ranks, public_tokenizers.PATTERN, rule).collect():
+            line, want, crossing, n = 0, Counter(), 0, 0
+            for token in e.encode_ordinary(texts[r.doc_id] or ""):
+                over = Counter()
+                for byte in e.decode_single_token_bytes(token):
+                    over[line] += 1
+                    line += byte == 10
+                n, crossing = n + 1, crossing + (len(over) > 1)
+                want[max(over) if rule == "last" else min(over) if rule == "first" else min(over, key=lambda k: (-over[k], k))] += 1
+            assert (r.n_tokens, r.n_crossing) == (n, crossing)
+            assert r.section_tokens == [want[k] for k in range(r.n_sections)] and sum(want.values()) == sum(r.section_tokens)
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_sql(spark, name):
     import duckdb
