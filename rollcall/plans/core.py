@@ -324,7 +324,16 @@ def adjacent_fold(t):
     return dedupe.adjacent_fold(e, ["g"], "s", "v", "event_id", 60).select("g", "event_id")
 
 
-@query()
+FREE = """list_filter(c.seeds, lambda x: x.t = coalesce(s.p_name, '') OR (x.t <> '' AND s.p_name <> '' AND (contains(x.t, s.p_name) OR contains(s.p_name, x.t))))[1].o"""
+
+
+@query(f"""WITH RECURSIVE r AS (SELECT DISTINCT l_orderkey, l_linenumber, p_partkey, p_name FROM lineitem JOIN part ON l_partkey = p_partkey),
+  s AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY p_partkey) AS k FROM r),
+  c AS (SELECT l_orderkey, l_linenumber, p_partkey, p_name, k, p_partkey AS seed, [{{'o': p_partkey, 't': coalesce(p_name, '')}}] AS seeds FROM s WHERE k = 1
+    UNION ALL SELECT s.l_orderkey, s.l_linenumber, s.p_partkey, s.p_name, s.k, coalesce({FREE}, s.p_partkey),
+      CASE WHEN {FREE} IS NULL THEN list_append(c.seeds, {{'o': s.p_partkey, 't': coalesce(s.p_name, '')}}) ELSE c.seeds END
+    FROM c JOIN s ON s.l_orderkey = c.l_orderkey AND s.l_linenumber = c.l_linenumber AND s.k = c.k + 1)
+  SELECT l_orderkey, l_linenumber, p_partkey, p_name, CAST(seed AS BIGINT) AS seed FROM c""")
 def seed_cluster(t):
     rows = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "l_linenumber", "p_partkey", "p_name").distinct()
     return dedupe.seed_clusters(rows, ["l_orderkey", "l_linenumber"], "p_name", "p_partkey")
