@@ -56,9 +56,9 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, []
 
-    def write(self, df: DataFrame, what: str) -> DataFrame:
+    def write(self, df: DataFrame, what: str, compression: str | None = None) -> DataFrame:
         path = fresh_path(self.spark, what)
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths.append((out, path))
         return out

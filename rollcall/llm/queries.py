@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, jaccard_join, language_id, lm_scores, quality_rules, sentencepiece_codec, token_counts, url_filter, warc_store
+from . import alignment, decontaminate, hard_negatives, html_text, jaccard_join, language_id, lm_scores, packing, quality_rules, sentencepiece_codec, token_counts, url_filter, warc_store
 from .common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,11 +64,27 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), "doc_id", "text", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = hard_negatives.scaled(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", moved)
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), "doc_id", "text", BYTES, PIECES)
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", BYTES)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_url_filter, url_rules, op3_jaccard_join, op4_decontamination, op5_language_id, op6_warc,
         op7_quality_rules, quality_statistics, op8_lm_scores, op9_html_text, op10_token_counts,
+        op11_hard_negatives, op12_tokenizer_alignment, op13_packing,
     )
 }
 
@@ -75,6 +92,20 @@ LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghij
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 ORACLES = {
+    "op11_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+                   FROM embeddings
+                   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+                          CAST(list_sum(list_transform(generate_series(1, len(a.q)), lambda k: a.q[k] * b.q[k])) AS BIGINT) AS score
+                   FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+             p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+                   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+             n AS (SELECT p.*, s.other AS negative_id, s.score AS negative_score,
+                          row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.other) AS rank
+                   FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""",
     "url_rules": r"""
         WITH r AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
              p AS (SELECT page_id, translate(regexp_extract(rest, '(?s)^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
