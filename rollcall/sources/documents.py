@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 BALLOT = "id string, meeting_id string, agenda_item variant, frame_number variant, individual_votes variant, result string, vote_tally struct<ayes:int,noes:int,abstentions:int,recused:int,recusals:int>, confidence variant, motion_text string, frame_path string, meta_id string, video_timestamp int, timestamp_estimated boolean"
 SESSION = "id string, title string, date string, time string, video_url string, agenda_url string"
 ROOT = f"votes array<struct<{', '.join(x.replace(' ', ':', 1) for x in BALLOT.split(', '))}>>, meetings map<string, struct<{', '.join(x.replace(' ', ':', 1) for x in SESSION.split(', '))}>>"
-CANDIDATE = "frame_path string, frame_name string, frame_number int, confidence double, detection_method string, raw_text string, has_votable_indicators boolean, meeting_id string"
 
 
 def read_document(spark: SparkSession, path: str, required: tuple[str, ...] = ("votes", "meetings")) -> DataFrame:
-    """One row a document; a required section that is missing everywhere is an error."""
+    """One row a document; reading one that lacks a required section is an error that names the file and the section."""
     df = spark.read.option("multiLine", True).schema(ROOT).json(path)
-    missing = [c for c in required if df.where(F.col(c).isNotNull()).isEmpty()]
-    if missing:
-        raise ValueError(f"document lacks {', '.join(missing)}")
-    return df
+    sound = F.lit(True)
+    for c in required:
+        lacks = F.raise_error(F.concat(F.col("_metadata.file_path"), F.lit(f" lacks {c}"))).cast("boolean")
+        sound = sound & F.when(F.col(c).isNotNull(), True).otherwise(lacks)
+    return df.where(sound)
 
 
 def read_or_empty(spark: SparkSession, path: str) -> DataFrame:
@@ -36,7 +36,9 @@ def text_of(v: Column, *paths: str) -> Column:
 def item_text(v: Column) -> Column:
     """An item that is text, an object {number, description} or null."""
     is_object = F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))
-    return F.when(is_object, F.concat_ws(". ", text_of(v, "$.number"), text_of(v, "$.description"))).otherwise(F.try_variant_get(v, "$", "string"))
+    part = lambda path: F.coalesce(text_of(v, path), F.lit(""))
+    numbered = F.trim(F.concat(part("$.number"), F.lit(". "), part("$.description")))
+    return F.when(is_object, numbered).otherwise(F.try_variant_get(v, "$", "string"))
 
 
 def choices_of(v: Column) -> Column:
@@ -64,18 +66,17 @@ def sessions(documents: DataFrame) -> DataFrame:
     return documents.select(F.explode("meetings").alias("session_id", "m")).select("session_id", "m.title", "m.date", "m.time", "m.video_url", "m.agenda_url")
 
 
-def candidates(spark: SparkSession, glob: str) -> DataFrame:
-    """OCR candidates of many files, in (file, place) order."""
-    files = spark.read.schema(CANDIDATE).option("multiLine", True).json(glob)
-    return files.withColumn("source_file", F.col("_metadata.file_name"))
-
-
 def frames(spark: SparkSession, folder: str) -> DataFrame:
     """Session and number of every frame image below a folder; contents are not read."""
     names = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.jpg").load(folder).select("path")
     return names.select(F.regexp_extract("path", r"votable_frames_(\d+)", 1).alias("session_id"), F.expr(r"try_cast(regexp_extract(path, 'frame_(\\d+)[.]jpg', 1) as int)").alias("frame_number"), "path")
 
 
+def framed_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """session_id of every session that has frames below a folder."""
+    return frames(spark, folder).select("session_id").where("session_id <> ''").distinct()
+
+
 def markers(html: Column) -> Column:
     """Map of marker id to seconds from time/data-id attributes; the last of an id wins."""
     pattern = r'(?s)time="(\d+)".*?data-id="(\d+)"'
@@ -89,8 +90,23 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_document(df: DataFrame, path: str, version: str, dry_run: bool = False) -> None:
-    """A versioned write that never overwrites an earlier version; a dry run computes everything and writes nothing."""
+    """A versioned write that never overwrites an earlier version; a dry run computes everything and writes nothing.
+
+    A version counts once its write has been committed: a run that breaks off leaves the earlier one as the latest."""
     if dry_run:
         df.write.format("noop").mode("overwrite").save()
     else:
         df.write.mode("errorifexists").json(f"{path}/v={version}")
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """The committed versions below path, ascending by name."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/v=*/_SUCCESS")
+    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where) or ()
+    return sorted(x.getPath().getParent().getName().removeprefix("v=") for x in found)
+
+
+def read_version(spark: SparkSession, path: str, schema: str, version: str | None = None) -> DataFrame:
+    """A version of a document (the latest, if none is named); without any, no rows."""
+    at = version if version is not None else next(reversed(versions(spark, path)), None)
+    return spark.createDataFrame([], schema) if at is None else spark.read.schema(schema).json(f"{path}/v={at}")
