@@ -46,25 +46,3 @@ def adjacent_fold(df: DataFrame, keys: list[str], at: str, score: str, order: st
     row = row.withColumn("_beats", F.col("_pair") & F.col("_less") & ~F.lag("_goes", 1, True).over(w))
     row = row.withColumn("_beaten", F.lead("_beats", 1, False).over(w))
     return row.where("not _goes and not _beaten").select(*df.columns)
-
-
-def seed_clusters(df: DataFrame, keys: list[str], text: str, order: str) -> DataFrame:
-    """Greedy clusters: the first free row seeds; later rows equal to it, containing it or contained in it join (a short
-    code that begins the other text is contained in it).
-
-    Adds `seed`, the seed's order value. Groups are small by contract (the ballots of one frame)."""
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
-
-    def run(pdf):
-        pdf = pdf.sort_values(order)
-        seeds: list[tuple[int, str]] = []
-        out = []
-        for o, t in zip(pdf[order], pdf[text].fillna(""), strict=True):
-            found = next((s for s, u in seeds if t == u or (t and u and (t in u or u in t))), None)
-            if found is None:
-                seeds.append((o, t))
-                found = o
-            out.append(found)
-        return pdf.assign(seed=out)
-
-    return df.groupBy(*keys).applyInPandas(run, f"{kinds}, seed bigint")

@@ -12,7 +12,9 @@ from pyspark.sql.window import Window
 
 from rollcall.functions import text as tx
 from rollcall.functions import times as tm
-from rollcall.operators import dedupe, linkage, reconcile
+from rollcall.operators import clusters, dedupe, linkage, reconcile
+
+from rollcall.shared import shared_folder
 
 from .registry import LINE, ORACLES, QUERIES, count_if, n, query
 
@@ -336,7 +338,7 @@ FREE = """list_filter(c.seeds, lambda x: x.t = coalesce(s.p_name, '') OR (x.t <>
   SELECT l_orderkey, l_linenumber, p_partkey, p_name, CAST(seed AS BIGINT) AS seed FROM c""")
 def seed_cluster(t):
     rows = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "l_linenumber", "p_partkey", "p_name").distinct()
-    return dedupe.seed_clusters(rows, ["l_orderkey", "l_linenumber"], "p_name", "p_partkey")
+    return clusters.seed_clusters(rows, ["l_orderkey", "l_linenumber"], "p_name", "p_partkey")
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderkey >= coalesce((SELECT min(o_orderkey) FROM orders WHERE o_custkey = 5), 0)")
@@ -520,11 +522,6 @@ def candidates_pipeline(t):
 # ---- streams
 
 
-def scratch(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir, else the session's warehouse."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
-
-
 def _streamed(name: str, sql: str, build, mode: str):
     """A query that runs what is there through a file stream to its end and reads the sink."""
 
@@ -533,7 +530,7 @@ def _streamed(name: str, sql: str, build, mode: str):
 
         from rollcall.streaming import candidates as st
 
-        out = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
+        out = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         df = build(st, spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet*"))
         st.drain(df, f"{out}/rows", f"{out}/state", mode)
         return spark.read.schema(df.schema).parquet(f"{out}/rows")

@@ -191,9 +191,9 @@ def _streamed(name: str, sql: str, build):
 
         from rollcall.streaming import candidates as st
 
-        from .core import scratch
+        from rollcall.shared import shared_folder
 
-        out = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
+        out = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         rows = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet*")
         return build(st, rows.withColumn("ts", F.col("ts").cast("timestamp")), out, spark)
 
