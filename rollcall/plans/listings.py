@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -10,7 +12,9 @@ from rollcall import api
 from rollcall.functions import text as tx
 from rollcall.functions import times as tm
 from rollcall.operators import linkage, reconcile
+from rollcall.shared import shared_folder
 from rollcall.sources import pages as pg
+from rollcall.streaming import candidates, merge, stateful
 
 from .meetings import B, C, OUT, PRESENT, ballots
 from .registry import ORACLES, QUERIES, count_if, n, query
@@ -186,50 +190,99 @@ def seeded_draw(t):
 
 
 def _streamed(name: str, sql: str, build):
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        import uuid
-
-        from rollcall.streaming import candidates as st
-
-        from rollcall.shared import shared_folder
+    """A query over the events as a stream, run to its end in a folder of its own; build gives the result's frame."""
 
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-        rows = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet*")
-        return build(st, rows.withColumn("ts", F.col("ts").cast("timestamp")), out, spark)
+        schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+        rows = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet*")
+        return build(rows.withColumn("ts", F.col("ts").cast("timestamp")), out, spark)
 
     QUERIES[name], ORACLES[name] = run, sql
 
 
-def _windows(st, events, out, spark):
-    df = st.windowed(events, "ts", "1 hour", "0 seconds", "event_type").select(F.date_format("w.start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", F.col("n").cast("bigint").alias("n"))
-    st.drain(df, f"{out}/rows", f"{out}/state")
+def _to_the_end(events, out, spark, form):
+    """Two runs from one checkpoint: what is there, then the end of the input."""
+    df = form(stateful.with_end(events, f"{out}/marks", "ts", "1 second"))
+    with stateful.rocks(spark):
+        stateful.drain(df, f"{out}/rows", f"{out}/state")
+        stateful.mark_end(spark, f"{out}/marks", "ts")
+        stateful.drain(df, f"{out}/rows", f"{out}/state")
     return spark.read.schema(df.schema).parquet(f"{out}/rows")
 
 
-_streamed("stream_window", "WITH w AS (SELECT date_trunc('hour', ts) AS s, event_type, count(*)::BIGINT AS n FROM events GROUP BY 1, 2) SELECT strftime(s, '%Y-%m-%d %H:%M') AS start, event_type, n FROM w WHERE s + INTERVAL 1 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) FROM events)", _windows)
+def _windows(events, out, spark):
+    rows = _to_the_end(events, out, spark, lambda e: stateful.windowed(e, "ts", "1 hour", "event_type"))
+    return rows.select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
+
+
+_streamed(
+    "stream_window",
+    """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*)::BIGINT AS n FROM events
+       WHERE ts IS NOT NULL GROUP BY 1, 2""",
+    _windows,
+)
+
+
+def _sessions(events, out, spark):
+    rows = _to_the_end(events, out, spark, lambda e: stateful.sessions(e, "ts", "30 minutes", "user_id"))
+    return rows.select("user_id", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n")
 
 
-def _upserted(st, events, out, spark):
+_streamed(
+    "stream_sessions",
+    """WITH e AS (SELECT user_id, epoch_us(ts) AS us FROM events WHERE ts IS NOT NULL),
+            g AS (SELECT *, CASE WHEN us < lag(us) OVER w + 1800000000 THEN 0 ELSE 1 END AS begins FROM e WINDOW w AS (PARTITION BY user_id ORDER BY us)),
+            i AS (SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY us RANGE UNBOUNDED PRECEDING) AS island FROM g)
+       SELECT user_id, min(us) AS start_us, max(us) + 1800000000 AS end_us, count(*)::BIGINT AS n FROM i GROUP BY user_id, island""",
+    _sessions,
+)
+
+
+def _upserted(events, out, spark):
     rows = events.select("event_id", "event_type", "value")
     for _ in range(2):  # the second run finds nothing new
-        st.upsert(rows, f"{out}/rows", f"{out}/state", ["event_id"], "value")
-    return st.latest(spark, f"{out}/rows", ["event_id"], "value").select("event_id", "event_type")
+        candidates.upsert(rows, f"{out}/rows", f"{out}/state", ["event_id"], "value")
+    return candidates.latest(spark, f"{out}/rows", ["event_id"], "value").select("event_id", "event_type")
 
 
 _streamed("stream_upsert", "SELECT DISTINCT event_id, event_type FROM events", _upserted)
 
 
-def _neighbours(st, events, out, spark):
-    df = st.neighbours(events, "event_type", "ts", "value", "event_id", 60, "1 second")
-    st.drain(df, f"{out}/rows", f"{out}/state")
-    return spark.read.schema(df.schema).parquet(f"{out}/rows").select(F.col("key").alias("event_type"), F.col("order").alias("event_id"))
+def _merged(events, out, spark):
+    """The events come in several files, so keys repeat inside and across batches."""
+    schema = "event_id long, user_id long, event_type string, value double"
+    table = merge.MergedTable(spark, f"{out}/table", ["user_id"], "event_id", 8)
+    batches = events.select("event_id", "user_id", "event_type", "value")
+    parts = batches.writeStream.foreachBatch(lambda df, k: df.repartition(4, "event_id").write.mode("overwrite").parquet(f"{out}/parts"))
+    parts.option("checkpointLocation", f"{out}/split").trigger(availableNow=True).start().awaitTermination()
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/parts")
+    table.follow(stream, f"{out}/state")
+    return table.read()
+
+
+_streamed(
+    "stream_merge",
+    "SELECT event_id, user_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1",
+    _merged,
+)
+
+
+def _neighbours(events, out, spark):
+    rows = _to_the_end(events, out, spark, lambda e: stateful.neighbours(e, "event_type", "ts", "value", "event_id", 60))
+    return rows.select(F.col("key").alias("event_type"), F.col("ord").alias("event_id"))
 
 
 _streamed(
     "stream_neighbours",
-    """WITH RECURSIVE f AS (SELECT event_type AS g, epoch_us(ts) / 1e6 AS pos, event_id AS o, value AS s, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS k FROM events),
-      w AS (SELECT g, k, pos, s, o, false AS gone, CAST(NULL AS BIGINT) AS killed FROM f WHERE k = 1
-        UNION ALL SELECT f.g, f.k, f.pos, f.s, f.o, NOT w.gone AND f.pos - w.pos <= 60 AND w.s >= f.s, CASE WHEN NOT w.gone AND f.pos - w.pos <= 60 AND w.s < f.s THEN w.o END FROM w JOIN f ON f.g = w.g AND f.k = w.k + 1)
-      SELECT g AS event_type, o AS event_id FROM w WHERE NOT gone AND NOT EXISTS (SELECT 1 FROM w v WHERE v.g = w.g AND v.killed = w.o) AND (k < (SELECT max(k) FROM f WHERE f.g = w.g) OR pos + 60 < (SELECT max(pos) FROM f) - 1)""",
+    """WITH RECURSIVE f AS (SELECT event_type AS g, epoch_us(ts) AS pos, event_id AS o, value AS s,
+                                   row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS k FROM events),
+            w AS (SELECT g, k, pos, s, o, false AS gone, CAST(NULL AS BIGINT) AS killed FROM f WHERE k = 1
+                  UNION ALL
+                  SELECT f.g, f.k, f.pos, f.s, f.o, NOT w.gone AND f.pos - w.pos <= 60000000 AND w.s >= f.s,
+                         CASE WHEN NOT w.gone AND f.pos - w.pos <= 60000000 AND w.s < f.s THEN w.o END
+                  FROM w JOIN f ON f.g = w.g AND f.k = w.k + 1)
+       SELECT g AS event_type, o AS event_id FROM w
+       WHERE NOT gone AND NOT EXISTS (SELECT 1 FROM w v WHERE v.g = w.g AND v.killed = w.o)""",
     _neighbours,
 )

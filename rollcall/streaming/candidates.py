@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .merge import MergedTable
+
 
 def stream(spark: SparkSession, path: str, files: int = 100) -> DataFrame:
     """A file stream over Parquet that is already there or still comes."""
@@ -27,55 +29,12 @@ def drain(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> Non
     query.awaitTermination()
 
 
-def neighbours(df: DataFrame, key: str, at: str, score: str, order: str, gap: float, late: str) -> DataFrame:
-    """The greedy elimination of neighbouring rows of a key over a stream: key, order of the rows that stay.
-
-    A row is given out when its successor has come, or when the watermark has passed it by gap. The state of a key is the
-    last row: place, score, order and whether it went. Rows before the last one are too late and are left out."""
-    kind = dict(df.dtypes)[key]
-
-    def run(name, batches, state):
-        import pandas as pd
-
-        last = state.get if state.exists else None
-        out = []
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame({"key": [name[0]] if not last[3] else [], "order": [last[2]] if not last[3] else []})
-            return
-        rows = pd.concat(list(batches)).sort_values(["sec", "ord"])
-        for sec, s, o in zip(rows["sec"].tolist(), rows["score"].tolist(), rows["ord"].tolist(), strict=True):
-            if last is not None and (sec, o) < (last[0], last[2]):
-                continue
-            goes = False
-            if last is not None and not last[3]:
-                close = sec - last[0] <= gap
-                goes = close and not last[1] < s
-                if not (close and last[1] < s):
-                    out.append(last[2])
-            last = (sec, s, o, goes)
-        state.update(last)
-        state.setTimeoutTimestamp(max(int((last[0] + gap) * 1000) + 1, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"key": [name[0]] * len(out), "order": out})
-
-    rows = df.withWatermark(at, late).select(F.col(key).alias("key"), F.col(at).alias("at"), F.unix_micros(at).cast("double").alias("us"), F.col(score).cast("double").alias("score"), F.col(order).cast("long").alias("ord"))
-    rows = rows.select("key", "at", (F.col("us") / 1e6).alias("sec"), "score", "ord")
-    return rows.groupBy("key").applyInPandasWithState(run, f"key {kind}, order long", "sec double, score double, ord long, gone boolean", "append", "EventTimeTimeout")
-
-
 def upsert(df: DataFrame, out: str, checkpoint: str, keys: list[str], order: str) -> None:
-    """Ingests a stream so that running it again, or files that repeat rows, change nothing: each batch is written into a
-    folder of its own number, which a repeated batch overwrites; latest() reads one row a key."""
-
-    def save(batch: DataFrame, number: int) -> None:
-        batch.dropDuplicates(keys).write.mode("overwrite").parquet(f"{out}/batch={number}")
-
-    query = df.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    """Merges a stream into the table at out: of each key the row with the greatest order stays, inside a batch and across
+    batches; running it again, or files that repeat rows, change nothing."""
+    MergedTable(df.sparkSession, out, keys, order).follow(df, checkpoint)
 
 
 def latest(spark: SparkSession, out: str, keys: list[str], order: str) -> DataFrame:
     """Of each key the row with the greatest order."""
-    rows = spark.read.parquet(out)
-    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in keys]), order).alias("r"))
-    return best.select(*keys, "r.*")
+    return MergedTable(spark, out, keys, order).read()
