@@ -184,13 +184,3 @@ def session_reports(df: DataFrame, sessions: DataFrame) -> DataFrame:
         F.lit("The meeting concluded with standard adjournment procedures."),
     ]
     return rows.select("session_id", F.concat_ws(" ", *parts).alias("report"))
-
-
-def import_ballots(new: DataFrame, existing: DataFrame) -> DataFrame:
-    """The import: new ballots are consolidated by session and item, get an estimated time where they have no marker, and
-    replace existing ones of the same id; ballots without an id are added."""
-    grouped = ch.merge_ballots(new.where("session_id is not null"), ["session_id", "item_text"])
-    timed = grouped.withColumn("video_ts", tm.by_content(F.col("item_text"), F.coalesce("frame_number", F.lit(0))).cast("bigint")).withColumn("ts_estimated", F.lit(True))
-    columns = ["ballot_id", "session_id", "item_text", "frame_number", "choices", "video_ts", "ts_estimated"]
-    kept = existing.join(timed.select("ballot_id"), "ballot_id", "left_anti")
-    return timed.select(*columns).unionByName(kept.select(*columns))

@@ -24,7 +24,7 @@ PHRASES = (
 )
 STARTS = ("consent calendar", "administrative matters", "oral communications", "council committee meetings", "hearings", "adjournment")
 CATEGORIES = ("consent calendar", "administrative matters", "hearings", "oral communications", "adjournment", "council committee meetings")
-STOP_WORDS = ("the", "a", "an", "and", "or", "but", "in", "on", "at", "to", "for", "of", "with", "by")
+STOP_WORDS = ("THE", "A", "AN", "AND", "OR", "BUT", "IN", "ON", "AT", "TO", "FOR", "OF", "WITH", "BY")
 KEY_PHRASES = ("PLANNING COMMISSION", "COMMUNITY DEVELOPMENT", "ORAL COMMUNICATIONS", "ADJOURNMENT", "CONSENT CALENDAR", "HEARINGS", "COUNCIL COMMITTEE", "COMMUNITY SERVICES", "RESOLUTION", "ORDINANCE", "PUBLIC HEARING", "ACCEPT AND FILE")
 TOPICS = (
     ("Consent Calendar", ("consent calendar",)), ("Administrative Matters", ("administrative matters",)), ("Planning & Development", ("planning", "development")),
@@ -81,12 +81,13 @@ def normalise_aggressive(x: Column) -> Column:
 
 
 def with_ultra(df: DataFrame, x: str, out: str) -> DataFrame:
-    """df with out: normalise_aggressive cut to its category; the chain of patterns stands once in the plan."""
+    """df with out: normalise_aggressive cut to its category, '' where there is no text; the chain of patterns stands once in
+    the plan."""
     done = df.withColumn(out, normalise_aggressive(F.col(x)))
     found = F.when(F.length(out) < 3, F.lit("generic item"))
     for c in STARTS:
         found = found.when(F.startswith(out, F.lit(c)), F.lit(c))
-    return done.withColumn(out, found.otherwise(F.col(out)))
+    return done.withColumn(out, F.when(F.coalesce(F.col(x), F.lit("")) == "", "").otherwise(found.otherwise(F.col(out))))
 
 
 def with_category(df: DataFrame, x: str, out: str) -> DataFrame:
@@ -99,9 +100,9 @@ def with_category(df: DataFrame, x: str, out: str) -> DataFrame:
 
 
 def normalise_match(x: Column) -> Column:
-    """Lower-cased words without punctuation and stop words, for matching. (Case is folded down, as upper case is not
-    the same in all engines; matches are the same.)"""
-    words = F.split(collapse(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), r"[^A-Za-z0-9_ \t\n\x0B\f\r]", "")), " ")
+    """Upper-case words without punctuation and stop words, for matching. Letters and digits of any script stay."""
+    flat = F.regexp_replace(F.upper(F.coalesce(x, F.lit(""))), r"(?U)\s+", " ")
+    words = F.split(F.regexp_replace(flat, r"[^\p{L}\p{N}_ ]", ""), " ")
     return F.array_join(F.filter(words, lambda w: ~w.isin("", *STOP_WORDS)), " ")
 
 

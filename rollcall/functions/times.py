@@ -44,3 +44,39 @@ def deep_link(base: Column, session: Column, marker: Column, seconds: Column) ->
     root = F.concat(base, session.cast("string"))
     minutes = F.concat(root, F.lit("?t="), F.floor(seconds / 60).cast("long").cast("string"), F.lit("m"), (seconds % 60).cast("long").cast("string"), F.lit("s"))
     return F.when(session.isNull(), F.lit(None)).when(marker.isNotNull(), F.concat(root, F.lit("&meta_id="), marker.cast("string"))).when(seconds.isNotNull(), minutes).otherwise(root)
+
+
+#: A date that stands for none, and the year and shift of each session id prefix.
+NO_DATE = "2024-01-28"
+YEARS = (("14", 2024, 243), ("15", 2025, 490))
+
+
+def estimated_date(session: Column) -> Column:
+    """A date made from a session id: its prefix gives the year, the number after it month and day. An id of another kind is
+    taken whole, in the first year; one that is no number gives the year's first day."""
+    year, shift = F.lit(YEARS[0][1]), F.lit(YEARS[0][2])
+    prefixed = F.lit(False)
+    for prefix, y, k in reversed(YEARS):
+        has = F.startswith(session, F.lit(prefix))
+        year, shift, prefixed = F.when(has, y).otherwise(year), F.when(has, k).otherwise(shift), has | prefixed
+    digits = F.when(prefixed, F.substr(session, F.lit(3))).otherwise(session)
+    number = F.when(F.rlike(digits, F.lit("^[0-9]{1,18}$")), digits.cast("long"))
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    made = F.concat_ws("-", year.cast("string"), two(F.pmod(number - shift, F.lit(12)) + 1), two(F.pmod(number - shift, F.lit(28)) + 1))
+    return F.when(number.isNull(), F.concat(year.cast("string"), F.lit("-01-01"))).otherwise(made)
+
+
+def date_or_estimate(date: Column, session: Column) -> Column:
+    """The date, or an estimate where it is missing, empty or stands for none."""
+    return F.when(F.coalesce(date, F.lit("")).isin("", NO_DATE), estimated_date(session)).otherwise(date)
+
+
+def meeting_label(date: Column, time: Column) -> Column:
+    """'January 2, 2024 at 6:30 PM PST' of texts YYYY-MM-DD and HH:MM; the date alone without a time; a message without a date;
+    both as they are where they cannot be read."""
+    day, clock_time = F.try_to_date(date, "yyyy-MM-dd"), F.try_to_timestamp(F.concat(F.lit("2000-01-01 "), time), F.lit("yyyy-MM-dd H:m"))
+    label = F.date_format(day, "MMMM d, yyyy")
+    timed = F.concat(label, F.lit(" at "), F.date_format(clock_time, "h:mm a"), F.lit(" PST"))
+    no_time = F.coalesce(time, F.lit("")) == ""
+    raw = F.when(no_time, date).otherwise(F.concat(date, F.lit(" at "), time))
+    return F.when(F.coalesce(date, F.lit("")) == "", "Date not available").otherwise(F.coalesce(F.when(no_time, label).otherwise(timed), raw))

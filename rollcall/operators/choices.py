@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions import text as tx
 
 from .reconcile import choice_by_outcome, outcome
 
-#: Tokens that count in a tally.
-AYE, NOE, ABSTENTION = ("YES", "YEA", "AYE", "Y"), ("NO", "NAY", "N"), ("ABSTAIN", "ABSTENTION", "A")
+#: Tokens that count in a tally (upper case), one set a policy.
+FILLED = (("YES", "Y", "AYE"), ("NO", "N", "NAY"), ("ABSTAIN", "ABSTENTION"))
+LISTED = (("YES", "AYE"), ("NO", "NAY"), ("ABSTAIN", "ABSTENTION"))
+EXACT = (("YES",), ("NO",), ("ABSTAIN",))
+#: Outcomes of a filled tally.
+FILLED_OUTCOMES = ("Motion Passes", "Motion Fails", "Tie")
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -28,54 +32,88 @@ def last_choices(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return last.groupBy(*keys).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("member", "choice")))).alias("choices"))
 
 
+def default_id(keys: list[str]) -> Column:
+    """The id of a ballot without one: session and item joined by '_', None for a missing part."""
+    return F.concat_ws("_", *[F.coalesce(F.col(k).cast("string"), F.lit("None")) for k in keys])
+
+
 def merge_ballots(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One ballot a group: its id and frame from the least frame (first place on ties), choices merged in place order, the
-    merged ids in place order."""
-    first = F.min(F.when(F.col("frame_number").isNotNull(), F.struct("frame_number", "in_ord", "ballot_id")))
-    ids = F.transform(F.array_sort(F.collect_list(F.struct("in_ord", "ballot_id"))), lambda x: x["ballot_id"])
-    rows = df.groupBy(*keys).agg(first.alias("f"), ids.alias("consolidated_from"))
-    return same_keys(rows, last_choices(df, keys, ["in_ord"]), keys, "left").select(*keys, F.col("f.ballot_id").alias("ballot_id"), F.col("f.frame_number").alias("frame_number"), "choices", "consolidated_from")
+    """One ballot a group: id, frame, marker and time of the ballot with the least frame (a missing one is 0; first place on
+    ties), choices merged in place order, the merged ids in place order."""
+    named = df.withColumns({"_id": F.coalesce("ballot_id", default_id(keys)), "_frame": F.coalesce("frame_number", F.lit(0))})
+    primary = F.min_by(F.struct("_id", "_frame", "marker_id", "video_ts", "ts_estimated"), F.struct("_frame", "in_ord"))
+    ids = F.transform(F.array_sort(F.collect_list(F.struct("in_ord", "_id"))), lambda x: x["_id"])
+    rows = named.groupBy(*keys).agg(primary.alias("p"), ids.alias("consolidated_from"))
+    out = same_keys(rows, last_choices(df, keys, ["in_ord"]), keys, "left")
+    return out.select(
+        *keys, F.col("p._id").alias("ballot_id"), F.col("p._frame").alias("frame_number"), F.coalesce("choices", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))).alias("choices"), "p.marker_id", "p.video_ts",
+        F.coalesce("p.ts_estimated", F.lit(True)).alias("ts_estimated"), "consolidated_from",
+    )
 
 
-def tally_of(choices: Column) -> Column:
-    """Ayes, noes and abstentions of a choice map, by synonyms."""
-    count = lambda tokens: F.size(F.filter(F.map_values(choices), lambda v: F.upper(v).isin(*tokens)))
-    return F.struct(count(AYE).alias("ayes"), count(NOE).alias("noes"), count(ABSTENTION).alias("abstentions"))
+def tally_of(choices: Column, tokens: tuple = FILLED) -> Column:
+    """Ayes, noes and abstentions of a choice map, by a policy's tokens."""
+    count = lambda of: F.size(F.filter(F.map_values(choices), lambda v: F.upper(v).isin(*of)))
+    return F.struct(*[F.coalesce(count(of), F.lit(0)).alias(c) for c, of in zip(("ayes", "noes", "abstentions"), tokens, strict=True)])
 
 
 def merge_listed(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One ballot a group: all choices counted again, least frame that is not 0, least time that is not 0, first marker that
-    is not empty, and whether the time is missing."""
-    choices = F.explode_outer(F.coalesce(F.map_values("choices"), F.array().cast("array<string>")))
-    counted = df.select(*keys, choices.alias("c")).groupBy(*keys)
-    counted = counted.agg(*[F.count_if(F.upper("c").isin(*t)).alias(x) for x, t in (("ayes", AYE), ("noes", NOE), ("abstentions", ABSTENTION))])
-    marker = F.min(F.when(F.coalesce(F.length("marker_id"), F.lit(0)) > 0, F.struct("in_ord", "marker_id")))["marker_id"]
-    rest = df.groupBy(*keys).agg(F.min(F.nullif("frame_number", F.lit(0))).alias("frame_number"), F.min(F.nullif("video_ts", F.lit(0))).alias("video_ts"), marker.alias("marker_id"), F.count(F.lit(1)).alias("merged"))
-    out = same_keys(rest, counted, keys, "inner")
-    return out.withColumn("ts_estimated", F.col("video_ts").isNull()).withColumn("outcome", outcome(F.col("ayes"), F.col("noes")))
+    """One ballot a group. A single ballot stays as it is. Of several the first is the base: the least frame and time that
+    are not 0 and the first marker that is not empty replace its own, and where any has choices, all of them are counted
+    anew and give tally and outcome. ts_estimated says whether the time is missing."""
+    has = F.coalesce(F.size("choices"), F.lit(-1)) > 0
+    t = tally_of(F.col("choices"), LISTED)
+    rows = df.withColumn("_t", F.when(has, t))
+    base = F.min_by(F.struct("ballot_id", "outcome", "tally", "frame_number", "video_ts", "marker_id"), "in_ord")
+    marker = F.min_by("marker_id", F.when(F.coalesce(F.length("marker_id"), F.lit(0)) > 0, F.col("in_ord")))
+    sums = [F.sum(f"_t.{c}").cast("int").alias(c) for c in ("ayes", "noes", "abstentions")]
+    least = [F.min(F.nullif(c, F.lit(0))).alias(f"_{c}") for c in ("frame_number", "video_ts")]
+    out = rows.groupBy(*keys).agg(base.alias("b"), marker.alias("_marker"), *sums, *least, F.count(F.lit(1)).alias("merged"))
+    counted = (F.col("merged") > 1) & F.col("ayes").isNotNull()
+    several = lambda new, old: F.when(F.col("merged") > 1, F.coalesce(new, old)).otherwise(F.col(old))
+    tally = {c: F.when(counted, F.col(c)).otherwise(F.col(f"b.tally.{c}")) for c in ("ayes", "noes", "abstentions")}
+    named = {"ballot_id": F.col("b.ballot_id"), "frame_number": several("_frame_number", "b.frame_number"), "video_ts": several("_video_ts", "b.video_ts"), "marker_id": several("_marker", "b.marker_id")}
+    result = F.when(counted, outcome(F.col("ayes"), F.col("noes"))).otherwise(F.col("b.outcome"))
+    out = out.select(*keys, "merged", result.alias("outcome"), *[e.alias(c) for c, e in (named | tally).items()])
+    return out.withColumn("ts_estimated", F.col("video_ts").isNull())
 
 
 def fill_tally(df: DataFrame) -> DataFrame:
     """Tally and outcome from choices where the tally is missing and there are choices."""
     missing = F.col("tally").isNull() & (F.coalesce(F.size("choices"), F.lit(0)) > 0)
-    filled = df.withColumns({"tally_filled": missing, "_t": tally_of(F.col("choices"))})
-    to = {"outcome": outcome(F.col("_t.ayes"), F.col("_t.noes")), "tally": F.col("_t")}
+    filled = df.withColumns({"tally_filled": missing, "_t": tally_of(F.col("choices"), FILLED)})
+    passes, fails, tie = FILLED_OUTCOMES
+    said = F.when(F.col("_t.ayes") > F.col("_t.noes"), passes).when(F.col("_t.ayes") < F.col("_t.noes"), fails).otherwise(tie)
+    to = {"outcome": said, "tally": F.col("_t")}
     return filled.withColumns({c: F.when(F.col("tally_filled"), x).otherwise(F.col(c)) for c, x in to.items()}).drop("_t")
 
 
-def impute_member(df: DataFrame, member: str, by_majority: bool = False) -> DataFrame:
-    """Adds member's choice, by outcome, where the map lacks it; the tally is counted again and `imputed` names the member.
+def by_majority(choices: Column, result: Column) -> Column:
+    """YES on a pass, NO on a fail; on a tie what more members said, NO on equal numbers; else YES."""
+    said = lambda word: F.contains(F.lower(F.coalesce(result, F.lit(""))), F.lit(word))
+    count = lambda token: F.coalesce(F.size(F.filter(F.map_values(choices), lambda v: v == token)), F.lit(0))
+    tie = F.when(count("YES") > count("NO"), "YES").otherwise("NO")
+    return F.when(said("pass"), "YES").when(said("fail"), "NO").when(said("tie"), tie).otherwise("YES")
+
+
+def impute_member(df: DataFrame, member: str, policy: str = "outcome") -> DataFrame:
+    """Adds member's choice where the map lacks it; `imputed` names the member. Other rows stay as they are.
 
-    by_majority: on a tie the choice of the majority, NO on equal numbers."""
+    'outcome': by the outcome's words, and the stored tally, where there is one, gets one more. 'majority': by_majority(); the
+    tally stays, as it is worked out again from choices where it is needed."""
+    if policy not in ("outcome", "majority"):
+        raise ValueError("policy is outcome or majority")
     lacks = ~F.coalesce(F.map_contains_key("choices", F.lit(member)), F.lit(False))
-    said = choice_by_outcome(F.col("outcome"))
-    if by_majority:
-        t = tally_of(F.col("choices"))
-        said = F.when(F.contains(F.lower(F.coalesce("outcome", F.lit(""))), F.lit("tie")), F.when(t["ayes"] > t["noes"], "YES").otherwise("NO")).otherwise(said)
+    said = choice_by_outcome(F.col("outcome")) if policy == "outcome" else by_majority(F.col("choices"), F.col("outcome"))
     old = F.coalesce(F.col("choices"), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
-    out = df.withColumn("imputed", F.when(lacks, F.array(F.lit(member))).otherwise(F.array().cast("array<string>")))
-    out = out.withColumn("choices", F.when(lacks, F.map_concat(old, F.create_map(F.lit(member), said))).otherwise(old))
-    return out.withColumn("tally", tally_of(F.col("choices")))
+    out = df.withColumns({"_lacks": lacks, "_said": said})
+    none = F.array().cast("array<string>")
+    more = {"choices": F.when(F.col("_lacks"), F.map_concat(old, F.create_map(F.lit(member), "_said"))).otherwise(F.col("choices")), "imputed": F.when(F.col("_lacks"), F.array(F.lit(member))).otherwise(none)}
+    if policy == "outcome":
+        field = lambda c, token: F.coalesce(F.col(f"tally.{c}"), F.lit(0)) + F.when(F.col("_said") == token, 1).otherwise(0)
+        bumped = F.col("tally").withField("ayes", field("ayes", "YES")).withField("noes", field("noes", "NO"))
+        more["tally"] = F.when(F.col("_lacks") & F.col("tally").isNotNull(), bumped).otherwise(F.col("tally"))
+    return out.withColumns(more).drop("_lacks", "_said")
 
 
 def correct_choice(df: DataFrame, member: str, new: str, where: Column) -> DataFrame:
@@ -149,3 +187,22 @@ def issues_of_sessions(df: DataFrame) -> DataFrame:
 def is_valid(ballots: DataFrame) -> DataFrame:
     """One row, valid: whether every ballot has its session and item."""
     return ballots.agg((F.count_if(F.col("session_id").isNull() | F.col("item_text").isNull()) == 0).alias("valid"))
+
+
+def session_counters(df: DataFrame) -> DataFrame:
+    """session_id, total, passed, failed and the first three items. A ballot passes if more members said YES than NO, and fails
+    otherwise, on a tie too. Only the first three rows of a session are gathered, so a large session stays small."""
+    t = tally_of(F.col("choices"), EXACT)
+    rows = df.withColumn("_p", t["ayes"] > t["noes"])
+    counts = rows.groupBy("session_id").agg(F.count(F.lit(1)).alias("total"), F.count_if("_p").alias("passed"))
+    first = Window.partitionBy("session_id").orderBy("in_ord")
+    three = df.select("session_id", "in_ord", "item_text").withColumn("_n", F.row_number().over(first)).where("_n <= 3")
+    items = three.groupBy("session_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", "item_text"))), lambda x: x["item_text"]).alias("key_items"))
+    return same_keys(counts, items, ["session_id"], "left").withColumn("failed", F.col("total") - F.col("passed"))
+
+
+def counters_text(session: Column, total: Column, passed: Column) -> Column:
+    """Fixed wording of a session's summary."""
+    text = lambda c: c.cast("string")
+    parts = ["City Council meeting ", text(session), " with ", text(total), " votes recorded. ", text(passed), " votes passed, ", text(total - passed), " failed."]
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])

@@ -103,7 +103,7 @@ def scored_join(left: DataFrame, right: DataFrame, key: str, left_id: list[str],
     a = left.withColumns({"_a": tx.normalise_match(F.col("item_text")), "_p": tx.key_phrases(F.coalesce("item_text", F.lit("")))})
     b = right.withColumn("_b", tx.normalise_match(F.col("marker_text")))
     words = lambda c: F.filter(F.array_distinct(F.split(c, " ")), lambda w: w != "")
-    phrases = F.size(F.filter("_p", lambda p: F.contains(F.col("_b"), F.lower(p))))
+    phrases = F.size(F.filter("_p", lambda p: F.contains(F.col("_b"), F.upper(p))))
     score = 10 * phrases + 2 * F.size(F.array_intersect(words("_a"), words("_b"))) + F.when(F.abs(F.length("_a") - F.length("_b")) < 50, 1).otherwise(0)
     joined = a.join(b, key).withColumn("score", score).where(F.col("score") >= least).drop("_a", "_b", "_p")
     return first_match(joined, left_id, F.col("score").desc(), F.col(right_ord))

@@ -45,7 +45,10 @@ def move_summaries(df: DataFrame, key: str, summary: str, start: str, to: Column
 
 
 def drawn(result: Column, row: Column, seed: int) -> Column:
-    """A drawn choice, YES with 0.7 where the outcome passes and 0.3 where not; the draw follows from the row's hash and
-    the seed, so it is the same each time. Nothing calls this unless asked to; what it gives is imputed."""
-    p = F.pmod(F.xxhash64(row, F.lit(seed)), F.lit(1000)) / 1000
-    return F.when(p < F.when(F.contains(F.lower(result), F.lit("pass")), 0.7).otherwise(0.3), "YES").otherwise("NO")
+    """A drawn choice of a member who mostly abstains: on a pass ABSTAIN with 0.7, else YES; on a fail NO with 0.3, else ABSTAIN;
+    otherwise ABSTAIN. The draw follows from a digest of row and seed, so it is the same each time and everywhere. Nothing calls
+    this unless asked to; what it gives is imputed."""
+    digest = F.md5(F.concat_ws("|", row.cast("string"), F.lit(str(seed))))
+    p = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(1 << 32)
+    has = lambda w: F.contains(F.lower(F.coalesce(result, F.lit(""))), F.lit(w))
+    return F.when(has("pass"), F.when(p < 0.7, "ABSTAIN").otherwise("YES")).when(has("fail"), F.when(p < 0.3, "NO").otherwise("ABSTAIN")).otherwise("ABSTAIN")

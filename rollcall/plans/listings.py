@@ -171,19 +171,16 @@ def move_summaries(t):
     return reconcile.move_summaries(s, "s_suppkey", "summary", "Bo ", F.col("s_suppkey") + 1)
 
 
-@query(f"""WITH {C}, k AS (SELECT session_id, item_text, min(frame_number) AS f FROM b WHERE session_id IS NOT NULL AND l_suppkey % 2 = 0 GROUP BY 1, 2) SELECT session_id, item_text, CAST(f AS INT) AS frame_number, (coalesce(f, 0) * 30 + CASE WHEN item_text IS NULL THEN 0 WHEN contains(lower(item_text), 'consent') THEN 300 WHEN contains(lower(item_text), 'public hearing') THEN 1800 WHEN contains(lower(item_text), 'adjournment') THEN 3600 WHEN contains(lower(item_text), 'resolution') THEN 1200 WHEN contains(lower(item_text), 'ordinance') THEN 1500 ELSE 900 END)::BIGINT AS video_ts FROM k""")
-def import_ballots(t):
-    b = ballots(t)
-    even = F.col("frame_path").isNotNull()  # made so where the supplier's key is even
-    none = b.where(F.lit(False)).withColumn("video_ts", F.col("video_ts").cast("bigint"))
-    return api.import_ballots(b.where(even), none).select("session_id", "item_text", "frame_number", "video_ts")
+DRAWN = "CAST(('0x' || substr(md5(concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '|7')), 1, 8)) AS BIGINT) / 4294967296"
 
 
-@query("SELECT 0::BIGINT AS n")
+@query(f"""SELECT l_orderkey, l_linenumber, l_partkey, CASE l_returnflag WHEN 'R' THEN CASE WHEN {DRAWN} < 0.7 THEN 'ABSTAIN' ELSE 'YES' END
+         WHEN 'A' THEN CASE WHEN {DRAWN} < 0.3 THEN 'NO' ELSE 'ABSTAIN' END ELSE 'ABSTAIN' END AS choice FROM lineitem""")
 def seeded_draw(t):
-    """A draw with a seed gives the same rows each time: no row differs between two runs."""
-    draw = lambda: t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", reconcile.drawn(F.lit("Motion Passes"), F.xxhash64("l_orderkey", "l_linenumber", "l_partkey"), 7).alias("c"))
-    return draw().exceptAll(draw()).agg(n().alias("n"))
+    """Choices drawn by outcome for a member who mostly abstains."""
+    outcome = F.when(F.col("l_returnflag") == "R", "Motion Passes").when(F.col("l_returnflag") == "A", "Motion Fails").otherwise("Tie")
+    row = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
+    return t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", reconcile.drawn(outcome, row, 7).alias("choice"))
 
 
 # ---- streams

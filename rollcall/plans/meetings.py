@@ -102,7 +102,7 @@ DISCUSS = _chain(re_(_strip("lower(coalesce(x, ''))"), W + "+", " "), (r"^item\s
 PHRASED = f"replace({DISCUSS}, 'council committee meetings and announcements', 'council committee meetings')"
 AGGRESSIVE = _chain(re_(_chain(PHRASED, (r"^[0-9]+[a-z]?\s*\.?\s*", r"^[a-z]\s*\.?\s*")), r"\s*\(.*?\)\s*", " "), (r"\s*expenditure:.*$", r"\s*$"))
 NORMAL = f"""z0 AS (SELECT *, item_text AS x FROM b), z1 AS (SELECT *, {LIGHT} AS light, {DISCUSS} AS discussion, {PHRASED} AS phrases, {AGGRESSIVE} AS aggressive, {_strip(re_("lower(coalesce(x, ''))", W + '+', ' '))} AS low FROM z0),
-  z AS (SELECT *, CASE WHEN starts_with(aggressive, 'consent calendar') THEN 'consent calendar' WHEN starts_with(aggressive, 'administrative matters') THEN 'administrative matters' WHEN starts_with(aggressive, 'oral communications') THEN 'oral communications'
+  z AS (SELECT *, CASE WHEN coalesce(item_text, '') = '' THEN '' WHEN starts_with(aggressive, 'consent calendar') THEN 'consent calendar' WHEN starts_with(aggressive, 'administrative matters') THEN 'administrative matters' WHEN starts_with(aggressive, 'oral communications') THEN 'oral communications'
     WHEN starts_with(aggressive, 'council committee meetings') THEN 'council committee meetings' WHEN starts_with(aggressive, 'hearings') THEN 'hearings' WHEN starts_with(aggressive, 'adjournment') THEN 'adjournment' WHEN length(aggressive) < 3 THEN 'generic item' ELSE aggressive END AS ultra,
     CASE WHEN contains(low, 'consent calendar') THEN 'consent calendar' WHEN contains(low, 'administrative matters') THEN 'administrative matters' WHEN contains(low, 'hearings') THEN 'hearings' WHEN contains(low, 'oral communications') THEN 'oral communications'
     WHEN contains(low, 'adjournment') THEN 'adjournment' WHEN contains(low, 'council committee meetings') THEN 'council committee meetings' ELSE low END AS category FROM z1)"""
@@ -126,7 +126,9 @@ def normalize_category(t):
     return tx.with_category(ballots(t), "item_text", "item").select("session_id", "in_ord", "item")
 
 
-MATCH = f"array_to_string(list_filter(string_split({_strip(re_(re_('lower(coalesce(x, chr(32)))', '[^A-Za-z0-9_ \\t\\n]'), W + '+', ' '))}, ' '), lambda w: w NOT IN ('', 'the', 'a', 'an', 'and', 'or', 'but', 'in', 'on', 'at', 'to', 'for', 'of', 'with', 'by')), ' ')"
+STOP = "'', 'THE', 'A', 'AN', 'AND', 'OR', 'BUT', 'IN', 'ON', 'AT', 'TO', 'FOR', 'OF', 'WITH', 'BY'"
+_flat = re_("upper(replace(coalesce(x, chr(32)), 'ß', 'SS'))", W + "+", " ")
+MATCH = f"array_to_string(list_filter(string_split({re_(_flat, '[^\\p{L}\\p{N}_ ]')}, ' '), lambda w: w NOT IN ({STOP})), ' ')"
 
 
 @query(f"SELECT doc_id, {MATCH} AS item FROM (SELECT doc_id, text AS x FROM documents)")
@@ -241,15 +243,34 @@ def single_member_choice(t):
 MERGED = "SELECT session_id, item_text, string_agg(concat(member, '=', choice), ',' ORDER BY member) AS choices FROM (SELECT session_id, item_text, member, arg_max(choice, in_ord) AS choice FROM c GROUP BY 1, 2, 3) GROUP BY 1, 2"
 
 
-@query(f"""WITH {C}, m AS ({MERGED}), g AS (SELECT session_id, item_text, arg_min(ballot_id, (frame_number, in_ord)) FILTER (frame_number IS NOT NULL AND ballot_id IS NOT NULL) AS any_id, min((frame_number, in_ord)) FILTER (frame_number IS NOT NULL) AS f, min(frame_number)::INT AS frame_number, string_agg(coalesce(ballot_id, '-'), ',' ORDER BY in_ord) AS ids FROM b GROUP BY 1, 2)
-  SELECT g.session_id, g.item_text, (SELECT x.ballot_id FROM b x WHERE x.session_id = g.session_id AND (x.frame_number, x.in_ord) = g.f) AS ballot_id, frame_number, ids, choices FROM g LEFT JOIN m ON g.session_id = m.session_id AND g.item_text IS NOT DISTINCT FROM m.item_text""")
+@query(f"""WITH {C}, m AS ({MERGED}),
+  i AS (SELECT *, coalesce(ballot_id, concat(session_id, '_', coalesce(item_text, 'None'))) AS id, coalesce(frame_number, 0) AS f,
+               row_number() OVER (PARTITION BY session_id, item_text ORDER BY coalesce(frame_number, 0), in_ord) AS rn FROM b),
+  g AS (SELECT session_id, item_text, string_agg(id, ',' ORDER BY in_ord) AS ids FROM i GROUP BY 1, 2)
+  SELECT i.session_id, i.item_text, i.id AS ballot_id, CAST(i.f AS INTEGER) AS frame_number, i.marker_id, i.video_ts, coalesce(i.ts_estimated, true) AS ts_estimated, g.ids, coalesce(m.choices, '') AS choices
+  FROM i JOIN g ON i.session_id = g.session_id AND i.item_text IS NOT DISTINCT FROM g.item_text
+  LEFT JOIN m ON i.session_id = m.session_id AND i.item_text IS NOT DISTINCT FROM m.item_text WHERE i.rn = 1""")
 def merge_ballots(t):
-    ids = F.array_join("consolidated_from", ",", "-").alias("ids")
-    return ch.merge_ballots(ballots(t), ["session_id", "item_text"]).select("session_id", "item_text", "ballot_id", "frame_number", ids, ch.entries_text(F.col("choices")).alias("choices"))
-
-
-@query(f"""WITH {C}, k AS (SELECT session_id, item_text, count_if(choice = 'YES') AS ayes, count_if(choice = 'NO') AS noes, count_if(choice = 'ABSTAIN') AS abstentions FROM c GROUP BY 1, 2), g AS (SELECT session_id, item_text, min(nullif(frame_number, 0)) AS frame_number, min(nullif(video_ts, 0)) AS video_ts, arg_min(marker_id, in_ord) FILTER (marker_id <> '') AS marker_id, count(*)::BIGINT AS merged FROM b GROUP BY 1, 2)
-  SELECT g.*, coalesce(ayes, 0)::BIGINT AS ayes, coalesce(noes, 0)::BIGINT AS noes, coalesce(abstentions, 0)::BIGINT AS abstentions, video_ts IS NULL AS ts_estimated, CASE WHEN coalesce(ayes, 0) > coalesce(noes, 0) THEN 'Passes' WHEN coalesce(ayes, 0) < coalesce(noes, 0) THEN 'Fails' ELSE 'Tie' END AS outcome FROM g LEFT JOIN k ON g.session_id = k.session_id AND g.item_text IS NOT DISTINCT FROM k.item_text""")
+    merged = ch.merge_ballots(ballots(t), ["session_id", "item_text"])
+    texts = {"ids": F.array_join("consolidated_from", ","), "choices": ch.entries_text(F.col("choices"))}
+    return merged.withColumns(texts).select("session_id", "item_text", "ballot_id", "frame_number", "marker_id", "video_ts", "ts_estimated", "ids", "choices")
+
+
+@query(f"""WITH {C},
+  k AS (SELECT session_id, item_text, count_if(choice = 'YES') AS y, count_if(choice = 'NO') AS o, count_if(choice = 'ABSTAIN') AS a FROM c GROUP BY 1, 2),
+  x AS (SELECT *, row_number() OVER w AS rn, count(*) OVER p AS m, min(nullif(frame_number, 0)) OVER p AS mf, min(nullif(video_ts, 0)) OVER p AS mt FROM b
+        WINDOW p AS (PARTITION BY session_id, item_text), w AS (PARTITION BY session_id, item_text ORDER BY in_ord)),
+  f AS (SELECT session_id, item_text, arg_min(marker_id, in_ord) AS mk FROM b WHERE marker_id <> '' GROUP BY 1, 2),
+  r AS (SELECT x.*, y, o, a, mk, m > 1 AND y IS NOT NULL AS counted FROM x
+        LEFT JOIN k ON x.session_id = k.session_id AND x.item_text IS NOT DISTINCT FROM k.item_text
+        LEFT JOIN f ON x.session_id = f.session_id AND x.item_text IS NOT DISTINCT FROM f.item_text WHERE rn = 1),
+  e AS (SELECT session_id, item_text, m::BIGINT AS merged, ballot_id,
+               CASE WHEN NOT counted THEN outcome WHEN y > o THEN 'Passes' WHEN y < o THEN 'Fails' ELSE 'Tie' END AS outcome,
+               CAST(CASE WHEN m > 1 THEN coalesce(mf, frame_number) ELSE frame_number END AS INTEGER) AS frame_number,
+               CASE WHEN m > 1 THEN coalesce(mt, video_ts) ELSE video_ts END AS video_ts, CASE WHEN m > 1 THEN coalesce(mk, marker_id) ELSE marker_id END AS marker_id,
+               CAST(CASE WHEN counted THEN y WHEN NOT untallied THEN ayes END AS INTEGER) AS ayes, CAST(CASE WHEN counted THEN o WHEN NOT untallied THEN noes END AS INTEGER) AS noes,
+               CAST(CASE WHEN counted THEN a WHEN NOT untallied THEN abstentions END AS INTEGER) AS abstentions FROM r)
+  SELECT *, video_ts IS NULL AS ts_estimated FROM e""")
 def merge_listed(t):
     return ch.merge_listed(ballots(t), ["session_id", "item_text"])
 
@@ -257,7 +278,7 @@ def merge_listed(t):
 K = C + ", k AS (SELECT session_id, in_ord, count_if(choice = 'YES')::BIGINT AS y, count_if(choice = 'NO')::BIGINT AS o, count_if(choice = 'ABSTAIN')::BIGINT AS a FROM c GROUP BY 1, 2)"
 
 
-@query(f"""WITH {K} SELECT session_id, in_ord, CASE WHEN NOT untallied THEN ayes WHEN nc > 0 THEN y END::BIGINT AS ayes, CASE WHEN NOT untallied THEN noes WHEN nc > 0 THEN o END::BIGINT AS noes, untallied AND nc > 0 AS filled, CASE WHEN untallied AND nc > 0 THEN CASE WHEN y > o THEN 'Passes' WHEN y < o THEN 'Fails' ELSE 'Tie' END ELSE outcome END AS outcome FROM b LEFT JOIN k USING (session_id, in_ord)""")
+@query(f"""WITH {K} SELECT session_id, in_ord, CASE WHEN NOT untallied THEN ayes WHEN nc > 0 THEN y END::BIGINT AS ayes, CASE WHEN NOT untallied THEN noes WHEN nc > 0 THEN o END::BIGINT AS noes, untallied AND nc > 0 AS filled, CASE WHEN untallied AND nc > 0 THEN CASE WHEN y > o THEN 'Motion Passes' WHEN y < o THEN 'Motion Fails' ELSE 'Tie' END ELSE outcome END AS outcome FROM b LEFT JOIN k USING (session_id, in_ord)""")
 def fill_tally(t):
     return ch.fill_tally(ballots(t)).select("session_id", "in_ord", F.col("tally.ayes").cast("bigint").alias("ayes"), F.col("tally.noes").cast("bigint").alias("noes"), F.col("tally_filled").alias("filled"), "outcome")
 
@@ -266,10 +287,19 @@ LACKS = "(l_suppkey + 2) % 3 = 0"
 OUT = "lower(coalesce(outcome, ''))"
 
 
-@query(f"""WITH {K}, i AS (SELECT *, {LACKS} AS lacks, CASE WHEN contains({OUT}, 'tie') THEN CASE WHEN coalesce(y, 0) > coalesce(o, 0) THEN 'YES' ELSE 'NO' END WHEN contains({OUT}, 'pass') THEN 'YES' WHEN contains({OUT}, 'fail') THEN 'NO' ELSE 'YES' END AS said FROM b LEFT JOIN k USING (session_id, in_ord))
-  SELECT session_id, in_ord, lacks AS imputed, CASE WHEN lacks THEN said ELSE {CHOICE[2]} END AS choice, (coalesce(y, 0) + CASE WHEN lacks AND said = 'YES' THEN 1 ELSE 0 END)::BIGINT AS ayes, (coalesce(o, 0) + CASE WHEN lacks AND said = 'NO' THEN 1 ELSE 0 END)::BIGINT AS noes FROM i""")
+@query(f"""WITH {B}, i AS (SELECT *, {LACKS} AS lacks, CASE WHEN regexp_matches({OUT}, 'pass|adopt|approve') THEN 'YES' WHEN regexp_matches({OUT}, 'fail|deny|reject') THEN 'NO' ELSE 'YES' END AS said FROM b)
+  SELECT session_id, in_ord, lacks AS imputed, CASE WHEN lacks THEN said ELSE {CHOICE[2]} END AS choice,
+         CASE WHEN NOT untallied THEN ayes + CASE WHEN lacks AND said = 'YES' THEN 1 ELSE 0 END END::BIGINT AS ayes,
+         CASE WHEN NOT untallied THEN noes + CASE WHEN lacks AND said = 'NO' THEN 1 ELSE 0 END END::BIGINT AS noes FROM i""")
 def impute_member(t):
-    return ch.impute_member(ballots(t), "cy", by_majority=True).select("session_id", "in_ord", (F.size("imputed") > 0).alias("imputed"), F.col("choices")["cy"].alias("choice"), F.col("tally.ayes").cast("bigint").alias("ayes"), F.col("tally.noes").cast("bigint").alias("noes"))
+    tally = [F.col(f"tally.{c}").cast("bigint").alias(c) for c in ("ayes", "noes")]
+    return ch.impute_member(ballots(t), "cy").select("session_id", "in_ord", (F.size("imputed") > 0).alias("imputed"), F.col("choices")["cy"].alias("choice"), *tally)
+
+
+@query(f"""WITH {K} SELECT session_id, in_ord, CASE WHEN NOT {LACKS} THEN {CHOICE[2]} WHEN contains({OUT}, 'pass') THEN 'YES' WHEN contains({OUT}, 'fail') THEN 'NO'
+         WHEN contains({OUT}, 'tie') AND coalesce(y, 0) <= coalesce(o, 0) THEN 'NO' ELSE 'YES' END AS choice FROM b LEFT JOIN k USING (session_id, in_ord)""")
+def impute_by_majority(t):
+    return ch.impute_member(ballots(t), "cy", "majority").select("session_id", "in_ord", F.col("choices")["cy"].alias("choice"))
 
 
 @query(f"""WITH {B}, h AS (SELECT *, coalesce(frame_path IS NOT NULL AND ({PRESENT[0]}) AND ({CHOICE[0]}) = 'ABSTAIN', false) AS hit FROM b) SELECT session_id, in_ord, CASE WHEN untallied THEN NULL ELSE noes + CASE WHEN hit THEN 1 ELSE 0 END END::BIGINT AS noes, CASE WHEN untallied THEN NULL WHEN hit THEN greatest(0, abstentions - 1) ELSE abstentions END::BIGINT AS abstentions, CASE WHEN hit THEN 'NO' WHEN {PRESENT[0]} THEN {CHOICE[0]} END AS choice FROM h""")

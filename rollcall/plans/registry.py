@@ -32,6 +32,6 @@ def count_if(c):
 
 def load() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
     """All queries and their SQL; importing the modules registers them."""
-    from . import core, listings, meetings  # noqa: F401
+    from . import core, listings, meetings, records  # noqa: F401
 
     return QUERIES, ORACLES

@@ -33,8 +33,11 @@ def stream_url(html: Column, host: str) -> Column:
 
 
 def text_of_bytes(content: Column) -> Column:
-    """Bytes as UTF-8 text; what is none is dropped."""
-    return F.replace(F.make_valid_utf8(content.cast("string")), F.lit("�"), F.lit(""))
+    """Bytes as UTF-8 text; what is none is dropped, a replacement character that the text holds stays."""
+    mark = "\ufdd0"  # a noncharacter; where the text holds it, it is doubled by a letter and restored
+    held = F.replace(F.replace(content.cast("string"), F.lit(mark), F.lit(f"{mark}a")), F.lit("\ufffd"), F.lit(f"{mark}b"))
+    clean = F.replace(F.make_valid_utf8(held), F.lit("\ufffd"), F.lit(""))
+    return F.replace(F.replace(clean, F.lit(f"{mark}b"), F.lit("\ufffd")), F.lit(f"{mark}a"), F.lit(mark))
 
 
 def made_up_frames(catalog: DataFrame, per_chapter: int = 10, step: int = 100) -> DataFrame:
