@@ -4,12 +4,12 @@ Each language has a probability for every piece of one fixed public vocabulary (
 probability, for every single byte). A word's probability is the sum over all ways to cut it into pieces, by the
 forward algorithm; words are independent, so a text's log-probability is the sum over its words. The piece
 probabilities are fitted by expectation-maximisation on a sample of about TRAIN_DOCS documents a language (at most
-twice as many), chosen by a hash of id and text among those allowed for training, with the first TRAIN_BYTES characters
-of each; texts are always scored whole.
+twice as many), chosen by a hash of id and text among those allowed for training. Texts are learned from and scored whole:
+the words of the sample are counted in tasks, and the driver holds its distinct words.
 
 Words are runs of letters: ASCII capitals are lower-cased, other ASCII characters part words. The forward algorithm
 runs over all new words of a batch at once, by word length; words over WIDE bytes go by themselves, with sums scaled
-as they shrink, so these too are summed over all their segmentations. (In training such words are cut in parts.)
+as they shrink, so these too are summed over all their segmentations, in training as in scoring.
 
 A text that no language gives more than CHANCE a byte, that of drawing from 26 letters and a space at random, is
 claimed by none: see claimed().
@@ -32,7 +32,7 @@ from pyspark.sql.window import Window
 
 from .common import byte_rows, slices
 
-TRAIN_DOCS, TRAIN_BYTES = 200, 32_768
+TRAIN_DOCS = 200
 WIDE, KNOWN, ROUNDS = 32, 400_000, 3
 CHANCE = -np.log(27)
 #: ASCII letters stay or are lower-cased, other ASCII characters become spaces.
@@ -102,28 +102,20 @@ class Pieces:
                         yield begin, end, rows, table[1][at[rows]]
 
 
-def parts_of(word: bytes) -> list[bytes]:
-    """The word with its leading space, in parts of bounded width."""
-    marked = b" " + word
-    return [marked[k : k + WIDE] for k in range(0, len(marked), WIDE)]
-
-
 def by_length(words: list[bytes]):
-    """(indices of words, matrix of bytes), part by part of equal length."""
-    groups: dict[int, tuple[list[int], list[bytes]]] = {}
+    """(indices of words, matrix of bytes of the words with their leading space), by equal length; none over WIDE bytes."""
+    groups: dict[int, list[int]] = {}
     for k, w in enumerate(words):
-        for part in parts_of(w):
-            ids, parts = groups.setdefault(len(part), ([], []))
-            ids.append(k)
-            parts.append(part)
+        if len(w) < WIDE:
+            groups.setdefault(len(w) + 1, []).append(k)
     for width in sorted(groups):
-        ids, parts = groups[width]
+        ids = groups[width]
         for k in range(0, len(ids), 50_000):
-            yield np.array(ids[k : k + 50_000]), np.frombuffer(b"".join(parts[k : k + 50_000]), np.uint8).reshape(-1, width)
+            yield np.array(ids[k : k + 50_000]), np.frombuffer(b"".join(b" " + words[i] for i in ids[k : k + 50_000]), np.uint8).reshape(-1, width)
 
 
-def long_word(pieces: Pieces, p: np.ndarray, word: bytes) -> np.ndarray:
-    """Log of the sum over all segmentations of one word of any length."""
+def word_edges(pieces: Pieces, word: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and end place and number of every piece in one word of any length, in order of end."""
     text = np.frombuffer(b" " + word, np.uint8)
     n, h = len(text), np.zeros(len(text) + 1, np.uint64)
     total = 0
@@ -141,8 +133,34 @@ def long_word(pieces: Pieces, p: np.ndarray, word: bytes) -> np.ndarray:
             begins.append(rows), ends.append(rows + width), ids.append(table[1][at[rows]])
     ends = np.concatenate(ends)
     order = np.argsort(ends, kind="stable")
-    begins, weight = np.concatenate(begins)[order], p[np.concatenate(ids)[order]]
-    cuts = np.searchsorted(ends[order], np.arange(1, n + 2))
+    return np.concatenate(begins)[order], ends[order], np.concatenate(ids)[order]
+
+
+def long_expectations(pieces: Pieces, log_p: np.ndarray, word: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Piece numbers and, for each language, how often each is expected in one word, over all its segmentations; in logarithms,
+    so the word may be of any length."""
+    begins, ends, ids = word_edges(pieces, word)
+    n, weight = len(word) + 1, log_p[ids]
+    forth, back = (np.full((n + 1, log_p.shape[1]), -np.inf) for _ in range(2))
+    forth[0] = back[n] = 0
+    cuts = np.searchsorted(ends, np.arange(1, n + 2))
+    for end in range(1, n + 1):
+        some = slice(cuts[end - 1], cuts[end])
+        forth[end] = np.logaddexp.reduce(forth[begins[some]] + weight[some], 0)
+    order = np.argsort(begins, kind="stable")
+    cuts = np.searchsorted(begins[order], np.arange(n + 1))
+    for begin in range(n - 1, -1, -1):
+        some = order[cuts[begin] : cuts[begin + 1]]
+        back[begin] = np.logaddexp.reduce(back[ends[some]] + weight[some], 0)
+    return ids, np.exp(forth[begins] + weight + back[ends] - forth[n])
+
+
+def long_word(pieces: Pieces, p: np.ndarray, word: bytes) -> np.ndarray:
+    """Log of the sum over all segmentations of one word of any length."""
+    n = len(word) + 1
+    begins, ends, ids = word_edges(pieces, word)
+    weight = p[ids]
+    cuts = np.searchsorted(ends, np.arange(1, n + 2))
     a, scale = np.zeros((n + 1, p.shape[1])), np.zeros(p.shape[1])
     a[0] = 1
     widest = max(pieces.by_width, default=1)
@@ -188,19 +206,20 @@ class Model:
 
 def fit(sample: list[tuple[str, bytes]], vocab: list[bytes], rounds: int = ROUNDS) -> Model:
     """EM over the words of labelled texts."""
-    langs = sorted({x for x, _ in sample})
-    pieces, index = Pieces(vocab), {}
-    counts: dict[tuple[bytes, int], int] = {}
+    counts: dict[tuple[str, bytes], int] = {}
     for lang, text in sample:
-        k = langs.index(lang)
         for w in words_of(text):
-            counts[w, k] = counts.get((w, k), 0) + 1
-    for w, _ in counts:
-        index.setdefault(w, len(index))
-    n = np.zeros((len(index), len(langs)))
-    for (w, k), c in counts.items():
-        n[index[w], k] = c
-    words = list(index)
+            counts[lang, w] = counts.get((lang, w), 0) + 1
+    return fit_words(counts, {lang for lang, _ in sample}, vocab, rounds)
+
+
+def fit_words(counts: dict[tuple[str, bytes], int], names: set[str], vocab: list[bytes], rounds: int = ROUNDS) -> Model:
+    """EM over words, each with its number in each language."""
+    langs, words = sorted(names), sorted({w for _, w in counts})
+    pieces, index = Pieces(vocab), {w: k for k, w in enumerate(words)}
+    n = np.zeros((len(words), len(langs)))
+    for (lang, w), c in counts.items():
+        n[index[w], langs.index(lang)] = c
     p = np.full((len(vocab), len(langs)), 1 / len(vocab))
     with np.errstate(over="ignore"):
         for _ in range(rounds):
@@ -217,6 +236,12 @@ def fit(sample: list[tuple[str, bytes]], vocab: list[bytes], rounds: int = ROUND
                     g = a[rows, begin] * p[found] * b[rows, end] * weight[rows]
                     for k in range(len(langs)):
                         expected[:, k] += np.bincount(found, g[:, k], len(vocab))
+            log_p = np.log(p)
+            for w in words:
+                if len(w) >= WIDE:
+                    found, g = long_expectations(pieces, log_p, w)
+                    for k in range(len(langs)):
+                        expected[:, k] += np.bincount(found, g[:, k] * n[index[w], k], len(vocab))
             p = expected / expected.sum(0)
     return Model(langs, vocab, p)
 
@@ -262,15 +287,31 @@ class Scorer:
         return langs, scores, fluency
 
 
-def sample_of(docs: DataFrame, id_col: str, text_col: str, lang_col: str, allowed: Column, per_lang: int = TRAIN_DOCS) -> list[tuple[str, bytes]]:
-    """About per_lang allowed documents of each language, at most twice as many, by a hash of id and text. The rates, a
-    row a language, are sent to all tasks, as the model with its column a language will be."""
+def sample_of(docs: DataFrame, id_col: str, text_col: str, lang_col: str, allowed: Column, per_lang: int = TRAIN_DOCS) -> DataFrame:
+    """l and t: about per_lang allowed documents of each language, at most twice as many, by a hash of id and text, whole. The
+    rates, a row a language, are sent to all tasks, as the model with its column a language will be."""
     usable = docs.where(allowed & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(lang_col).alias("l"), F.col(text_col).alias("t"))
     rates = usable.groupBy("l").agg((F.lit(1e6 * per_lang) / F.count(F.lit(1))).alias("rate"))
     picked = usable.withColumn("h", F.xxhash64("i", "t")).join(F.broadcast(rates), "l").where(F.pmod("h", F.lit(1_000_000)) <= F.col("rate"))
-    few = picked.select("l", "h", F.substring("t", 1, TRAIN_BYTES).alias("t")).distinct()
+    few = picked.select("l", "h", "t").distinct()
     few = few.withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("h", "t"))).where(F.col("k") <= 2 * per_lang)
-    return sorted((r.l, r.t.encode()) for r in few.collect())
+    return few.select("l", "t")
+
+
+def sample_words(sample: DataFrame) -> tuple[dict[tuple[str, bytes], int], set[str]]:
+    """The numbers of the sample's words in each language, counted in tasks; and the languages."""
+
+    def run(batches):
+        for batch in slices(batches, "t"):
+            counts: dict[tuple[str, bytes], int] = {}
+            for lang, text in zip(batch.column(0).to_pylist(), byte_rows(batch.column(1)), strict=True):
+                counts[lang, b""] = 1  # the language is known even without a word
+                for w in words_of(text):
+                    counts[lang, w] = counts.get((lang, w), 0) + 1
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in counts], pa.string()), pa.array([w for _, w in counts], pa.binary()), pa.array(list(counts.values()), pa.int64())], ["l", "w", "n"])
+
+    rows = sample.mapInArrow(run, "l string, w binary, n long").groupBy("l", "w").agg(F.sum("n").alias("n")).collect()
+    return {(r.l, bytes(r.w)): r.n for r in rows if r.w}, {r.l for r in rows}
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -301,7 +342,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, vocab_model: str) -> Model:
-    return fit(sample_of(docs, "doc_id", "text", "lang", ~held_out()), vocabulary(vocab_model))
+    return fit_words(*sample_words(sample_of(docs, "doc_id", "text", "lang", ~held_out())), vocabulary(vocab_model))
 
 
 def report(docs: DataFrame, vocab_model: str) -> DataFrame:

@@ -291,13 +291,38 @@ def test_language_fit_equals_expectations_over_listed_segmentations():
     assert np.allclose(got.p, [[p[lang][v] for lang in "xy"] for v in vocab])
 
 
+def test_long_words_and_whole_texts_are_learned(spark):
+    vocab = language_id.vocabulary(queries.PIECES)
+    pieces, rng = language_id.Pieces(vocab), np.random.default_rng(1)
+    p = rng.random((len(vocab), 2)) + 1e-3
+    word = b"thecatandthedogandthebirdinthehouse" * 2
+    text = np.frombuffer(b" " + word, np.uint8).reshape(1, -1)
+    with np.errstate(over="ignore"):
+        edges = list(pieces.edges(text))
+        a = language_id.forward(pieces, p, text, edges)
+        b = np.zeros_like(a)
+        b[:, -1] = 1
+        for begin, end, rows, found in reversed(edges):
+            b[rows, begin] += b[rows, end] * p[found]
+        want = np.zeros((len(vocab), 2))
+        for begin, end, rows, found in edges:
+            np.add.at(want, found, (a[rows, begin] * p[found] * b[rows, end] / a[:, -1]))
+        ids, g = language_id.long_expectations(pieces, np.log(p), word)
+    got = np.zeros((len(vocab), 2))
+    np.add.at(got, ids, g)
+    assert np.allclose(got, want)
+    far = spark.createDataFrame([(1, "aa " * 20_000 + "zweckverband", "de", None, None), (2, "bb", "en", None, None)], DOC)
+    words, langs = language_id.sample_words(language_id.sample_of(far, "doc_id", "text", "lang", F.lit(True)))
+    assert langs == {"de", "en"} and words == {("de", b"aa"): 20_000, ("de", b"zweckverband"): 1, ("en", b"bb"): 1}
+
+
 def test_language_claims(spark):
     model = language_id.fit([("en", b"the cat and the dog and the bird " * 9), ("de", "der hund und die straße und der vogel ".encode() * 9)], language_id.vocabulary(queries.PIECES))
     rows = [(1, "the dog and the cat"), (2, "xqzjkvw qqxzkj zzkqxj vvxqjz"), (3, None), (4, "123"), (None, "der vogel und die Straße")]
     got = language_id.claimed(clashing(odd(spark, rows)).withColumn("score", F.lit(7)), model)
     assert {r.text for r in got.collect()} == {rows[0][1], rows[4][1]} and {r.score for r in got.collect()} == {7}
     same = spark.createDataFrame([(None, f"words of a text {k}", "en", None, None) for k in range(900)], DOC)
-    assert len(language_id.sample_of(same, "doc_id", "text", "lang", F.lit(True), 50)) <= 100
+    assert language_id.sample_of(same, "doc_id", "text", "lang", F.lit(True), 50).count() <= 100
 
 
 def test_language_hold_out(spark):
