@@ -178,15 +178,16 @@ def verdict(rules: list[list[Test]]) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = TRAIN_ROWS) -> list[list[Test]]:
-    """Learns from at most about rows labelled documents (1 keeps, 0 rejects)."""
-    named = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label")).where("_id is not null and _label is not null")
+    """Learns from at most about rows labelled documents (1 keeps, 0 rejects), never more than twice as many: a label that is given
+    again counts once, and of documents that share ids the first by hash are taken."""
+    named = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label")).where("_id is not null and _label is not null").distinct()
     n = named.count()
     if not n:
         return []
     picked = named.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, rows / n)))
     some = docs.join(F.broadcast(picked), docs[id_col] == F.col("_id")).select("_id", "_label", F.col(text_col).alias("_body"))  # bounded by rows
     by = features()
-    found = statistics(some, "_body", ["_id", "_label"]).where(~base_failed()).select("_id", "_label", *[c.alias(k) for k, c in by.items()]).orderBy(F.xxhash64("_id"), "_id", *by).collect()
+    found = statistics(some, "_body", ["_id", "_label"]).where(~base_failed()).select("_id", "_label", *[c.alias(k) for k, c in by.items()]).orderBy(F.xxhash64("_id"), "_id", *by).limit(2 * rows).collect()
     if not found:
         return []
     x = np.array([[r[k] for k in by] for r in found], float)
