@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,13 +16,15 @@ def keep_best(df: DataFrame, keys: list[str], score: Column, tiebreak: list[str]
 
 
 def carry_longest(df: DataFrame, keys: list[str], text: str, score: Column, tiebreak: list[str]) -> DataFrame:
-    """keep_best whose text is the longest of its group; both by one aggregation with partial results.
+    """keep_best whose text is the longest of its group. The best row comes from a ranking that tasks cut before the shuffle, the
+    longest text from an aggregation of narrow rows, so neither moves a hot group whole.
 
     Tiebreak columns are numbers; the first in their order wins."""
     first = [-F.col(c) for c in tiebreak]
-    best = F.max_by(F.struct(*df.columns), F.struct(score.alias("_s"), *first))
-    out = df.groupBy(*keys).agg(best.alias("_b"), F.max_by(text, F.struct(F.length(text), *first)).alias("_t"))
-    return out.select(*[F.col("_t").alias(c) if c == text else F.col(f"_b.{c}").alias(c) for c in df.columns])
+    longest = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.max_by(text, F.struct(F.length(text), *first)).alias("_t"))
+    best = keep_best(df, keys, score, tiebreak)
+    met = best.join(longest, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]))
+    return met.withColumn(text, F.col("_t")).select(*df.columns)
 
 
 def drop_obvious(df: DataFrame, keys: list[str], obvious: Column) -> DataFrame:

@@ -44,15 +44,24 @@ def prefix_join(left: DataFrame, keys: DataFrame, item: str, key: str, left_id:
 
 
 def containment_join(left: DataFrame, keys: DataFrame, item: str, key: str, left_id: str, ord_col: str, exact_first: bool = False, most: int = SEEDS) -> DataFrame:
-    """The first key that equals, holds or is held by the item. At most most keys are sent to all tasks; with more, the
-    distinct texts meet where the first HEAD characters of one occur in the other."""
+    """The first key that equals, holds or is held by the item, for every row of left; the keys are of one session (containment.match
+    has them by session). At most most keys are sent to all tasks; with more, the distinct texts meet where the first HEAD
+    characters of one occur in the other. The result is the same."""
     a, b = F.lower(F.col(item)), F.lower(F.col(key))
-    if _few(keys, most):
-        order = ([F.when(a == b, 0).otherwise(1)] if exact_first else []) + [F.col(ord_col)]
-        return first_match(left.join(F.broadcast(keys), F.contains(a, b) | F.contains(b, a)), [left_id], *order)
     row = F.struct(*[F.col(c) for c in keys.columns])
     named = keys.where(F.col(key).isNotNull()).groupBy(b.alias("_b")).agg(F.min_by(row, F.col(ord_col)).alias("_k"), F.min(ord_col).alias("_o"))
     items = left.where(F.col(item).isNotNull()).select(a.alias("_a")).distinct()
+    if _few(keys, most):
+        pairs = items.join(F.broadcast(named), F.contains("_a", "_b") | F.contains("_b", "_a"))
+    else:
+        pairs = _indexed_pairs(items, named)
+    order = F.struct(*([F.col("_a") != F.col("_b")] if exact_first else []), F.col("_o"))
+    best = pairs.groupBy("_a").agg(F.min_by("_k", order).alias("_k"))
+    return left.withColumn("_a", a).join(best, "_a").select(*[F.col(c) for c in left.columns], "_k.*")
+
+
+def _indexed_pairs(items: DataFrame, named: DataFrame) -> DataFrame:
+    """Texts _a of items and _b of keys of which one holds the other: they meet at the first HEAD characters of the held one."""
 
     def parts(c: str) -> Column:
         of_length = lambda n: F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.substring(F.col(c), i, F.lit(n)))
@@ -60,9 +69,7 @@ def containment_join(left: DataFrame, keys: DataFrame, item: str, key: str, left
 
     held = items.select("_a", parts("_a")).join(named.withColumn("_g", F.left("_b", F.lit(HEAD))), "_g").where(F.contains("_a", "_b"))
     holds = named.select("*", parts("_b")).join(items.withColumn("_g", F.left("_a", F.lit(HEAD))), "_g").where(F.contains("_b", "_a"))
-    order = F.struct(*([F.col("_a") != F.col("_b")] if exact_first else []), F.col("_o"))
-    best = held.select("_a", "_b", "_k", "_o").union(holds.select("_a", "_b", "_k", "_o")).groupBy("_a").agg(F.min_by("_k", order).alias("_k"))
-    return left.withColumn("_a", a).join(best, "_a").select(*[F.col(c) for c in left.columns], "_k.*")
+    return held.select("_a", "_b", "_k", "_o").union(holds.select("_a", "_b", "_k", "_o"))
 
 
 def overlap_join(left: DataFrame, right: DataFrame, text: str, other: str, left_id: str, right_id: str, least: int = 1, most: int = VOCABULARY) -> DataFrame:
@@ -107,3 +114,16 @@ def scored_join(left: DataFrame, right: DataFrame, key: str, left_id: list[str],
     score = 10 * phrases + 2 * F.size(F.array_intersect(words("_a"), words("_b"))) + F.when(F.abs(F.length("_a") - F.length("_b")) < 50, 1).otherwise(0)
     joined = a.join(b, key).withColumn("score", score).where(F.col("score") >= least).drop("_a", "_b", "_p")
     return first_match(joined, left_id, F.col("score").desc(), F.col(right_ord))
+
+
+def timed_markers(ballots: DataFrame, markers: DataFrame, key: str, ballot_id: list[str], least: int = 5) -> DataFrame:
+    """Ballots with the marker that fits their item best (scored_join), if a time is known for it. Ballots that have a marker and a
+    time that is not estimated are left as they are. markers: key, marker_id, marker_text, seconds, ord."""
+    settled = (F.coalesce(F.length("marker_id"), F.lit(0)) > 0) & F.col("video_ts").isNotNull() & ~F.coalesce("ts_estimated", F.lit(False))
+    side = markers.select(key, F.col("marker_id").alias("_m"), "marker_text", F.col("seconds").cast("long").alias("_s"), "ord")
+    found = scored_join(ballots.where(~settled).select(key, *[c for c in ballot_id if c != key], "item_text"), side, key, ballot_id, "ord", least)
+    best = found.where(F.col("_s").isNotNull()).select(*[F.col(c).alias(f"_b_{c}") for c in ballot_id], "_m", "_s")
+    on = [ballots[c].eqNullSafe(best[f"_b_{c}"]) for c in ballot_id]
+    out, hit = ballots.join(best, on, "left"), F.col("_m").isNotNull()
+    new = {"marker_id": F.coalesce("_m", "marker_id"), "video_ts": F.when(hit, F.col("_s")).otherwise(F.col("video_ts").cast("long")), "ts_estimated": F.when(hit, False).otherwise(F.col("ts_estimated"))}
+    return out.withColumns(new).select(*ballots.columns)
