@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
 from rollcall.functions import text as tx
@@ -78,6 +79,8 @@ def overlap_join(left: DataFrame, right: DataFrame, text: str, other: str, left_
     of their words, so only these are indexed. With least = 1 this leaves none out: for small tables only."""
     words = lambda df, i, t: df.select(i, F.explode(F.array_distinct(F.split(F.regexp_replace(F.lower(t), "[^a-z0-9]+", " "), " "))).alias("_w")).where("_w <> ''")
     b = words(right, right_id, other)
+    if _few(b, most) and least > 0:
+        return _overlap_with_few(left, b, text, left_id, right_id, least)
     rarity = b.groupBy("_w").agg(F.count(F.lit(1)).alias("_n"))
     rarity = F.broadcast(rarity) if _few(rarity, most) else rarity
 
@@ -93,6 +96,46 @@ def overlap_join(left: DataFrame, right: DataFrame, text: str, other: str, left_
     return best.select(left_id, "_best.*")
 
 
+def _overlap_with_few(left: DataFrame, words: DataFrame, text: str, left_id: str, right_id: str, least: int) -> DataFrame:
+    """overlap_join where the words of the right side, a row a word and id, are few enough to be sent to all tasks: every left row counts
+    its words' lists of ids by itself, so nothing is shuffled and no pair becomes a row."""
+    import numpy as np
+
+    rows = words.select(right_id, "_w").collect()  # at most the caller's bound
+    ids = sorted({r[0] for r in rows})
+    place = {i: k for k, i in enumerate(ids)}
+    lists: dict[str, list[int]] = {}
+    for i, w in rows:
+        lists.setdefault(w, []).append(place[i])
+    sent = left.sparkSession.sparkContext.broadcast({w: np.array(x, np.int32) for w, x in lists.items()})
+    own = left.select(left_id, F.array_distinct(F.split(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "), " ")).alias("_words"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        known = sent.value
+        for batch in batches:
+            best, score = [], []
+            for own_words in batch.column(1).to_pylist():
+                found = [known[w] for w in own_words or () if w in known]
+                if not found:
+                    best.append(None), score.append(0)
+                    continue
+                hits = np.concatenate(found)
+                if len(ids) <= 4 * len(hits):
+                    at, counts = None, np.bincount(hits, minlength=len(ids))
+                else:
+                    at, counts = np.unique(hits, return_counts=True)
+                k = int(counts.argmax())  # the first of the most, so the smallest id
+                best.append(ids[k if at is None else at[k]]), score.append(int(counts[k]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best, kinds[1]), pa.array(score, pa.int64())], ["a", "b", "score"])
+
+    kinds = [to_arrow_type(df.schema[c].dataType) for df, c in ((left, left_id), (words, right_id))]
+    a, b = (df.schema[c].dataType.simpleString() for df, c in ((left, left_id), (words, right_id)))
+    out = own.mapInArrow(run, f"a {a}, b {b}, score bigint").where(F.col("score") >= least)
+    return out.select(F.col("a").alias(left_id), F.col("b").alias(right_id), "score")
+
+
 def marker_times(ballots: DataFrame, markers: DataFrame) -> DataFrame:
     """Ballots with a marker take its seconds, or an estimate by frame rate where it has none; others stay as they are."""
     side = markers.select("session_id", "marker_id", F.col("seconds").cast("bigint").alias("_s"))
