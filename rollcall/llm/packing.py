@@ -16,6 +16,7 @@ encoded whole and cut. Only the two named columns are read, so extra columns can
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ from .byte_level import byte_level
 from .common import Scratch, byte_rows, slices
 
 #: Buckets of a hashed vector, dimensions and bits a dimension of the curve, documents whose vectors are held at once.
-BUCKETS, DIMS, BITS, AT_ONCE = 1024, 4, 10, 500
+BUCKETS, DIMS, BITS, AT_ONCE = 256, 4, 10, 500
 SLICE = 1 << 20
 
 
@@ -87,7 +88,7 @@ def encoded(df: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: i
         for batch in slices(batches, size=SLICE):
             for at in range(0, batch.num_rows, AT_ONCE):
                 part = batch.slice(at, AT_ONCE)
-                ids = [np.array([*(e.encode_special(src.decode()) if src else ()), end_id], np.int64) for src in byte_rows(part.column(2))]
+                ids = [as_array(e.encode_special(src.decode()) if src else [], end_id) for src in byte_rows(part.column(2))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array([len(x) for x in ids], pa.int64()), pa.array(keys(ids)), pa.array([x.astype(width).tobytes() for x in ids], pa.binary())],
                     ["row", "id", "n", "key", "ids"],
@@ -97,6 +98,12 @@ def encoded(df: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: i
     return two.mapInArrow(run, f"row long, id {kind}, n long, key long, ids binary")
 
 
+def as_array(ids: list[int], end_id: int) -> np.ndarray:
+    held = array("i", ids)
+    held.append(end_id)
+    return np.frombuffer(held, np.int32)
+
+
 def ids_type(vocabulary: int, end_id: int) -> str:
     return "<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4"
 
