@@ -13,7 +13,8 @@ answers each in the order asked; the slice then scores its documents. So a commo
 no task holds more than one slice or one part, each of which has a fixed size, up to the largest row.
 
 Defined results: a null or wordless text has no tokens and 0 for losses and difference; without target documents the
-target's model is uniform. Rows that repeat count as often as they occur.
+target's model is uniform. Rows that repeat count as often as they occur. A text larger than a slice makes its slice as large
+as it is; no documents give no rows; only the id and text columns are read.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ covers is set aside, and the next one is grown. The list becomes one CASE WHEN e
 names the verdict, and a document that no rule names is kept.
 
 Defined results: a null text counts as empty: all statistics are 0 and base_failed is true. Where no labelled rows
-are there, the list is empty. Repeated rows give repeated results; only the named columns of df are read.
+are there, the list is empty. Repeated rows give repeated results; only the named columns of df are read. Texts of any length
+are counted whole; of several rules that hold the first counts; no documents give no rows.
 """
 
 from __future__ import annotations

@@ -4,8 +4,9 @@ A text is normalised by longest-prefix look-ups in the model's compiled characte
 text records the source byte it came from. The pieces of the library's own segmentation are laid over the normalised
 text, so each piece projects to a span of source bytes. Decoding is the library's decode of the ids.
 
-Defined results: a null or empty text has no tokens and decodes to ''. Repeated rows give repeated results. Extra
-columns never clash: only the two named columns are read, and the outputs are new columns of a new frame.
+Defined results: a null or empty text has no tokens and decodes to ''. Repeated rows give repeated results. Texts of any length
+are encoded whole, one at a time where they are long; no rows give none. Extra columns never clash: only the two named columns
+are read, and the outputs are new columns of a new frame.
 """
 
 from __future__ import annotations

@@ -7,8 +7,8 @@ is allocated by RULE: 'most' (the section with most of its bytes, the earlier on
 
 Defined results: null and empty texts have no tokens and no sections; a section without tokens counts 0; section
 counts always add up to the document's token count. Given sections are taken in ascending order, each start once, and
-the first begins at 0 whatever is given. Very long texts and runs of white space are encoded whole. Only the named
-columns are read, so extra columns cannot clash.
+the first begins at 0 whatever is given. Very long texts and runs of white space are encoded whole. Repeated ids are rows of
+their own; no rows give none. Only the named columns are read, so extra columns cannot clash.
 """
 
 from __future__ import annotations

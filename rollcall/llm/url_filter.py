@@ -6,7 +6,9 @@ Newton leaves) are fitted on labelled URLs, at most TRAIN_URLS of them; the fitt
 to the tasks as a constant. A rule that fits a URL decides before the trees do; the rule with the longest text wins.
 
 Defined results: a null URL, or one without `://`, has an empty host and path, fits no rule and is scored like any
-other text. Repeated rows give repeated results. Without labelled URLs the trees allow everything.
+other text. Repeated rows give repeated results. Without labelled URLs the trees allow everything. Of equally long rules that
+fit, the first by its text decides. URLs of any length are read whole; no pages give no rows; only the named columns of pages
+are read.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ Of equal payloads of at least REVISIT_BYTES, that with the smallest id is a resp
 refer to it. Only digests and ids are shuffled to find them.
 
 Defined results: a null payload is an empty one; rows without an id are responses with a null id; rows that repeat an
-id with the same payload are responses alike; a null URL leaves out the record's target.
+id with the same payload are responses alike; a null URL leaves out the record's target. A payload larger than a bundle is a
+bundle of its own; no pages give no bundles and no rows; only the named columns are read.
 """
 
 from __future__ import annotations
