@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,7 @@ class BallotQuery:
     date_to: str | None = None
     limit: int | None = None
     offset: int | None = None
+    text: str | None = None  # in the item or in the motion
 
     def __post_init__(self):
         if (self.limit or 0) < 0 or (self.offset or 0) < 0:
@@ -64,6 +66,7 @@ def ballots(df: DataFrame, q: BallotQuery, sessions: DataFrame | None = None) ->
     ]
     for c in conditions:
         df = df if c is None else df.where(c)
+    df = search(df, q.text) if q.text else df
     if (q.date_from or q.date_to) and sessions is not None:
         held = sessions.where(F.col("date").between(q.date_from or "0000", q.date_to or "9999")).select("session_id")
         df = df.join(held, "session_id", "left_semi")
@@ -71,10 +74,11 @@ def ballots(df: DataFrame, q: BallotQuery, sessions: DataFrame | None = None) ->
 
 
 def search(df: DataFrame, term: str, fields: tuple[str, ...] = ("item_text", "motion_text")) -> DataFrame:
-    if not term:
-        raise ValueError("a search needs a term")
-    hit = tx.contains_any(F.lower(F.concat_ws("\n", *[F.col(f).cast("string") for f in fields])), [term.lower()])
-    return df.where(hit)
+    """Ballots one of whose fields holds the term, in any case; each field is looked at by itself."""
+    if not term or not fields:
+        raise ValueError("a search needs a term and a field")
+    hits = [F.coalesce(F.contains(F.lower(F.col(f).cast("string")), F.lit(term.lower())), F.lit(False)) for f in fields]
+    return df.where(reduce(lambda a, b: a | b, hits))
 
 
 def member_record(df: DataFrame, member: str) -> DataFrame:
@@ -110,6 +114,11 @@ def members(df: DataFrame) -> DataFrame:
     return df.select(F.explode(F.map_keys("choices")).alias("member")).distinct()
 
 
+def roster(df: DataFrame) -> DataFrame:
+    """The members in order of their names."""
+    return members(df).orderBy("member")
+
+
 def member_stats(df: DataFrame, roster: DataFrame | None = None) -> DataFrame:
     """member, total, yes, no, abstain; with a roster its members only, absent ones with zeros."""
     each = df.select(F.explode("choices").alias("member", "c")).groupBy("member")

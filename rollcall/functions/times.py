@@ -22,6 +22,11 @@ def by_frame(seconds: Column, frame: Column) -> Column:
     return F.coalesce(seconds, F.greatest(F.lit(1), F.coalesce(frame, F.lit(0)) * 2)).cast("int")
 
 
+def frame_label(seconds: Column) -> Column:
+    """Whether by_frame() gives a time that is there, or an estimate (a time of 0 is none)."""
+    return F.when(F.coalesce(seconds, F.lit(0)) != 0, "actual").otherwise("estimated")
+
+
 def by_content(text: Column, frame: Column) -> Column:
     """Frame times 30 plus an offset by kind of item."""
     t = F.lower(text)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from rollcall.functions import times as tm
-from rollcall.operators import aliases, choices, clusters, containment, counters, importing
+from rollcall.operators import aliases, catalog_run, choices, clusters, containment, counters, importing
+from rollcall.shared import shared_folder
 
 from .meetings import B, C, OUT, ballots
 from .registry import query
@@ -226,3 +229,21 @@ def meeting_labels(t):
     date = F.when(F.col("o_orderkey") % 7 != 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
     clock = F.when(F.col("o_orderkey") % 5 != 0, F.concat_ws(":", F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"), F.lpad((F.col("o_orderkey") % 60).cast("string"), 2, "0")))
     return t("orders").select("o_orderkey", tm.meeting_label(date, clock).alias("label"))
+
+
+# ---- a run over a catalog: a session is a source, a frame a document
+
+FRAME_TEXT = "concat(text, CASE doc_id % 5 WHEN 0 THEN ' Voting results yea | 7| nay | 2' WHEN 1 THEN ' ayes: 4' ELSE '' END)"
+HAS = "regexp_matches(lower(raw), 'voting results|yea|nay|abstain|recuse|motion|resolution|ordinance|passes|fails')"
+TOLD = r"regexp_matches(lower(raw), '\b(?:yea|yeas|aye|ayes|nay|nays|no|noes)\b[^0-9a-z]*[0-9]+')"
+
+
+@query(f"""WITH f AS (SELECT coalesce(source, 'none') AS session_id, {FRAME_TEXT} AS raw FROM documents)
+  SELECT session_id, count(*)::BIGINT AS frames, count(raw)::BIGINT AS candidates, count_if({HAS})::BIGINT AS flagged, count_if({HAS} AND {TOLD})::BIGINT AS ballots FROM f GROUP BY 1""")
+def catalog_run_results(t):
+    """The run is made in two parts: the second takes up what the first left."""
+    frames = t("documents").selectExpr("coalesce(source, 'none') AS session_id", f"{FRAME_TEXT} AS raw_text")
+    catalog = frames.select("session_id").distinct().withColumn("place", F.xxhash64("session_id"))
+    sink = f"{shared_folder(frames.sparkSession)}/catalog-run-{uuid.uuid4().hex}"
+    catalog_run.run(catalog, frames, catalog_run.Run(sink, max_sessions=2))
+    return catalog_run.run(catalog, frames, catalog_run.Run(sink)).drop("place")

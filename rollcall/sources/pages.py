@@ -46,13 +46,23 @@ def made_up_frames(catalog: DataFrame, per_chapter: int = 10, step: int = 100) -
     return chapter.select("clip_id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(per_chapter - 1)), lambda k: F.col("chapter") * 1000 + k * step)).alias("frame_number"))
 
 
-def catalog(spark: SparkSession, *paths: str, sample: list[tuple] | None = None) -> DataFrame:
-    """The first of the files that is there; without any, the sample's rows."""
+def catalog_of_pages(pages: DataFrame, html: str = "html", low: int = 10_000, high: int = 15_000) -> DataFrame:
+    """The catalog that listing pages hold: sessions whose number is likely, each once, with the first of its titles by name."""
+    found = pages.select(F.explode(anchors(F.col(html), "clip_id")).alias("a")).select("a.id", "a.text")
+    likely = found.where(F.expr(f"coalesce(try_cast(id AS bigint) BETWEEN {low} AND {high}, false)"))
+    one = likely.groupBy(F.col("id").alias("clip_id")).agg(F.min(F.nullif("text", F.lit(""))).alias("title"))
+    return one.select("clip_id", "title", *[F.lit(None).cast(kind).alias(name) for name, kind in (c.split() for c in CATALOG.split(", ")[2:])])
+
+
+def catalog(spark: SparkSession, *paths: str, pages: DataFrame | None = None, sample: list[tuple] | None = None) -> DataFrame:
+    """The first of the files that is there; without any, what the pages hold; without that, the sample's rows."""
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
         where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         if where.getFileSystem(hadoop).exists(where):
             return spark.read.schema(CATALOG).option("multiLine", True).json(path)
+    if pages is not None and not (listed := catalog_of_pages(pages)).isEmpty():
+        return listed
     return spark.createDataFrame(sample or [], CATALOG)
 
 

@@ -4,6 +4,8 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from rollcall import api
+from rollcall.functions import times as tm
 from rollcall.operators import linkage, registers
 
 
@@ -69,3 +71,15 @@ def test_markers_are_given_only_where_their_time_is_known(spark):
     markers = spark.createDataFrame([("1", "m1", "Public hearing on the lease of land", 100, 0), ("1", "m2", "Budget for parks and recreation services", None, 1)], "session_id string, marker_id string, marker_text string, seconds int, ord int")
     got = sorted((r.session_id, r.in_ord, r.marker_id, r.video_ts, r.ts_estimated) for r in linkage.timed_markers(ballots, markers, "session_id", ["session_id", "in_ord"]).collect())
     assert got == [("1", 0, "m1", 100, False), ("1", 1, "old", 7, False), ("1", 2, "old", 9, True), ("1", 3, None, None, None), ("2", 0, None, None, None)]
+
+
+def test_search_looks_at_each_field_by_itself(spark):
+    df = spark.createDataFrame([(0, "Lease", "adopt"), (1, None, "lease it"), (2, "x", None)], "in_ord long, item_text string, motion_text string").withColumn("session_id", F.lit("1"))
+    find = lambda term: sorted(r.in_ord for r in api.search(df, term).collect())
+    assert find("LEASE") == [0, 1] and find("lease\nadopt") == [] and find("none") == []
+    q = api.BallotQuery(text="lease")
+    assert sorted(r.in_ord for r in api.ballots(df.withColumns({"outcome": F.lit(None).cast("string")}), q).collect()) == [0, 1]
+    labels = spark.createDataFrame([(5,), (0,), (None,)], "s int").select(tm.frame_label(F.col("s"))).collect()
+    assert [r[0] for r in labels] == ["actual", "estimated", "estimated"]
+    roster = spark.createDataFrame([({"b": "x", "a": "y"},), ({"a": "z"},)], "choices map<string,string>")
+    assert [r.member for r in api.roster(roster).collect()] == ["a", "b"]

@@ -103,6 +103,15 @@ def test_catalog_falls_back(spark, tmp_path):
     assert [r.title for r in pages.catalog(spark, str(tmp_path / "none.json"), path, sample=sample).collect()] == ["file"]
 
 
+def test_catalog_of_listing_pages(spark, tmp_path):
+    html = '<a href="/p?clip_id=14001&x=1"> Council </a><a href="/p?clip_id=14001">Again</a><a href="/p?clip_id=99">no</a><a href="/p?clip_id=14002"></a><a href="/p?meta_id=14003">m</a>'
+    listing = spark.createDataFrame([(html,), (None,)], "html string")
+    got = pages.catalog(spark, str(tmp_path / "none.json"), pages=listing, sample=[("1", "sample", None, None, None, 1, 1, False)])
+    assert sorted((r.clip_id, r.title) for r in got.collect()) == [("14001", "Again")] and got.columns == [c.split()[0] for c in pages.CATALOG.split(", ")]
+    none = spark.createDataFrame([("no links",)], "html string")
+    assert [r.title for r in pages.catalog(spark, pages=none, sample=[("1", "sample", None, None, None, 1, 1, False)]).collect()] == ["sample"]
+
+
 def test_versions_dry_runs_and_the_latest(spark, tmp_path):
     path, schema = str(tmp_path / "out"), "id int, t string"
     one, two = (spark.createDataFrame([(k, f"v{k}")], schema) for k in (1, 2))
