@@ -38,18 +38,18 @@ def test_roster_lists_and_answers(spark):
 
 
 def test_counts_by_rule(spark):
-    rows = [("1", "passed after it failed", {"ANN LEWIS": "YES", "B": "no"}, True, "f"), ("1", "Failed", {"lewis": "ABSTAIN"}, True, ""), ("2", None, {"BRIDGET": "x", "B": "ABSTAIN"}, True, "g"), ("2", "", None, None, "g")]
+    rows = [("1", "passed after it failed", {"ANN STONE": "YES", "B": "no"}, True, "f"), ("1", "Failed", {"stone": "ABSTAIN"}, True, ""), ("2", None, {"MARA": "x", "B": "ABSTAIN"}, True, "g"), ("2", "", None, None, "g")]
     df = spark.createDataFrame(rows, "session_id string, outcome string, choices map<string,string>, frame_available boolean, frame_path string")
     assert sorted(map(tuple, registers.exclusive_counts(df, "session_id").collect())) == [("1", 2, 1, 1), ("2", 2, 0, 0)]
-    assert tuple(registers.alias_totals(df, "Lewis", "bridget").collect()[0]) == (3, 1, 0, 1)
+    assert tuple(registers.alias_totals(df, "Stone", "mara").collect()[0]) == (3, 1, 0, 1)
     assert [r[0] for r in df.select(registers.to_look_at_again("B")).collect()] == [False, False, True, False]
     sessions = spark.createDataFrame([("1",), ("2",), ("2",)], "session_id string")
     assert tuple(registers.health(df, sessions, "2024").collect()[0]) == ("healthy", 4, 2, "2024")
-    roster = spark.createDataFrame([("ANN  LEWIS",), ("B",)], "member string")
+    roster = spark.createDataFrame([("ANN  STONE",), ("B",)], "member string")
     stats = spark.createDataFrame([("B", 2, 0, 1)], "member string, total long, yes long, no long")
     card, own = registers.member_detail(df, roster, stats, "b")
     assert card.collect()[0].asDict() == {"member": "B", "total": 2, "yes": 0, "no": 1, "id": "b"} and own.count() == 2
-    assert [r.total for r in registers.member_detail(df, roster, stats, "ann_lewis")[0].collect()] == [0]
+    assert [r.total for r in registers.member_detail(df, roster, stats, "ann_stone")[0].collect()] == [0]
     assert registers.member_detail(df, roster, stats, "nobody")[0].collect() == []
 
 
