@@ -115,3 +115,52 @@ def made_up_frames_by_share(catalog: DataFrame, per_session: int = 100) -> DataF
 def stamps(at: datetime) -> tuple[str, str]:
     """A run's stamps: ISO for documents, compact for names of versions. One run takes one time, so all it writes agrees."""
     return at.isoformat(), at.strftime("%Y%m%d_%H%M%S")
+
+
+#: Items that are a code only, and what they stand for.
+SHORT_CODES = (
+    ("5A", "5A. Recognition and Proclamations"),
+    ("5.A", "5A. Recognition and Proclamations"),
+    ("9A", "9A. Public Hearings"),
+    ("10B", "10B. Finance"),
+    ("14", "14. Adjournment"),
+)
+
+
+def expanded(item: Column, codes: tuple[tuple[str, str], ...] = SHORT_CODES) -> Column:
+    """An item that is a known code as a whole, written out; others as they are."""
+    known = F.create_map(*[F.lit(x) for pair in codes for x in pair])
+    return F.coalesce(F.element_at(known, item), item)
+
+
+def frame_path(path: Column, session: Column, frame: Column, root: str) -> Column:
+    """The path of a frame: the one that is there, else one made of session and frame; none without a frame."""
+    made = F.concat(F.lit(f"{root}/votable_frames_"), session, F.lit("/frame_"), F.format_string("%06d", frame), F.lit(".jpg"))
+    return F.when(F.coalesce(path, F.lit("")) != "", path).when(frame.isNotNull(), made).otherwise(path)
+
+
+def match_rate(df: DataFrame, marker: str = "marker_id") -> DataFrame:
+    """One row: matched, total and rate as a percent text; 0% where there are no rows."""
+    counts = df.agg(F.count_if(F.coalesce(F.col(marker), F.lit("")) != "").alias("matched"), F.count(F.lit(1)).alias("total"))
+    return counts.withColumn("rate", tx.percent(F.col("matched"), F.col("total")))
+
+
+def likely_session(session: Column, prefix: str, below: int) -> Column:
+    """Whether an id begins so and is a number under a bound."""
+    number = F.when(F.rlike(session, F.lit("^[0-9]{1,18}$")), session.cast("long"))
+    return F.coalesce(F.startswith(session, F.lit(prefix)) & (number < below), F.lit(False))
+
+
+def added_members(stats: DataFrame, *members: str) -> DataFrame:
+    """Counters with zeros for members that have none yet; those that are there keep theirs."""
+    measures = [c for c in stats.columns if c != "member"]
+    new = stats.sparkSession.createDataFrame([(m,) for m in dict.fromkeys(members)], "member string").join(stats.select("member"), "member", "left_anti")
+    return stats.unionByName(new.select("member", *[F.lit(0).cast(stats.schema[c].dataType).alias(c) for c in measures]))
+
+
+def audit(ballots: DataFrame, member: str, first: int = 10) -> DataFrame:
+    """The first ballots, in order, that lack a member's choice, with the number of all such ballots beside each."""
+    lacks = ~F.coalesce(F.map_contains_key("choices", F.lit(member)), F.lit(False))
+    missing = ballots.where(lacks)
+    n = missing.agg(F.count(F.lit(1)).alias("n_missing"))
+    return missing.orderBy("session_id", "in_ord").limit(first).select("session_id", "in_ord", "item_text").crossJoin(n)  # one row beside ten

@@ -5,6 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from rollcall import api
+from rollcall.functions import text as tx
 from rollcall.functions import times as tm
 from rollcall.operators import linkage, registers
 
@@ -83,3 +84,26 @@ def test_search_looks_at_each_field_by_itself(spark):
     assert [r[0] for r in labels] == ["actual", "estimated", "estimated"]
     roster = spark.createDataFrame([({"b": "x", "a": "y"},), ({"a": "z"},)], "choices map<string,string>")
     assert [r.member for r in api.roster(roster).collect()] == ["a", "b"]
+
+
+def test_codes_paths_rates_and_audits(spark):
+    items = spark.createDataFrame([("5.A",), ("14",), ("5A.",), (None,), ("Lease",)], "i string").select(registers.expanded(F.col("i"))).collect()
+    assert [r[0] for r in items] == ["5A. Recognition and Proclamations", "14. Adjournment", "5A.", None, "Lease"]
+    paths = spark.createDataFrame([("own", "7", 3), ("", "7", 3), (None, "7", None), (None, "7", 1234567)], "p string, s string, f int")
+    got = [r[0] for r in paths.select(registers.frame_path(F.col("p"), F.col("s"), F.col("f"), "d")).collect()]
+    assert got == ["own", "d/votable_frames_7/frame_000003.jpg", None, "d/votable_frames_7/frame_1234567.jpg"]
+    rate = lambda *m: tuple(registers.match_rate(spark.createDataFrame([(x,) for x in m], "marker_id string")).collect()[0])
+    assert rate("a", "", None) == (1, 3, "33.3%") and rate() == (0, 0, "0%")
+    ids = spark.createDataFrame([("14399",), ("14400",), ("14x",), ("2",), (None,)], "s string").select(registers.likely_session(F.col("s"), "14", 14400)).collect()
+    assert [r[0] for r in ids] == [True, False, False, False, False]
+    stats = spark.createDataFrame([("A", 3, 1)], "member string, total long, yes long")
+    assert sorted(map(tuple, registers.added_members(stats, "A", "B", "B").collect())) == [("A", 3, 1), ("B", 0, 0)]
+    df = spark.createDataFrame([("1", k, "x", {"m": "YES"} if k % 3 == 0 else {"o": "NO"}) for k in range(30)], "session_id string, in_ord long, item_text string, choices map<string,string>")
+    rows = registers.audit(df, "m", 3).collect()
+    assert [(r.in_ord, r.n_missing) for r in rows] == [(1, 20), (2, 20), (4, 20)] and registers.audit(df, "nobody").count() == 10
+
+
+def test_every_phrase_is_replaced(spark):
+    rows = [(f"Item 3: {long.upper()} after", f"{short} after") for long, short in tx.PHRASES]
+    df = spark.createDataFrame(rows, "t string, want string")
+    assert len(rows) >= 9 and all(r.got == r.want for r in df.select("want", tx.normalise_phrases(F.col("t")).alias("got")).collect())
