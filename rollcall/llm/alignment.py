@@ -32,7 +32,7 @@ from .byte_level import byte_level
 from .common import Scratch, byte_rows, materialise, slices, small_batches
 
 #: Text bytes of a slice; bits of an id in a packed pair.
-SLICE, ID_BITS = 4 << 20, 20
+SLICE, ID_BITS = 2 << 20, 20
 MASK = (1 << ID_BITS) - 1
 
 
