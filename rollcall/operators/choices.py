@@ -96,11 +96,11 @@ def by_majority(choices: Column, result: Column) -> Column:
     return F.when(said("pass"), "YES").when(said("fail"), "NO").when(said("tie"), tie).otherwise("YES")
 
 
-def impute_member(df: DataFrame, member: str, policy: str = "outcome") -> DataFrame:
+def impute_member(df: DataFrame, member: str, policy: str = "outcome", recount: bool = False) -> DataFrame:
     """Adds member's choice where the map lacks it; `imputed` names the member. Other rows stay as they are.
 
     'outcome': by the outcome's words, and the stored tally, where there is one, gets one more. 'majority': by_majority(); the
-    tally stays, as it is worked out again from choices where it is needed."""
+    tally stays, unless recount counts it anew from every ballot's choices, the added one among them."""
     if policy not in ("outcome", "majority"):
         raise ValueError("policy is outcome or majority")
     lacks = ~F.coalesce(F.map_contains_key("choices", F.lit(member)), F.lit(False))
@@ -113,7 +113,8 @@ def impute_member(df: DataFrame, member: str, policy: str = "outcome") -> DataFr
         field = lambda c, token: F.coalesce(F.col(f"tally.{c}"), F.lit(0)) + F.when(F.col("_said") == token, 1).otherwise(0)
         bumped = F.col("tally").withField("ayes", field("ayes", "YES")).withField("noes", field("noes", "NO"))
         more["tally"] = F.when(F.col("_lacks") & F.col("tally").isNotNull(), bumped).otherwise(F.col("tally"))
-    return out.withColumns(more).drop("_lacks", "_said")
+    out = out.withColumns(more).drop("_lacks", "_said")
+    return out.withColumn("tally", tally_of(F.col("choices"), EXACT)) if recount else out
 
 
 def correct_choice(df: DataFrame, member: str, new: str, where: Column) -> DataFrame:

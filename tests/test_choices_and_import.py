@@ -41,6 +41,12 @@ def test_imputing_adds_one_to_the_stored_tally(spark):
     assert [r.imputed for r in rows] == [["m"], [], ["m"], ["m"], ["m"], ["m"]]
 
 
+def test_imputing_can_count_every_tally_anew(spark):
+    df = ballots(spark, {"choices": {"x": "YES"}, "tally": (9, 9, 9), "outcome": "Motion Passes"}, {"choices": {"m": "NO", "x": "ABSTAIN"}, "tally": (1, 4, 0)}, {"choices": {"x": "NO"}, "outcome": "Tie"}, {"choices": None})
+    rows = choices.impute_member(df, "m", "majority", recount=True).orderBy("in_ord").collect()
+    assert [tuple(r.tally) for r in rows] == [(2, 0, 0), (0, 1, 1), (0, 2, 0), (1, 0, 0)]
+
+
 def test_imputing_by_majority_asks_pass_and_fail_first(spark):
     ties = {"x": "YES", "y": "YES", "z": "NO"}
     df = ballots(spark, {"choices": ties, "outcome": "Tie - fails"}, {"choices": ties, "outcome": "Tie"}, {"choices": {"x": "YES", "z": "NO"}, "outcome": "tie"}, {"choices": {}, "outcome": "adopted"}, {"choices": {"x": "yes"}, "outcome": "Tie"}, {"choices": {"m": "ABSTAIN"}, "outcome": "Tie", "tally": (1, 1, 1)})
