@@ -39,14 +39,24 @@ def default_id(keys: list[str]) -> Column:
 
 def merge_ballots(df: DataFrame, keys: list[str]) -> DataFrame:
     """One ballot a group: id, frame, marker and time of the ballot with the least frame (a missing one is 0; first place on
-    ties), choices merged in place order, the merged ids in place order."""
+    ties), choices merged in place order, the merged ids in place order.
+
+    A ballot gives a row for itself, without a member, and one for each member; these are reduced by member and then by group, so no
+    join brings choices and ballots together again."""
     named = df.withColumns({"_id": F.coalesce("ballot_id", default_id(keys)), "_frame": F.coalesce("frame_number", F.lit(0))})
-    primary = F.min_by(F.struct("_id", "_frame", "marker_id", "video_ts", "ts_estimated"), F.struct("_frame", "in_ord"))
-    ids = F.transform(F.array_sort(F.collect_list(F.struct("in_ord", "_id"))), lambda x: x["_id"])
-    rows = named.groupBy(*keys).agg(primary.alias("p"), ids.alias("consolidated_from"))
-    out = same_keys(rows, last_choices(df, keys, ["in_ord"]), keys, "left")
-    return out.select(
-        *keys, F.col("p._id").alias("ballot_id"), F.col("p._frame").alias("frame_number"), F.coalesce("choices", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))).alias("choices"), "p.marker_id", "p.video_ts",
+    own = F.array(F.struct(F.lit(None).cast("string").alias("member"), F.lit(None).cast("string").alias("choice")))
+    entries = F.transform(F.coalesce(F.map_entries("choices"), F.array()), lambda e: F.struct(e["key"].alias("member"), e["value"].alias("choice")))
+    each = named.select(*keys, "in_ord", "_id", "_frame", "marker_id", "video_ts", "ts_estimated", F.explode(F.concat(own, entries)).alias("_e"))
+    is_own = F.col("_member").isNull()
+    each = each.select(*keys, "in_ord", F.col("_e.member").alias("_member"), F.col("_e.choice").alias("choice"), F.when(F.col("_e.member").isNull(), F.struct("_frame", "in_ord", "_id", "marker_id", "video_ts", "ts_estimated")).alias("_own"))
+    ids = F.transform(F.array_sort(F.collect_list(F.when(is_own, F.struct("in_ord", "_own._id")))), lambda x: x["_id"])
+    first = F.min_by("_own", F.when(is_own, F.struct("_own._frame", "in_ord")))
+    members = each.groupBy(*keys, "_member").agg(first.alias("_p"), ids.alias("_ids"), F.max_by("choice", "in_ord").alias("choice"))
+    only = lambda c: F.max_by(c, F.when(is_own, 1))
+    entry = F.when(~is_own, F.struct(F.col("_member").alias("member"), "choice"))
+    rows = members.groupBy(*keys).agg(only("_p").alias("p"), only("_ids").alias("consolidated_from"), F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("choices"))
+    return rows.select(
+        *keys, F.col("p._id").alias("ballot_id"), F.col("p._frame").alias("frame_number"), "choices", "p.marker_id", "p.video_ts",
         F.coalesce("p.ts_estimated", F.lit(True)).alias("ts_estimated"), "consolidated_from",
     )
 
