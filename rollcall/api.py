@@ -175,21 +175,28 @@ def session_reports(df: DataFrame, sessions: DataFrame) -> DataFrame:
     """session_id and report: opening, outcomes, up to five topics, up to three notable actions and the most active member.
 
     Topics are ranked by number and then by first appearance; a session moves as one row a topic, action or member."""
-    counts = df.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(outcome_has("pass")).alias("p"), F.count_if(outcome_has("fail")).alias("f"))
-    topics = df.groupBy("session_id", tx.topic(F.col("item_text")).alias("topic")).agg(F.count(F.lit(1)).alias("k"), F.min("in_ord").alias("first"))
-    ranked = topics.groupBy("session_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("k")).alias("k"), "first", "topic"))), 1, 5).alias("t"))
-    ranked = ranked.select("session_id", F.array_join(F.transform("t", lambda x: F.concat(x["topic"], F.lit(" ("), (-x["k"]).cast("string"), F.lit(" items)"))), ", ").alias("topics"))
-    said = df.select("session_id", "in_ord", tx.notable(F.col("item_text"), F.col("outcome")).alias("a")).where("a is not null")
-    said = said.groupBy("session_id").agg(F.array_join(F.transform(F.slice(F.array_sort(F.collect_list(F.struct("in_ord", "a"))), 1, 3), lambda x: x["a"]), "; ").alias("actions"))
-    first = df.select("session_id", "in_ord", F.explode(F.map_keys("choices")).alias("member")).groupBy("session_id", "member").agg(F.count(F.lit(1)).alias("k"), F.min("in_ord").alias("o"))
-    active = first.groupBy("session_id").agg(F.min(F.struct((-F.col("k")).alias("k"), "o", "member")).alias("m"))
-    rows = sessions.select("session_id", "date").join(counts, "session_id", "left").join(ranked, "session_id", "left").join(said, "session_id", "left").join(active, "session_id", "left")
+    # a ballot gives a row for its topic (0), one if it is notable (1) and one for each member (2); all are counted by one pass
+    fact = lambda kind, at, text: F.struct(F.lit(kind).alias("kind"), at.cast("bigint").alias("at"), text.alias("text"))
+    no, action = F.lit(None), tx.notable(F.col("item_text"), F.col("outcome"))
+    members = F.transform(F.coalesce(F.map_keys("choices"), F.array()), lambda m: fact(2, no, m))
+    told = F.filter(F.array(fact(0, no, tx.topic(F.col("item_text"))), fact(1, F.col("in_ord"), action)), lambda x: x["text"].isNotNull())
+    each = df.select("session_id", "in_ord", outcome_has("pass").alias("p"), outcome_has("fail").alias("f"), F.explode(F.concat(told, members)).alias("x"))
+    facts = each.groupBy("session_id", "x").agg(F.count(F.lit(1)).alias("k"), F.min("in_ord").alias("o"), F.count_if("p").alias("p"), F.count_if("f").alias("f"))
+    of = lambda kind, x: F.when(F.col("x.kind") == kind, x)
+    ranked, said = F.struct((-F.col("k")).alias("k"), "o", F.col("x.text").alias("text")), F.struct(F.col("x.at").alias("at"), F.col("x.text").alias("text"))
+    rows = facts.groupBy("session_id").agg(
+        *[F.sum(of(0, F.col(c))).alias(n) for c, n in (("k", "n"), ("p", "p"), ("f", "f"))], F.sort_array(F.collect_list(of(0, ranked))).alias("t"), F.sort_array(F.collect_list(of(1, said))).alias("a"), F.min(of(2, ranked)).alias("m")
+    )
+    topics = F.transform(F.slice("t", 1, 5), lambda x: F.concat(x["text"], F.lit(" ("), (-x["k"]).cast("string"), F.lit(" items)")))
+    actions = F.transform(F.slice("a", 1, 3), lambda x: x["text"])
+    rows = rows.select("session_id", "n", "p", "f", F.array_join(topics, ", ").alias("topics"), F.array_join(actions, "; ").alias("actions"), "m")
+    rows = sessions.select("session_id", "date").join(rows, "session_id", "left")
     parts = [
         F.concat(F.lit("The council convened on "), F.coalesce("date", F.lit("Unknown date")), F.lit(" for a regular meeting.")),
         F.when(F.col("n") > 0, F.concat(F.lit("The council conducted "), F.col("n").cast("string"), F.lit(" votes, with "), F.col("p").cast("string"), F.lit(" motions passing and "), F.col("f").cast("string"), F.lit(" motions failing."))),
         F.when(F.col("topics") != "", F.concat(F.lit("Key agenda topics included: "), "topics", F.lit("."))),
         F.when(F.col("actions") != "", F.concat(F.lit("Notable actions included: "), "actions", F.lit("."))),
-        F.when(F.col("m").isNotNull(), F.concat(F.lit("All councilmembers participated actively, with "), "m.member", F.lit(" voting on "), (-F.col("m.k")).cast("string"), F.lit(" items."))),
+        F.when(F.col("m").isNotNull(), F.concat(F.lit("All councilmembers participated actively, with "), "m.text", F.lit(" voting on "), (-F.col("m.k")).cast("string"), F.lit(" items."))),
         F.lit("The meeting concluded with standard adjournment procedures."),
     ]
     return rows.select("session_id", F.concat_ws(" ", *parts).alias("report"))
