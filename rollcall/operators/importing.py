@@ -48,8 +48,12 @@ def placed(ballots: DataFrame, sessions: DataFrame, matched: DataFrame | None =
     return out.withColumns(new).drop("_s", "_known", "_m", "_t", "_e")
 
 
+def consolidated(new: DataFrame) -> DataFrame:
+    return ch.merge_ballots(new.where("session_id is not null"), ["session_id", "item_text"])
+
+
 def new_ballots(new: DataFrame, sessions: DataFrame, matched: DataFrame | None = None) -> DataFrame:
-    return placed(ch.merge_ballots(new.where("session_id is not null"), ["session_id", "item_text"]), sessions, matched).select(*BALLOT)
+    return placed(consolidated(new), sessions, matched).select(*BALLOT)
 
 
 def merged_sessions(existing: DataFrame, new: DataFrame) -> DataFrame:
@@ -74,4 +78,6 @@ def run_import(new: DataFrame, new_sessions: DataFrame, existing: DataFrame, exi
     zero = {"total": F.coalesce("total", F.lit(0)), "passed": F.coalesce("passed", F.lit(0)), "failed": F.coalesce("failed", F.lit(0))}
     summaries = new_sessions.select("session_id").distinct().join(counted, "session_id", "left").withColumns(zero)
     summaries = summaries.withColumn("summary", ch.counters_text(F.col("session_id"), F.col("total"), F.col("passed")))
-    return Imported(ballots, merged_sessions(existing_sessions, new_sessions), member_stats(ballots), summaries)
+    # placing keeps every ballot and its choices, so the statistics do without it
+    chosen = existing.select("choices").union(consolidated(new).select("choices"))
+    return Imported(ballots, merged_sessions(existing_sessions, new_sessions), member_stats(chosen), summaries)
