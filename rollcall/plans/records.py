@@ -159,9 +159,9 @@ def _names(t):
 @query(f"""WITH {C}, m AS (SELECT session_id, in_ord, {RENAMED} AS name, arg_max(choice, (member IN ('bo', 'cy'), member)) AS choice FROM c GROUP BY 1, 2, 3)
   SELECT session_id, in_ord, string_agg(concat(name, '=', choice), ',' ORDER BY name) AS choices FROM m GROUP BY 1, 2""")
 def ballots_renamed(t):
-    rows = ballots(t)
+    rows = ballots(t).where(F.size("choices") > 0)
     out = aliases.ballots_renamed(rows, _names(t), ["session_id", "in_ord"])
-    return out.select("session_id", "in_ord", choices.entries_text(F.col("choices")).alias("choices")).where("choices <> ''")
+    return out.select("session_id", "in_ord", choices.entries_text(F.col("choices")).alias("choices"))
 
 
 @query(f"WITH {C} SELECT {RENAMED} AS member, count(*)::BIGINT AS total, count_if(choice = 'YES')::BIGINT AS yes FROM c GROUP BY 1")

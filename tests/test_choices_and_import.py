@@ -185,6 +185,15 @@ def test_aliases_are_followed_through_chains_and_circles(names):
     assert {k: v for k, v in got.items() if k[0] != "n"} == {"d": "c", "e": "c", "into": "c", "two": "also", "q": "p"}
 
 
+def test_many_names_and_few_give_the_same(spark, names, monkeypatch):
+    maps = [None, {}, {"a": "1"}, {"q": "1", "w": "2"}, {k: str(n) for n, k in enumerate("abcdefgxyz")}, {k: str(n) for n, k in enumerate("zyxcba")}]
+    df = ballots(spark, *[{"ballot_id": str(k), "choices": m} for k, m in enumerate(maps)])
+    read = lambda: {r.ballot_id: r.choices for r in aliases.ballots_renamed(df, names, ["ballot_id"]).collect()}
+    few = read()
+    monkeypatch.setattr(aliases, "FEW", 0)
+    assert read() == few and few["0"] is None and few["1"] == {}
+
+
 def test_aliases_reach_every_section(spark, names):
     df = ballots(spark, {"choices": {"d": "YES", "c": "NO", "z": "NO"}, "ballot_id": "1"}, {"choices": {"z": "YES"}, "ballot_id": "2"}, {"ballot_id": "3"}, {"choices": {"d": "NO", "e": "YES"}, "ballot_id": "4"})
     got = {r.ballot_id: r.choices for r in aliases.ballots_renamed(df, names, ["ballot_id"]).collect()}
