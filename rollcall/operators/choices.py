@@ -136,26 +136,25 @@ def correct_choice(df: DataFrame, member: str, new: str, where: Column) -> DataF
     return df.withColumn("tally", F.when(hit, t).otherwise(F.col("tally"))).withColumn("choices", F.when(hit, moved).otherwise(F.col("choices")))
 
 
+def _winners(entries: Column, beats) -> Column:
+    """The map of entries (name, at, value): of each name the entry that no other of that name beats. The entries are worked out once."""
+    best = lambda all: F.filter(all, lambda e: ~F.exists(all, lambda x: (x["name"] == e["name"]) & beats(x, e)))
+    return tx.let(entries, lambda all: F.map_from_entries(F.transform(best(all), lambda e: F.struct(e["name"], e["value"]))))
+
+
 def whitelisted(choices: Column, members: list[str]) -> Column:
     """The members that are known, in upper case; choices other than YES, NO and ABSTAIN abstain; the last entry of a name wins."""
-    entries = F.filter(F.map_entries(choices), lambda e: F.upper(e["key"]).isin(*[m.upper() for m in members]))
-    names = F.array_distinct(F.transform(entries, lambda e: F.upper(e["key"])))
-    last = F.transform(names, lambda m: F.upper(F.element_at(F.filter(entries, lambda e: F.upper(e["key"]) == m), -1)["value"]))
-    return F.map_from_arrays(names, F.transform(last, lambda v: F.when(v.isin("YES", "NO", "ABSTAIN"), v).otherwise("ABSTAIN")))
+    said = lambda v: F.when(F.upper(v).isin("YES", "NO", "ABSTAIN"), F.upper(v)).otherwise("ABSTAIN")
+    entries = F.transform(F.map_entries(choices), lambda e, i: F.struct(F.upper(e["key"]).alias("name"), i.alias("at"), said(e["value"]).alias("value")))
+    return _winners(F.filter(entries, lambda e: e["name"].isin(*[m.upper() for m in members])), lambda x, e: x["at"] > e["at"])
 
 
 def renamed(choices: Column, alias: dict[str, str]) -> Column:
     """Members renamed; where the target is there already, the renamed entry wins, as the source overwrites it."""
-    entries = F.map_entries(choices)
     to = lambda k: F.coalesce(*[F.when(k == a, F.lit(b)) for a, b in alias.items()], k)
-    names = F.array_distinct(F.transform(entries, lambda e: to(e["key"])))
-
-    def value(m: Column) -> Column:
-        same = F.filter(entries, lambda e: to(e["key"]) == m)
-        moved = F.filter(same, lambda e: e["key"] != m)
-        return F.coalesce(F.get(moved, F.size(moved) - 1), F.get(same, F.lit(0)))["value"]
-
-    return F.map_from_arrays(names, F.transform(names, value))
+    rank = lambda e, i: F.struct((to(e["key"]) != e["key"]).alias("moved"), i.alias("i"))
+    entries = F.transform(F.map_entries(choices), lambda e, i: F.struct(to(e["key"]).alias("name"), rank(e, i).alias("at"), e["value"].alias("value")))
+    return _winners(entries, lambda x, e: x["at"] > e["at"])
 
 
 def merged(a: Column, b: Column) -> Column:
@@ -164,7 +163,7 @@ def merged(a: Column, b: Column) -> Column:
 
 
 def entries_text(choices: Column) -> Column:
-    return F.array_join(F.array_sort(F.transform(F.map_entries(choices), lambda e: F.concat_ws("=", e["key"], e["value"]))), ",")
+    return F.array_join(F.sort_array(F.transform(F.map_entries(choices), lambda e: F.concat_ws("=", e["key"], e["value"]))), ",")
 
 
 def participation(df: DataFrame) -> DataFrame:
