@@ -113,3 +113,15 @@ def test_merge_follows_a_stream(spark, tmp_path, table):
         spark.createDataFrame([("a", f"v{k}", float(k % 2)), (f"b{k}", "x", 0.0)], "k string, v string, o double").coalesce(1).write.mode("append").parquet(path)
         table.follow(source, str(tmp_path / "state"))
     assert held(table) == [("a", "v1", 1.0), ("b0", "x", 0.0), ("b1", "x", 0.0), ("b2", "x", 0.0)]
+
+
+def test_rows_of_a_key_wait_a_batch_at_a_time():
+    import pandas as pd
+
+    calls = []
+    fold = stateful.Neighbours(5)
+    fold.waiting = type("Waiting", (), {"appendList": lambda self, rows: calls.append(rows)})()
+    fold.handle = type("Handle", (), {"registerTimer": lambda self, at: calls.append(at)})()
+    batches = (pd.DataFrame({"us": [k * 1000, 500], "ord": [k, 9], "score": [0.5, 1.5]}) for k in (3, 1, 2))
+    assert list(fold.handleInputRows(("a",), batches, None)) == []
+    assert calls == [[(3000, 3, 0.5), (500, 9, 1.5)], [(1000, 1, 0.5), (500, 9, 1.5)], [(2000, 2, 0.5), (500, 9, 1.5)], 4]
