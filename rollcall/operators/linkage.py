@@ -150,13 +150,15 @@ def scored_join(left: DataFrame, right: DataFrame, key: str, left_id: list[str],
     """For each left item (item_text) the right one (marker_text) of the same key with the best score, if at least least:
     10 for each key phrase of the item in the marker's text, 2 for each word in common, 1 for lengths within 50. Ties go
     to the first by right_ord. Only rows of one key meet."""
-    a = left.withColumns({"_a": tx.normalise_match(F.col("item_text")), "_p": tx.key_phrases(F.coalesce("item_text", F.lit("")))})
-    b = right.withColumn("_b", tx.normalise_match(F.col("marker_text")))
+    # words and phrases are worked out once a row, before rows meet; a pair only compares them
     words = lambda c: F.filter(F.array_distinct(F.split(c, " ")), lambda w: w != "")
-    phrases = F.size(F.filter("_p", lambda p: F.contains(F.col("_b"), F.upper(p))))
-    score = 10 * phrases + 2 * F.size(F.array_intersect(words("_a"), words("_b"))) + F.when(F.abs(F.length("_a") - F.length("_b")) < 50, 1).otherwise(0)
-    joined = a.join(b, key).withColumn("score", score).where(F.col("score") >= least).drop("_a", "_b", "_p")
-    return first_match(joined, left_id, F.col("score").desc(), F.col(right_ord))
+    phrases = F.transform(tx.key_phrases(F.coalesce("item_text", F.lit(""))), F.upper)
+    a = left.withColumns({"_a": tx.normalise_match(F.col("item_text")), "_p": phrases}).withColumns({"_aw": words("_a"), "_al": F.length("_a")}).drop("_a")
+    b = right.withColumn("_b", tx.normalise_match(F.col("marker_text"))).withColumns({"_bw": words("_b"), "_bl": F.length("_b")})
+    found = F.when(F.size("_p") > 0, F.size(F.filter("_p", lambda p: F.contains(F.col("_b"), p)))).otherwise(0)
+    score = 10 * found + 2 * F.size(F.array_intersect("_aw", "_bw")) + F.when(F.abs(F.col("_al") - F.col("_bl")) < 50, 1).otherwise(0)
+    joined = a.join(b, key).withColumn("score", score).drop("_p", "_aw", "_al", "_b", "_bw", "_bl")
+    return first_match(joined, left_id, F.col("score").desc(), F.col(right_ord)).where(F.col("score") >= least)
 
 
 def timed_markers(ballots: DataFrame, markers: DataFrame, key: str, ballot_id: list[str], least: int = 5) -> DataFrame:

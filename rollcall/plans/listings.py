@@ -16,7 +16,7 @@ from rollcall.shared import shared_folder
 from rollcall.sources import pages as pg
 from rollcall.streaming import candidates, merge, stateful
 
-from .meetings import B, C, OUT, PRESENT, ballots
+from .meetings import B, C, OUT, PRESENT, ballots, lines, made
 from .registry import ORACLES, QUERIES, count_if, n, query
 
 EXTRA = """concat(html, '<a class="x" href="/p?view=1&meta_id=', page_id, '"> Agenda item ', page_id, ' </a><a href="/c?clip_id=9">abc</a><a href="/p?meta_id=77">Long enough</a><b time="', page_id % 50, '">x</b><i time="7">',
@@ -150,9 +150,8 @@ PHRASES_SQL = "['PLANNING COMMISSION', 'COMMUNITY DEVELOPMENT', 'ORAL COMMUNICAT
   k AS (SELECT *, 10 * (len(list_filter({PHRASES_SQL}, lambda p: contains(upper(item_text), p) AND contains(y, lower(p)))) + CASE WHEN num <> '' AND contains(y, lower(num)) THEN 1 ELSE 0 END) + 2 * len(list_intersect(list_filter(string_split(x, ' '), lambda w: w <> ''), list_filter(string_split(y, ' '), lambda w: w <> ''))) + CASE WHEN abs(length(x) - length(y)) < 50 THEN 1 ELSE 0 END AS score FROM j)
   SELECT session_id, in_ord, marker_id, score::BIGINT AS score FROM (SELECT *, row_number() OVER (PARTITION BY session_id, in_ord ORDER BY score DESC, o) AS rn FROM k WHERE score >= 5) WHERE rn = 1""")
 def scored_join(t):
-    b = ballots(t).where("item_text is not null")
-    line = t("lineitem").selectExpr("CAST(l_orderkey AS STRING) AS session_id", "CAST(l_partkey AS STRING) AS marker_id", "l_suppkey", "CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS BIGINT) AS o").where("l_suppkey % 2 = 1")
-    markers = line.join(b.select("session_id", F.col("in_ord").alias("o"), F.col("item_text").alias("marker_text")), ["session_id", "o"]).select("session_id", "o", "marker_id", "marker_text")
+    b = made(lines(t), "CASE WHEN l_suppkey % 2 = 1 THEN CAST(l_partkey AS STRING) END AS own_marker").where("item_text is not null")
+    markers = b.where("own_marker is not null").select("session_id", F.col("in_ord").alias("o"), F.col("own_marker").alias("marker_id"), F.col("item_text").alias("marker_text"))
     return linkage.scored_join(b.select("session_id", "in_ord", "item_text"), markers, "session_id", ["session_id", "in_ord"], "o").select("session_id", "in_ord", "marker_id", F.col("score").cast("bigint").alias("score"))
 
 
