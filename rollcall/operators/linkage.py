@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -11,6 +13,8 @@ from rollcall.functions import text as tx
 
 #: Rows of seed keys, and words of a vocabulary, that are sent to all tasks at most; and the characters that index a text.
 SEEDS, VOCABULARY, HEAD = 10_000, 500_000, 6
+#: Rows of a table that tell which texts are common, and the length of a text that may be one of them.
+SEEN, SHORT = 20_000, 500
 
 
 def first_match(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -146,18 +150,27 @@ def marker_times(ballots: DataFrame, markers: DataFrame) -> DataFrame:
     return out.withColumn("ts_estimated", F.when(marked, F.col("_s").isNull()).otherwise(F.col("ts_estimated"))).drop("_s")
 
 
+def _with_parts(df: DataFrame, text: str, out: str, item: bool) -> DataFrame:
+    """df with out: with_match_parts of its text. Texts met twice among the first SEEN rows are worked out ahead and sent to all tasks,
+    all others in their rows by the same expressions: what is sent spares work and changes no result."""
+    seen = Counter(r[0] for r in df.select(F.when(F.length(text) <= SHORT, F.col(text))).limit(SEEN).collect())
+    often = [(x,) for x, times in seen.items() if x is not None and times > 1]
+    if not often:
+        return tx.with_match_parts(df, text, out, item)
+    known = tx.with_match_parts(df.sparkSession.createDataFrame(often, "_text string"), "_text", "_known", item)
+    found = df.join(F.broadcast(known), F.col(text) == F.col("_text"), "left")
+    return tx.with_match_parts(found, text, out, item, "_known").drop("_text", "_known")
+
+
 def scored_join(left: DataFrame, right: DataFrame, key: str, left_id: list[str], right_ord: str, least: int = 5) -> DataFrame:
     """For each left item (item_text) the right one (marker_text) of the same key with the best score, if at least least:
     10 for each key phrase of the item in the marker's text, 2 for each word in common, 1 for lengths within 50. Ties go
     to the first by right_ord. Only rows of one key meet."""
-    # words and phrases are worked out once a row, before rows meet; a pair only compares them
-    words = lambda c: F.filter(F.array_distinct(F.split(c, " ")), lambda w: w != "")
-    phrases = F.transform(tx.key_phrases(F.coalesce("item_text", F.lit(""))), F.upper)
-    a = left.withColumns({"_a": tx.normalise_match(F.col("item_text")), "_p": phrases}).withColumns({"_aw": words("_a"), "_al": F.length("_a")}).drop("_a")
-    b = right.withColumn("_b", tx.normalise_match(F.col("marker_text"))).withColumns({"_bw": words("_b"), "_bl": F.length("_b")})
-    found = F.when(F.size("_p") > 0, F.size(F.filter("_p", lambda p: F.contains(F.col("_b"), p)))).otherwise(0)
-    score = 10 * found + 2 * F.size(F.array_intersect("_aw", "_bw")) + F.when(F.abs(F.col("_al") - F.col("_bl")) < 50, 1).otherwise(0)
-    joined = a.join(b, key).withColumn("score", score).drop("_p", "_aw", "_al", "_b", "_bw", "_bl")
+    # words and phrases are worked out before rows meet; a pair only compares them
+    a, b = _with_parts(left, "item_text", "_a", True), _with_parts(right, "marker_text", "_b", False)
+    found = F.bit_count(F.col("_a.phrases").bitwiseAND(F.col("_b.phrases"))) + F.when(F.contains("_b.text", "_a.number"), 1).otherwise(0)
+    score = 10 * found + 2 * F.size(F.array_intersect("_a.words", "_b.words")) + F.when(F.abs(F.col("_a.n") - F.col("_b.n")) < 50, 1).otherwise(0)
+    joined = a.join(b, key).withColumn("score", score).drop("_a", "_b")
     return first_match(joined, left_id, F.col("score").desc(), F.col(right_ord)).where(F.col("score") >= least)
 
 

@@ -52,3 +52,35 @@ def test_overlap_join(spark, least, most):
         if scores and -min(scores)[0] >= least:
             want.append((i, min(scores)[1], -min(scores)[0]))
     assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def _score(item, marker):
+    """The score of scored_join by plain code."""
+    import re
+
+    stop = "THE A AN AND OR BUT IN ON AT TO FOR OF WITH BY".split()
+    words = lambda x: [w for w in re.sub(r"[^\w ]", "", re.sub(r"\s", " ", (x or "").upper())).split(" ") if w and w not in stop]
+    a, b = words(item), words(marker)
+    number = re.match(r"([0-9]+[A-Z]?)\s*\.", item or "", re.ASCII)
+    known = [p for p in linkage.tx.KEY_PHRASES if p in (item or "").upper()] + ([number[1]] if number else [])
+    return 10 * sum(p in " ".join(b) for p in known) + 2 * len(set(a) & set(b)) + (abs(len(" ".join(a)) - len(" ".join(b))) < 50)
+
+
+@pytest.mark.parametrize("seen, short", [(0, 500), (20_000, 500), (40, 20)])
+def test_scored_join_with_common_texts_worked_out_ahead(spark, monkeypatch, seen, short):
+    monkeypatch.setattr(linkage, "SEEN", seen)
+    monkeypatch.setattr(linkage, "SHORT", short)
+    rng = random.Random(7)
+    texts = [None, "", "...", "7A. Approve lease for the parks", "7A . approve lease", "12. Resolution, 7A", "resolution\tof the Planning Commission", "Public Hearing: ordinance", "straße à la carte", "STRASSE  A LA", "lease lease", "ordinance " * 60, "9", "Consent Calendar (see note)", "consent-calendar"]
+    draw = lambda n: [(rng.choice("ab"), i, rng.choice(texts) if i % 4 else f"lease {i} approve hearings") for i in range(n)]
+    items, markers = draw(60) + [("c", 60, "lease"), (None, 61, "lease")], draw(30) + [("d", 30, "lease"), (None, 31, "lease")]
+    left, right = spark.createDataFrame(items, "k string, i int, item_text string"), spark.createDataFrame(markers, "k string, o int, marker_text string")
+    want = {}
+    for k, i, x in items:
+        hits = [(-_score(x, y), o) for m, o, y in markers if k is not None and m == k]
+        if hits and -min(hits)[0] >= 5:
+            want[i] = (min(hits)[1], -min(hits)[0])
+    found = linkage.scored_join(left, right, "k", ["k", "i"], "o")
+    rows = found.select("i", "o", "score").collect()
+    assert {r.i: (r.o, r.score) for r in rows} == want and len(rows) == len(want) > 30
+    assert ("BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()) == (seen > 0)

@@ -25,6 +25,12 @@ def test_costly_steps_stand_once(spark, name, word, most):
     assert plan(spark, name).count(word) <= most
 
 
+def test_scored_join_sends_common_texts_to_all_tasks(spark):
+    """Both sides look up the words and phrases of common texts, with no further move of rows."""
+    p = plan(spark, "scored_join")
+    assert p.count("BroadcastHashJoin") == 2 and p.count("Exchange hashpartitioning") <= MOST["scored_join"]
+
+
 def test_cheap_tests_before_patterns_change_no_text(spark):
     """The normalisers against their patterns alone, on texts with white space and line ends of every kind."""
     from itertools import product
