@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,8 @@ from rollcall.functions import text as tx
 SEEDS, VOCABULARY, HEAD = 10_000, 500_000, 6
 #: Rows of a table that tell which texts are common, and the length of a text that may be one of them.
 SEEN, SHORT = 20_000, 500
+#: The most common texts of a side whose scores with those of the other side are worked out ahead, so PAIRED * PAIRED at most.
+PAIRED = 128
 
 
 def first_match(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -150,27 +153,64 @@ def marker_times(ballots: DataFrame, markers: DataFrame) -> DataFrame:
     return out.withColumn("ts_estimated", F.when(marked, F.col("_s").isNull()).otherwise(F.col("ts_estimated"))).drop("_s")
 
 
-def _with_parts(df: DataFrame, text: str, out: str, item: bool) -> DataFrame:
-    """df with out: with_match_parts of its text. Texts met twice among the first SEEN rows are worked out ahead and sent to all tasks,
-    all others in their rows by the same expressions: what is sent spares work and changes no result."""
+def _common(df: DataFrame, text: str, item: bool) -> DataFrame | None:
+    """The texts met twice among the first SEEN rows of df, the most frequent first, with a number and with_match_parts; None if there are none."""
+    import pyarrow as pa
+
     seen = Counter(r[0] for r in df.select(F.when(F.length(text) <= SHORT, F.col(text))).limit(SEEN).collect())
-    often = [(x,) for x, times in seen.items() if x is not None and times > 1]
+    often = [x for x, times in seen.most_common() if x is not None and times > 1]
     if not often:
-        return tx.with_match_parts(df, text, out, item)
-    known = tx.with_match_parts(df.sparkSession.createDataFrame(often, "_text string"), "_text", "_known", item)
-    found = df.join(F.broadcast(known), F.col(text) == F.col("_text"), "left")
-    return tx.with_match_parts(found, text, out, item, "_known").drop("_text", "_known")
+        return None
+    rows = df.sparkSession.createDataFrame(pa.table({"_no": pa.array(range(len(often)), pa.int32()), "_text": pa.array(often, pa.string())}))
+    return tx.with_match_parts(rows, "_text", "_known", item)
+
+
+def _with_parts(df: DataFrame, text: str, out: str, item: bool, common: DataFrame | None) -> DataFrame:
+    """df with out: with_match_parts of its text, and out_no: the text's number if it is one of the PAIRED most common texts, for which
+    out is null. Other common texts are looked up, all others worked out in their rows by the same expressions: what is sent
+    spares work and changes no result."""
+    no = f"{out}_no"
+    if common is None:
+        return tx.with_match_parts(df, text, out, item).withColumn(no, F.lit(None).cast("int"))
+    paired = F.col("_no") < PAIRED
+    sent = common.select("_text", F.when(paired, F.col("_no")).alias(no), F.when(~paired, F.col("_known")).alias("_known"))
+    found = df.join(F.broadcast(sent), F.col(text) == F.col("_text"), "left")
+    own = tx.with_match_parts(found, text, "_own", item, F.col("_text").isNull())
+    return own.withColumn(out, F.coalesce("_known", "_own")).drop("_text", "_known", "_own")
+
+
+def _match_score(a: str, b: str) -> Column:
+    """The score of an item's parts with a marker's."""
+    found = F.bit_count(F.col(f"{a}.phrases").bitwiseAND(F.col(f"{b}.phrases"))) + F.when(F.contains(f"{b}.text", f"{a}.number"), 1).otherwise(0)
+    return 10 * found + 2 * F.size(F.array_intersect(f"{a}.words", f"{b}.words")) + F.when(F.abs(F.col(f"{a}.n") - F.col(f"{b}.n")) < 50, 1).otherwise(0)
+
+
+def _paired(common: DataFrame | None, out: str) -> tuple[DataFrame | None, int, Column]:
+    """The PAIRED most common texts, how many they are, and their parts as a constant list by their numbers."""
+    if common is None:
+        return None, 0, F.lit(None)
+    top = common.where(F.col("_no") < PAIRED).select(F.col("_no").alias(f"{out}_no"), F.col("_known").alias(out))
+    rows = top.select(f"{out}_no", F.to_json(out)).collect()
+    kind = f"array<{top.schema[out].dataType.simpleString()}>"
+    return top, len(rows), F.from_json(F.lit("[" + ",".join(r[1] for r in sorted(rows)) + "]"), kind)
 
 
 def scored_join(left: DataFrame, right: DataFrame, key: str, left_id: list[str], right_ord: str, least: int = 5) -> DataFrame:
     """For each left item (item_text) the right one (marker_text) of the same key with the best score, if at least least:
     10 for each key phrase of the item in the marker's text, 2 for each word in common, 1 for lengths within 50. Ties go
     to the first by right_ord. Only rows of one key meet."""
-    # words and phrases are worked out before rows meet; a pair only compares them
-    a, b = _with_parts(left, "item_text", "_a", True), _with_parts(right, "marker_text", "_b", False)
-    found = F.bit_count(F.col("_a.phrases").bitwiseAND(F.col("_b.phrases"))) + F.when(F.contains("_b.text", "_a.number"), 1).otherwise(0)
-    score = 10 * found + 2 * F.size(F.array_intersect("_a.words", "_b.words")) + F.when(F.abs(F.col("_a.n") - F.col("_b.n")) < 50, 1).otherwise(0)
-    joined = a.join(b, key).withColumn("score", score).drop("_a", "_b")
+    # words and phrases are worked out before rows meet; a pair only compares them, and a pair of the most common texts looks its score up
+    items, markers = _common(left, "item_text", True), _common(right, "marker_text", False)
+    a, b = _with_parts(left, "item_text", "_a", True, items), _with_parts(right, "marker_text", "_b", False, markers)
+    (top_a, _, parts_a), (top_b, n, parts_b) = _paired(items, "_a"), _paired(markers, "_b")
+    joined = a.join(b, key)
+    for out, common, parts in (("_a", items, parts_a), ("_b", markers, parts_b)):
+        joined = joined if common is None else joined.withColumn(out, F.coalesce(out, F.get(parts, F.col(f"{out}_no"))))
+    score = _match_score("_a", "_b")
+    if items is not None and markers is not None:
+        ahead = top_a.crossJoin(F.broadcast(top_b)).select("_a_no", "_b_no", score).collect()  # at most PAIRED * PAIRED
+        score = F.coalesce(F.get(F.from_json(F.lit(json.dumps([r[2] for r in sorted(ahead)])), "array<int>"), F.col("_a_no") * n + F.col("_b_no")), score)
+    joined = joined.withColumn("score", score).drop("_a", "_b", "_a_no", "_b_no")
     return first_match(joined, left_id, F.col("score").desc(), F.col(right_ord)).where(F.col("score") >= least)
 
 

@@ -84,3 +84,26 @@ def test_scored_join_with_common_texts_worked_out_ahead(spark, monkeypatch, seen
     rows = found.select("i", "o", "score").collect()
     assert {r.i: (r.o, r.score) for r in rows} == want and len(rows) == len(want) > 30
     assert ("BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()) == (seen > 0)
+
+
+@pytest.mark.parametrize("paired", [0, 3, 128])
+def test_scored_join_with_pairs_of_common_texts_scored_ahead(spark, monkeypatch, paired):
+    """Pairs of which both, one or no text is among the most common of its side, on sides whose common texts differ."""
+    monkeypatch.setattr(linkage, "PAIRED", paired)
+    monkeypatch.setattr(linkage, "SEEN", 60)
+    rng = random.Random(9)
+    texts = ["", "7A. Approve lease", 'he said "no" \\ {7A}', "Resolution 7A\tof the Planning Commission", "Public Hearing: ordinance", "straße à la\u2003carte", "9", "the of", "12. Consent Calendar"]
+    draw = lambda n, of: [(rng.choice("ab"), i, rng.choice(of) if i % 3 else f"lease {i} 7A hearings") for i in range(n)]
+    items, markers = draw(90, texts) + [("a", 90, None), ("b", 91, None)], draw(50, texts[1:] + ["a lease"])
+    left, right = spark.createDataFrame(items, "k string, i int, item_text string"), spark.createDataFrame(markers, "k string, o int, marker_text string")
+    best = {i: min((-_score(x, y), o) for m, o, y in markers if m == k) for k, i, x in items}
+    rows = linkage.scored_join(left, right, "k", ["k", "i"], "o").select("i", "o", "score").collect()
+    assert sorted(tuple(r) for r in rows) == sorted((i, o, -s) for i, (s, o) in best.items() if -s >= 5) and len(rows) > 40
+
+
+def test_rows_of_the_most_common_texts_carry_no_parts(spark, monkeypatch):
+    """Such a text moves as its number; common texts beyond, and all others, with their parts."""
+    monkeypatch.setattr(linkage, "PAIRED", 1)
+    df = spark.createDataFrame([(x,) for x in ["lease"] * 3 + ["permit"] * 2 + ["once", None, None]], "t string")
+    rows = linkage._with_parts(df, "t", "_a", True, linkage._common(df, "t", True)).collect()
+    assert {(r.t, r._a_no, r._a and tuple(r._a.words)) for r in rows} == {("lease", 0, None), ("permit", None, ("PERMIT",)), ("once", None, ("ONCE",)), (None, None, ())}
