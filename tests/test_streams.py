@@ -52,6 +52,25 @@ def test_neighbours_equal_the_batch_fold_on_all_rows(spark, tmp_path):
     assert got == want and len(before) < len(want)
 
 
+def test_rows_of_a_key_are_dealt_by_time(spark, tmp_path):
+    """Chains that run on through all buckets, broken ones, and a bucket that comes in several files, part of it after the others."""
+    rng = random.Random(3)
+    rows = [("same", 3 * k, 1, k) for k in range(1000)] + [("falls", 4 * k, -k, 1000 + k) for k in range(700)] + [("pairs", 299 + 300 * k + s, k % 3, 1700 + 2 * k + s) for k in range(8) for s in (0, 2)]
+    rows += [("any", rng.choice([rng.randint(0, 6000) / 2, 300 * rng.randint(0, 9)]), rng.randint(0, 2), 2000 + k) for k in range(900)]
+    rows += [("far", 300 * stateful.SLOTS * k + s, 1, 3000 + 2 * k + s) for k in range(2) for s in (0, 1)]  # of one slot
+    form = lambda df: stateful.neighbours(df, "k", "at", "v", "o", 5)
+    place = {r[3]: at for at, r in enumerate(sorted(rows, key=lambda r: r[1] + rng.randint(0, 59)))}
+    timers = lambda q: max(s["customMetrics"].get("numRegisteredTimers", 0) for p in q.recentProgress for s in p["stateOperators"])
+    for at in (0, 1400):  # the second run finds open buckets
+        put(spark, str(tmp_path / "in"), [r for r in rows if (place[r[3]] < 1400) == (at == 0)])
+        query, _ = run(spark, tmp_path, form)
+        assert stateful.late_rows(query) == 0 and timers(query) > 12  # a key's rows wait in several groups
+    _, got = run(spark, tmp_path, form, close=True)
+    flat = rows_at(spark, rows).withColumn("us", F.unix_micros("at"))
+    want = sorted((r.k, r.o) for r in dedupe.adjacent_fold(flat, ["k"], "us", "v", "o", 5_000_000).collect())
+    assert got == want and ("same", 998) in got and ("same", 999) not in got
+
+
 def test_sessions_and_windows_are_all_closed(spark, tmp_path):
     rows = [("a", 0, 1, 1), ("a", 50, 1, 2), ("a", 200, 1, 3), ("b", 10, 1, 4), ("a", 70, 1, 5)]
     put(spark, str(tmp_path / "in"), rows[:4])
