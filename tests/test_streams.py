@@ -71,6 +71,13 @@ def test_rows_of_a_key_are_dealt_by_time(spark, tmp_path):
     assert got == want and ("same", 998) in got and ("same", 999) not in got
 
 
+def test_many_small_stores_set_no_disk_aside(spark):
+    name = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
+    with stateful.rocks(spark):
+        assert spark.conf.get(name) == "false" and spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("RocksDBStateStoreProvider")
+    assert spark.conf.get(name, None) is None
+
+
 def test_sessions_and_windows_are_all_closed(spark, tmp_path):
     rows = [("a", 0, 1, 1), ("a", 50, 1, 2), ("a", 200, 1, 3), ("b", 10, 1, 4), ("a", 70, 1, 5)]
     put(spark, str(tmp_path / "in"), rows[:4])
